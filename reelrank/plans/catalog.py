@@ -96,3 +96,262 @@ def tags_per_movie(spark, sf_dir):
 @query
 def movies_with_tags(spark, sf_dir):
     return stats.movies_with_tags(views.movies(spark, sf_dir), views.tags(spark, sf_dir))
+
+
+# ---- load / write -----------------------------------------------------------
+
+from reelrank.operators import factors, online, similarity  # noqa: E402
+from reelrank.operators import als as als_ops  # noqa: E402
+from reelrank.session import fresh_path  # noqa: E402
+from reelrank.sinks import tables  # noqa: E402
+from reelrank.sources import text  # noqa: E402
+from reelrank.functions import scalar  # noqa: E402
+
+
+def _as_text(spark, lines: DataFrame, name: str) -> str:
+    path = fresh_path(spark, name)
+    lines.write.mode("overwrite").text(path)
+    return path
+
+
+@query
+def load_movies(spark, sf_dir):
+    path = _as_text(spark, text.render_movie_lines(views.movies(spark, sf_dir)), "movies_txt")
+    return text.load_movies(spark, path).good
+
+
+@query
+def load_ratings(spark, sf_dir):
+    path = _as_text(spark, text.render_rating_lines(views.ratings(spark, sf_dir)), "ratings_txt")
+    return text.load_ratings(spark, path).good
+
+
+@query
+def load_tags(spark, sf_dir):
+    path = _as_text(spark, text.render_tag_lines(views.tags(spark, sf_dir)), "tags_txt")
+    return text.load_tags(spark, path).good
+
+
+@query
+def scan_ratings(spark, sf_dir):
+    """Store the Rating table, then scan it back as (uid, mid, score)."""
+    path = tables.overwrite_table(views.ratings(spark, sf_dir), fresh_path(spark, "Rating"))
+    return tables.read_table(spark, path).select("uid", "mid", "score")
+
+
+@query
+def write_read_roundtrip(spark, sf_dir):
+    df = stats.movies_with_tags(views.movies(spark, sf_dir), views.tags(spark, sf_dir))
+    path = tables.overwrite_table(df, fresh_path(spark, "Movie"))
+    return tables.read_table(spark, path)
+
+
+@query
+def keyed_dedupe_movies(spark, sf_dir):
+    """Movie documents written once per line item, keyed by mid: the last
+    write (by ship date, order, line) replaces the earlier ones."""
+    li = views.table(spark, sf_dir, "lineitem").select(
+        "l_partkey", "l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber")
+    p = views.table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    docs = li.join(p, li.l_partkey == p.p_partkey).select(
+        F.col("l_partkey").cast("int").alias("mid"),
+        F.concat(F.col("p_name"), F.lit(" #"), F.col("l_suppkey").cast("string")).alias("name"),
+        "l_shipdate", "l_orderkey", "l_linenumber")
+    last = tables.keep_last_by_key(docs, "mid", ["l_shipdate", "l_orderkey", "l_linenumber"])
+    return last.select("mid", "name")
+
+
+def _recent_recs(spark, sf_dir):
+    """Per user, the 20 newest ratings as recs (rid = mid, r = score), newest first."""
+    rec = online.recent_ratings(views.ratings(spark, sf_dir), 20)
+    return stats.nest_ranked(rec, "uid", "uid", id_col="mid", score_col="score", rank_col="pos")
+
+
+@query
+def encode_recs(spark, sf_dir):
+    return _recent_recs(spark, sf_dir).select("uid", scalar.encode_recs("recs").alias("recs"))
+
+
+@query
+def decode_recs(spark, sf_dir):
+    enc = _recent_recs(spark, sf_dir).select("uid", scalar.encode_recs("recs").alias("recs"))
+    dec = enc.select("uid", F.posexplode(scalar.decode_recs("recs")).alias("p", "rec"))
+    return dec.select("uid", (F.col("p") + 1).alias("pos"), F.col("rec.rid").alias("mid"),
+                      F.col("rec.r").alias("score"))
+
+
+@query
+def recs_to_map(spark, sf_dir):
+    """recs -> MAP<rid, r>; a repeated rid keeps its last entry."""
+    m = _recent_recs(spark, sf_dir).select(
+        "uid", F.map_from_entries(tables.dedupe_array_last_wins(F.col("recs"))).alias("m"))
+    return m.select("uid", F.explode("m").alias("mid", "score"))
+
+
+def _features_sim(spark, sf_dir, threshold):
+    return similarity.similar_pairs(views.features(spark, sf_dir), threshold)
+
+
+@query
+def recs_explode(spark, sf_dir):
+    nested = similarity.movie_recs(_features_sim(spark, sf_dir, 0.3))
+    flat = nested.select("mid", F.inline("recs"))
+    return flat.select("mid", "rid", r6("r"))
+
+
+# ---- similarity -------------------------------------------------------------
+
+@query
+def item_similarity(spark, sf_dir):
+    return _features_sim(spark, sf_dir, 0.3).select("mid", "rid", r6("r"))
+
+
+@query
+def cosine_pairs(spark, sf_dir):
+    pairs = _features_sim(spark, sf_dir, 0.3)
+    return similarity.cosine_of_pairs(pairs, views.features(spark, sf_dir)) \
+        .select("mid", "rid", r6("cos"))
+
+
+# ---- scoring with factor tables --------------------------------------------
+
+def _items_in_catalog(spark, sf_dir):
+    return views.features(spark, sf_dir).join(views.movies(spark, sf_dir).select("mid"),
+                                              "mid", "left_semi")
+
+
+@query
+def predict_scores(spark, sf_dir):
+    pairs = views.ratings(spark, sf_dir).select("uid", "mid")
+    out = factors.predict(pairs, views.user_profiles(spark, sf_dir),
+                          views.features(spark, sf_dir))
+    return out.select("uid", "mid", r6("prediction"))
+
+
+@query
+def user_topk_recs(spark, sf_dir):
+    top = factors.user_top_k(views.user_profiles(spark, sf_dir),
+                             _items_in_catalog(spark, sf_dir), k=10)
+    return top.select("uid", "rank", "mid", r6("score"))
+
+
+def _movie_mean_scored(spark, sf_dir):
+    r = views.ratings(spark, sf_dir)
+    avg = stats.average_score(r).withColumnRenamed("avg", "prediction")
+    return r.join(avg, "mid")
+
+
+@query
+def rmse(spark, sf_dir):
+    return factors.rmse(_movie_mean_scored(spark, sf_dir)).select(r6("rmse"))
+
+
+@query
+def rmse_pairwise(spark, sf_dir):
+    scored = _movie_mean_scored(spark, sf_dir)
+    return factors.rmse_pairwise(scored.select("uid", "mid", "score"),
+                                 scored.select("uid", "mid", "prediction")).select(r6("rmse"))
+
+
+# ---- ALS --------------------------------------------------------------------
+
+def _train(spark, sf_dir):
+    return als_ops.train(views.ratings(spark, sf_dir))
+
+
+@query
+def als_train_summary(spark, sf_dir):
+    model = _train(spark, sf_dir)
+    return spark.createDataFrame(
+        [(model.userFactors.count(), model.itemFactors.count(), model.rank)],
+        "n_users long, n_items long, rank int")
+
+
+@query
+def als_item_factors(spark, sf_dir):
+    model = _train(spark, sf_dir)
+    return als_ops.item_factors(model).select("mid", F.size("features").alias("n_features"))
+
+
+@query
+def als_user_recs(spark, sf_dir):
+    model = _train(spark, sf_dir)
+    return als_ops.offline_user_recs(model, views.ratings(spark, sf_dir),
+                                     views.movies(spark, sf_dir))
+
+
+@query
+def als_movie_recs(spark, sf_dir):
+    return als_ops.offline_movie_recs(_train(spark, sf_dir))
+
+
+@query
+def als_grid_search(spark, sf_dir):
+    return als_ops.grid_search(spark, views.ratings(spark, sf_dir))
+
+
+@query
+def best_params(spark, sf_dir):
+    return als_ops.best_params(als_ops.grid_search(spark, views.ratings(spark, sf_dir)))
+
+
+# ---- online -----------------------------------------------------------------
+
+ONLINE_THRESHOLD = 0.2  # generated embeddings peak near 0.51 cosine
+
+
+def _online_inputs(spark, sf_dir):
+    events = views.stream_ratings(spark, sf_dir)
+    sim = _features_sim(spark, sf_dir, ONLINE_THRESHOLD)
+    return events, sim, views.ratings(spark, sf_dir)
+
+
+@query
+def recent_ratings(spark, sf_dir):
+    return online.recent_ratings(views.stream_ratings(spark, sf_dir), 20)
+
+
+@query
+def similar_to_rated(spark, sf_dir):
+    events, sim, _ = _online_inputs(spark, sf_dir)
+    return online.similar_to_rated(online.latest_event_per_user(events), sim) \
+        .select("uid", "mid", "cand", r6("sim"))
+
+
+@query
+def unrated_candidates(spark, sf_dir):
+    events, sim, rated = _online_inputs(spark, sf_dir)
+    c = online.similar_to_rated(online.latest_event_per_user(events), sim)
+    return online.unrated_candidates(c, rated).select("uid", "mid", "cand", r6("sim"))
+
+
+@query
+def topk_similar(spark, sf_dir):
+    events, sim, rated = _online_inputs(spark, sf_dir)
+    c = online.similar_to_rated(online.latest_event_per_user(events), sim)
+    return online.topk_similar(online.unrated_candidates(c, rated), 20) \
+        .select("uid", "mid", "cand", r6("sim"))
+
+
+def _pairs(spark, sf_dir):
+    events, sim, rated = _online_inputs(spark, sf_dir)
+    c = online.similar_to_rated(online.latest_event_per_user(events), sim)
+    top = online.topk_similar(online.unrated_candidates(c, rated), 20)
+    return online.pair_similarity(top, online.recent_ratings(events, 20), sim, ONLINE_THRESHOLD)
+
+
+@query
+def pair_similarity(spark, sf_dir):
+    return _pairs(spark, sf_dir).select("uid", "cand", "rmid", "rscore", r6("psim"))
+
+
+@query
+def candidate_scores(spark, sf_dir):
+    return online.candidate_scores(_pairs(spark, sf_dir)).select("uid", "mid", r6("score"))
+
+
+@query
+def realtime_recs(spark, sf_dir):
+    events, sim, rated = _online_inputs(spark, sf_dir)
+    out = online.realtime_scores(events, sim, rated, 20, 20, ONLINE_THRESHOLD)
+    return out.select("uid", "mid", r6("score"))

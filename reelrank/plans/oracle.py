@@ -114,3 +114,173 @@ SQL["movies_with_tags"] = with_views(
     """SELECT m.*, t.tags FROM v_movies m LEFT JOIN (
          SELECT mid, array_to_string(list_sort(list(DISTINCT tag)), '|') AS tags
          FROM v_tags GROUP BY mid) t USING (mid)""", "v_movies", "v_tags")
+
+# ---- load / write -----------------------------------------------------------
+
+SQL["load_movies"] = with_views("SELECT * FROM v_movies", "v_movies")
+SQL["load_ratings"] = with_views("SELECT * FROM v_ratings", "v_ratings")
+SQL["load_tags"] = with_views("SELECT * FROM v_tags", "v_tags")
+SQL["scan_ratings"] = with_views("SELECT uid, mid, score FROM v_ratings", "v_ratings")
+SQL["write_read_roundtrip"] = SQL["movies_with_tags"]
+
+SQL["keyed_dedupe_movies"] = """
+    SELECT mid, name FROM (
+      SELECT CAST(l.l_partkey AS INTEGER) AS mid,
+             p.p_name || ' #' || CAST(l.l_suppkey AS VARCHAR) AS name,
+             row_number() OVER (PARTITION BY l.l_partkey
+                                ORDER BY l.l_shipdate DESC, l.l_orderkey DESC,
+                                         l.l_linenumber DESC) AS rn
+      FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)
+    WHERE rn = 1"""
+
+VIEWS["v_recent_ratings"] = """
+    SELECT uid, pos, mid, score, "timestamp" FROM (
+      SELECT uid, mid, score, "timestamp",
+             CAST(row_number() OVER (PARTITION BY uid
+                  ORDER BY "timestamp" DESC, mid DESC, score DESC) AS INTEGER) AS pos
+      FROM v_ratings) WHERE pos <= 20"""
+VIEW_DEPS["v_recent_ratings"] = ["v_ratings"]
+
+SQL["encode_recs"] = with_views(
+    """SELECT uid, string_agg(CAST(mid AS VARCHAR) || ':' || CAST(score AS VARCHAR), '|'
+                              ORDER BY pos) AS recs
+       FROM v_recent_ratings GROUP BY uid""", "v_recent_ratings")
+
+SQL["decode_recs"] = with_views(
+    "SELECT uid, pos, mid, score FROM v_recent_ratings", "v_recent_ratings")
+
+SQL["recs_to_map"] = with_views(
+    """SELECT uid, mid, arg_max(score, pos) AS score FROM v_recent_ratings
+       GROUP BY uid, mid""", "v_recent_ratings")
+
+# ---- similarity -------------------------------------------------------------
+
+
+def _sim_view(threshold: float) -> str:
+    return f"""
+        SELECT a.mid, b.mid AS rid, list_cosine_similarity(a.features, b.features) AS r
+        FROM v_features a JOIN v_features b ON a.mid <> b.mid
+        WHERE list_dot_product(a.features, a.features) > 0
+          AND list_dot_product(b.features, b.features) > 0
+          AND list_cosine_similarity(a.features, b.features) > {threshold}"""
+
+
+VIEWS["v_sim30"] = _sim_view(0.3)
+VIEW_DEPS["v_sim30"] = ["v_features"]
+VIEWS["v_sim20"] = _sim_view(0.2)
+VIEW_DEPS["v_sim20"] = ["v_features"]
+
+SQL["item_similarity"] = with_views("SELECT mid, rid, round(r, 6) AS r FROM v_sim30", "v_sim30")
+SQL["recs_explode"] = SQL["item_similarity"]
+SQL["cosine_pairs"] = with_views(
+    "SELECT mid, rid, round(r, 6) AS cos FROM v_sim30", "v_sim30")
+
+# ---- scoring with factor tables --------------------------------------------
+
+VIEWS["v_profiles"] = """
+    SELECT uid, list(x ORDER BY pos) AS features FROM (
+      SELECT uid, pos, avg(x) AS x FROM (
+        SELECT r.uid, generate_subscripts(f.features, 1) AS pos, unnest(f.features) AS x
+        FROM v_ratings r JOIN v_features f USING (mid))
+      GROUP BY uid, pos)
+    GROUP BY uid"""
+VIEW_DEPS["v_profiles"] = ["v_ratings", "v_features"]
+
+SQL["predict_scores"] = with_views(
+    """SELECT r.uid, r.mid, round(list_dot_product(u.features, f.features), 6) AS prediction
+       FROM v_ratings r JOIN v_profiles u USING (uid) JOIN v_features f USING (mid)""",
+    "v_profiles")
+
+SQL["user_topk_recs"] = with_views(
+    """SELECT uid, rank, mid, round(score, 6) AS score FROM (
+         SELECT uid, mid, score,
+                CAST(row_number() OVER (PARTITION BY uid ORDER BY score DESC, mid ASC)
+                     AS INTEGER) AS rank
+         FROM (SELECT u.uid, f.mid, list_dot_product(u.features, f.features) AS score
+               FROM v_profiles u, v_features f
+               WHERE f.mid IN (SELECT mid FROM v_movies))
+         WHERE score > 0)
+       WHERE rank <= 10""", "v_profiles", "v_movies")
+
+_MEAN_SCORED = """
+    SELECT r.uid, r.mid, r.score, a.prediction FROM v_ratings r
+    JOIN (SELECT mid, avg(score) AS prediction FROM v_ratings GROUP BY mid) a USING (mid)"""
+
+SQL["rmse"] = with_views(
+    f"SELECT round(sqrt(avg((score - prediction) ^ 2)), 6) AS rmse FROM ({_MEAN_SCORED})",
+    "v_ratings")
+
+VIEWS["v_mean_scored"] = _MEAN_SCORED
+VIEW_DEPS["v_mean_scored"] = ["v_ratings"]
+
+SQL["rmse_pairwise"] = with_views(
+    """SELECT round(sqrt(avg((a.score - p.prediction) ^ 2)), 6) AS rmse
+       FROM v_mean_scored a JOIN v_mean_scored p ON a.uid = p.uid AND a.mid = p.mid""",
+    "v_mean_scored")
+
+# ---- ALS (only what is deterministic: sizes and ids) -------------------------
+
+SQL["als_train_summary"] = with_views(
+    """SELECT count(DISTINCT uid) AS n_users, count(DISTINCT mid) AS n_items,
+              CAST(50 AS INTEGER) AS rank FROM v_ratings""", "v_ratings")
+
+SQL["als_item_factors"] = with_views(
+    "SELECT DISTINCT mid, CAST(50 AS INTEGER) AS n_features FROM v_ratings", "v_ratings")
+
+# ---- online -----------------------------------------------------------------
+
+VIEWS["v_triggers"] = """
+    SELECT uid, arg_max(mid, ("timestamp", mid, score)) AS mid FROM v_events GROUP BY uid"""
+VIEW_DEPS["v_triggers"] = ["v_events"]
+
+VIEWS["v_event_recent"] = """
+    SELECT uid, pos, mid, score, "timestamp" FROM (
+      SELECT uid, mid, score, "timestamp",
+             CAST(row_number() OVER (PARTITION BY uid
+                  ORDER BY "timestamp" DESC, mid DESC, score DESC) AS INTEGER) AS pos
+      FROM v_events) WHERE pos <= 20"""
+VIEW_DEPS["v_event_recent"] = ["v_events"]
+
+VIEWS["v_cands"] = """
+    SELECT t.uid, t.mid, s.rid AS cand, s.r AS sim
+    FROM v_triggers t JOIN v_sim20 s ON s.mid = t.mid"""
+VIEW_DEPS["v_cands"] = ["v_events", "v_features", "v_sim20", "v_triggers"]
+
+VIEWS["v_unrated"] = """
+    SELECT * FROM v_cands c
+    WHERE NOT EXISTS (SELECT 1 FROM v_ratings r WHERE r.uid = c.uid AND r.mid = c.cand)"""
+VIEW_DEPS["v_unrated"] = ["v_ratings", "v_events", "v_features", "v_sim20", "v_triggers",
+                          "v_cands"]
+
+VIEWS["v_topk"] = """
+    SELECT uid, mid, cand, sim FROM (
+      SELECT *, row_number() OVER (PARTITION BY uid, mid ORDER BY sim DESC, cand ASC) AS rn
+      FROM v_unrated) WHERE rn <= 20"""
+VIEW_DEPS["v_topk"] = VIEW_DEPS["v_unrated"] + ["v_unrated"]
+
+VIEWS["v_pairs"] = """
+    SELECT t.uid, t.cand, e.mid AS rmid, e.score AS rscore, s.r AS psim
+    FROM v_topk t JOIN v_event_recent e ON e.uid = t.uid
+    JOIN v_sim20 s ON s.mid = t.cand AND s.rid = e.mid
+    WHERE s.r > 0.2"""
+VIEW_DEPS["v_pairs"] = VIEW_DEPS["v_topk"] + ["v_topk", "v_event_recent"]
+
+VIEWS["v_scores"] = """
+    SELECT uid, cand AS mid,
+           avg(psim * rscore) + log2(greatest(count(*) FILTER (WHERE rscore > 3), 1))
+             - log2(greatest(count(*) FILTER (WHERE rscore <= 3), 1)) AS score
+    FROM v_pairs GROUP BY uid, cand"""
+VIEW_DEPS["v_scores"] = VIEW_DEPS["v_pairs"] + ["v_pairs"]
+
+SQL["recent_ratings"] = with_views("SELECT * FROM v_event_recent", "v_event_recent")
+SQL["similar_to_rated"] = with_views(
+    "SELECT uid, mid, cand, round(sim, 6) AS sim FROM v_cands", "v_cands")
+SQL["unrated_candidates"] = with_views(
+    "SELECT uid, mid, cand, round(sim, 6) AS sim FROM v_unrated", "v_unrated")
+SQL["topk_similar"] = with_views(
+    "SELECT uid, mid, cand, round(sim, 6) AS sim FROM v_topk", "v_topk")
+SQL["pair_similarity"] = with_views(
+    "SELECT uid, cand, rmid, rscore, round(psim, 6) AS psim FROM v_pairs", "v_pairs")
+SQL["candidate_scores"] = with_views(
+    "SELECT uid, mid, round(score, 6) AS score FROM v_scores", "v_scores")
+SQL["realtime_recs"] = SQL["candidate_scores"]
