@@ -355,3 +355,128 @@ def realtime_recs(spark, sf_dir):
     events, sim, rated = _online_inputs(spark, sf_dir)
     out = online.realtime_scores(events, sim, rated, 20, 20, ONLINE_THRESHOLD)
     return out.select("uid", "mid", r6("score"))
+
+
+# ---- messages and streams ---------------------------------------------------
+
+from reelrank.operators import users as user_ops  # noqa: E402
+from reelrank.streaming import jobs, messages  # noqa: E402
+from reelrank.functions.scalar import java_string_hash  # noqa: E402
+
+STREAM_FILES = 4  # the table is replayed as this many time-ordered micro-batches
+
+
+@query
+def log_filter(spark, sf_dir):
+    return messages.log_filter(views.log_lines(spark, sf_dir))
+
+
+@query
+def route_messages(spark, sf_dir):
+    return messages.route_messages(views.noisy_messages(spark, sf_dir))
+
+
+def _replay(spark, lines: DataFrame, name: str) -> str:
+    return jobs.write_ordered_slices(lines, "epoch", STREAM_FILES, fresh_path(spark, name))
+
+
+def _run_stream(spark, stream: DataFrame, name: str) -> DataFrame:
+    sink = fresh_path(spark, f"{name}_out")
+    jobs.run_to_parquet(stream, sink, fresh_path(spark, f"{name}_ckpt"))
+    return spark.read.parquet(sink)
+
+
+@query
+def stream_log_filter(spark, sf_dir):
+    src = _replay(spark, views.log_lines(spark, sf_dir), "log_in")
+    return _run_stream(spark, jobs.log_filter_stream(jobs.text_stream(spark, src)), "log")
+
+
+@query
+def stream_parse_ratings(spark, sf_dir):
+    src = _replay(spark, views.stream_messages(spark, sf_dir), "msg_in")
+    return _run_stream(spark, jobs.rating_stream(jobs.text_stream(spark, src)), "ratings")
+
+
+@query
+def stream_route_messages(spark, sf_dir):
+    src = _replay(spark, views.noisy_messages(spark, sf_dir), "noisy_in")
+    return _run_stream(spark, messages.route_messages(jobs.text_stream(spark, src)), "route")
+
+
+@query
+def stream_recent_ratings(spark, sf_dir):
+    """Replay the rating stream through the per-user state; the last emission
+    of every user is their final recent list."""
+    src = _replay(spark, views.stream_messages(spark, sf_dir), "recent_in")
+    ratings = jobs.rating_stream(jobs.text_stream(spark, src))
+    out = _run_stream(spark, jobs.recent_ratings_stream(spark, ratings, 20), "recent")
+    last = out.groupBy("uid").agg(F.max(F.struct("trigger_ts", "trigger_mid",
+                                                 "trigger_score")).alias("t"))
+    final = out.join(last, (out.uid == last.uid)
+                     & (out.trigger_ts == last.t.trigger_ts)
+                     & (out.trigger_mid == last.t.trigger_mid)
+                     & (out.trigger_score == last.t.trigger_score), "left_semi")
+    return final.select("uid", "pos", "mid", "score", "timestamp")
+
+
+@query
+def stream_realtime_recs(spark, sf_dir):
+    """The real-time job end to end: replayed rating stream, recent-rating
+    state, scoring per micro-batch, replace-by-key StreamRecs table."""
+    sim_path = tables.overwrite_table(_features_sim(spark, sf_dir, ONLINE_THRESHOLD),
+                                      fresh_path(spark, "MovieRecs"))
+    rated_path = tables.overwrite_table(views.ratings(spark, sf_dir), fresh_path(spark, "Rating"))
+    src = _replay(spark, views.stream_messages(spark, sf_dir), "rt_in")
+    out_base = fresh_path(spark, "StreamRecs")
+    jobs.start_realtime(spark, jobs.text_stream(spark, src), sim_path, rated_path, out_base,
+                        fresh_path(spark, "rt_ckpt"), 20, 20, ONLINE_THRESHOLD)
+    recs = tables.read_replace_table(spark, out_base, "uid")
+    flat = recs.select("uid", F.explode_outer("recs").alias("rec"))
+    return flat.select("uid", F.col("rec.rid").alias("mid"),
+                       F.round(F.col("rec.r"), 6).alias("score"))
+
+
+@query
+def upsert_stream_recs(spark, sf_dir):
+    """Replace-by-key over ordered batches: each month of ratings is one batch of
+    per-user rows; the table keeps every user's row from their latest batch."""
+    r = views.ratings(spark, sf_dir)
+    per_month = (r.withColumn(tables.BATCH_COL, scalar.year_month("timestamp"))
+                 .groupBy("uid", tables.BATCH_COL)
+                 .agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 6).alias("avg")))
+    base = fresh_path(spark, "upsert_log")
+    per_month.write.mode("overwrite").partitionBy(tables.BATCH_COL).parquet(base)
+    latest = tables.keep_last_by_key(spark.read.parquet(base), "uid", [tables.BATCH_COL])
+    return latest.select("uid", F.col(tables.BATCH_COL).alias("month"), "n", "avg")
+
+
+# ---- users ------------------------------------------------------------------
+
+def _existing_users(spark, sf_dir):
+    c = views.customers(spark, sf_dir).filter(F.col("c_mktsegment") == "BUILDING")
+    return c.select(java_string_hash("userName").alias("uid"), "userName",
+                    F.array().cast("array<string>").alias("genres"),
+                    F.lit(False).alias("firstLogin"))
+
+
+@query
+def user_uid(spark, sf_dir):
+    c = views.customers(spark, sf_dir)
+    return c.select("c_custkey", "userName", java_string_hash("userName").alias("uid"))
+
+
+@query
+def register_users(spark, sf_dir):
+    _, outcomes = user_ops.register_users(_existing_users(spark, sf_dir),
+                                          views.order_requests(spark, sf_dir))
+    return outcomes
+
+
+@query
+def update_user_genres(spark, sf_dir):
+    reqs = views.order_requests(spark, sf_dir)
+    merged, _ = user_ops.register_users(_existing_users(spark, sf_dir), reqs)
+    updated = user_ops.update_user_genres(merged, reqs)
+    return updated.select("uid", "userName", F.array_join("genres", "|").alias("genres"),
+                          "firstLogin")

@@ -284,3 +284,124 @@ SQL["pair_similarity"] = with_views(
 SQL["candidate_scores"] = with_views(
     "SELECT uid, mid, round(score, 6) AS score FROM v_scores", "v_scores")
 SQL["realtime_recs"] = SQL["candidate_scores"]
+
+# ---- messages and streams ---------------------------------------------------
+
+VIEWS["v_messages"] = """
+    SELECT event_id, CAST(epoch_us(ts) // 1000000 AS INTEGER) AS epoch,
+           CAST(user_id AS VARCHAR) AS u, json_extract_string(props, '$.k') AS k,
+           CAST(CAST((event_id % 10) + 1 AS DOUBLE) / 2 AS VARCHAR) AS s,
+           CAST(epoch_us(ts) // 1000000 AS VARCHAR) AS t, event_type
+    FROM events"""
+
+VIEWS["v_log"] = f"""
+    SELECT CASE event_id % 5
+             WHEN 0 THEN 'noise event ' || CAST(event_id AS VARCHAR)
+             WHEN 1 THEN 'INFO rating {LOG_PAYLOAD_MARKER}' || concat_ws('|', u, k, s, t)
+             WHEN 2 THEN '{LOG_PAYLOAD_MARKER}   ' || concat_ws('|', u, k, s, t) || '   '
+             WHEN 3 THEN concat_ws('|', u, k, s, t) || ' {LOG_PAYLOAD_MARKER}'
+             ELSE '{LOG_PAYLOAD_MARKER}' || concat_ws('|', u, k, s, t)
+                  || '{LOG_PAYLOAD_MARKER} trailing'
+           END AS line
+    FROM v_messages"""
+VIEW_DEPS["v_log"] = ["v_messages"]
+
+_LOG_FILTER = f"""
+    SELECT 'logProcessor' AS key, value FROM (
+      SELECT trim(string_split(line, '{LOG_PAYLOAD_MARKER}')[2]) AS value
+      FROM v_log WHERE contains(line, '{LOG_PAYLOAD_MARKER}'))
+    WHERE value <> ''"""
+SQL["log_filter"] = with_views(_LOG_FILTER, "v_log")
+SQL["stream_log_filter"] = SQL["log_filter"]
+
+VIEWS["v_noisy"] = """
+    SELECT CASE WHEN event_id % 5 <= 1 THEN concat_ws('|', u, k, s, t)
+                WHEN event_id % 5 = 2 THEN concat_ws('|', u, k, s)
+                WHEN event_id % 5 = 3 THEN concat_ws('|', u, k, s, t, event_type)
+                ELSE concat_ws('|', u, k, event_type, t) END AS raw
+    FROM v_messages"""
+VIEW_DEPS["v_noisy"] = ["v_messages"]
+
+_ROUTE = """
+    SELECT CASE WHEN n = 4 AND ok THEN 'rating' WHEN n = 4 THEN 'malformed' ELSE 'raw' END
+             AS kind,
+           CASE WHEN n = 4 AND ok THEN uid END AS uid,
+           CASE WHEN n = 4 AND ok THEN mid END AS mid,
+           CASE WHEN n = 4 AND ok THEN score END AS score,
+           CASE WHEN n = 4 AND ok THEN "timestamp" END AS "timestamp",
+           CASE WHEN n = 4 AND ok THEN NULL ELSE raw END AS raw
+    FROM (
+      SELECT raw, n, uid, mid, score, "timestamp",
+             uid IS NOT NULL AND mid IS NOT NULL AND score IS NOT NULL
+               AND "timestamp" IS NOT NULL AS ok
+      FROM (
+        SELECT raw, len(p) AS n,
+               CASE WHEN regexp_full_match(p[1], '[+-]?[0-9]+') THEN TRY_CAST(p[1] AS INTEGER) END
+                 AS uid,
+               CASE WHEN regexp_full_match(p[2], '[+-]?[0-9]+') THEN TRY_CAST(p[2] AS INTEGER) END
+                 AS mid,
+               TRY_CAST(trim(p[3]) AS DOUBLE) AS score,
+               CASE WHEN regexp_full_match(p[4], '[+-]?[0-9]+') THEN TRY_CAST(p[4] AS INTEGER) END
+                 AS "timestamp"
+        FROM (SELECT raw, string_split(rtrim(raw, '|'), '|') AS p FROM v_noisy)))"""
+SQL["route_messages"] = with_views(_ROUTE, "v_noisy")
+SQL["stream_route_messages"] = SQL["route_messages"]
+
+SQL["stream_parse_ratings"] = with_views(
+    'SELECT uid, mid, score, "timestamp" FROM v_events', "v_events")
+SQL["stream_recent_ratings"] = SQL["recent_ratings"]
+
+SQL["stream_realtime_recs"] = with_views(
+    """SELECT t.uid, s.mid, round(s.score, 6) AS score
+       FROM v_triggers t LEFT JOIN v_scores s ON s.uid = t.uid""",
+    "v_scores")
+
+SQL["upsert_stream_recs"] = with_views(
+    """SELECT uid, arg_max(month, month) AS month, arg_max(n, month) AS n,
+              arg_max(avg, month) AS avg FROM (
+         SELECT uid, CAST(strftime(make_timestamp(CAST("timestamp" AS BIGINT) * 1000000),
+                                   '%Y%m') AS INTEGER) AS month,
+                count(*) AS n, round(avg(score), 6) AS avg
+         FROM v_ratings GROUP BY ALL)
+       GROUP BY uid""", "v_ratings")
+
+# ---- users ------------------------------------------------------------------
+
+_JAVA_HASH = """CAST(CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END AS INTEGER)"""
+
+VIEWS["v_user_hash"] = f"""
+    SELECT c_custkey, c_name AS userName, c_mktsegment, {_JAVA_HASH} AS uid FROM (
+      SELECT c_custkey, c_name, c_mktsegment,
+             list_reduce(list_prepend(CAST(0 AS BIGINT),
+                           list_transform(string_split(c_name, ''),
+                                          lambda c: CAST(unicode(c) AS BIGINT))),
+                         lambda acc, c: (acc * 31 + c) % 4294967296) AS h
+      FROM customer)"""
+
+SQL["user_uid"] = with_views("SELECT c_custkey, userName, uid FROM v_user_hash", "v_user_hash")
+
+VIEWS["v_requests"] = """
+    SELECT c.c_name AS userName, o.o_orderkey AS req_order,
+           o.o_orderstatus || '|' || o.o_orderpriority AS genres
+    FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"""
+
+VIEWS["v_registered"] = """
+    SELECT r.userName, min(r.req_order) AS first_order FROM v_requests r
+    WHERE r.userName NOT IN (SELECT userName FROM v_user_hash WHERE c_mktsegment = 'BUILDING')
+    GROUP BY r.userName"""
+VIEW_DEPS["v_registered"] = ["v_user_hash", "v_requests"]
+
+SQL["register_users"] = with_views(
+    """SELECT r.userName, r.req_order, coalesce(r.req_order = g.first_order, false) AS success
+       FROM v_requests r LEFT JOIN v_registered g USING (userName)""", "v_registered")
+
+SQL["update_user_genres"] = with_views(
+    """SELECT u.uid, u.userName, coalesce(l.genres, '') AS genres,
+              CASE WHEN l.genres IS NOT NULL THEN false ELSE u.firstLogin END AS firstLogin
+       FROM (SELECT uid, userName, false AS firstLogin FROM v_user_hash
+             WHERE c_mktsegment = 'BUILDING'
+             UNION ALL
+             SELECT h.uid, g.userName, true AS firstLogin
+             FROM v_registered g JOIN v_user_hash h USING (userName)) u
+       LEFT JOIN (SELECT userName, arg_max(genres, req_order) AS genres
+                  FROM v_requests GROUP BY userName) l USING (userName)""", "v_registered")

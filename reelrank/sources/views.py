@@ -153,3 +153,19 @@ def order_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("req_order"),
         F.concat_ws("|", F.col("o_orderstatus"), F.col("o_orderpriority")).alias("genres"),
     )
+
+
+def noisy_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rating messages with deterministic defects (by event_id mod 5): 0 and 1
+    valid; 2 timestamp missing (3 fields); 3 an extra field (5 fields); 4 the
+    score replaced by the event type (4 fields, not a number)."""
+    e = table(spark, sf_dir, "events")
+    uid, k = F.col("user_id").cast("string"), F.get_json_object("props", "$.k")
+    score, ts = _stream_score().cast("string"), epoch_seconds("ts").cast("string")
+    shape = F.col("event_id") % 5
+    value = (F.when(shape <= 1, F.concat_ws("|", uid, k, score, ts))
+             .when(shape == 2, F.concat_ws("|", uid, k, score))
+             .when(shape == 3, F.concat_ws("|", uid, k, score, ts, F.col("event_type")))
+             .otherwise(F.concat_ws("|", uid, k, F.col("event_type"), ts)))
+    return e.select("event_id", epoch_seconds("ts").cast("int").alias("epoch"),
+                    value.alias("value"))
