@@ -1,0 +1,61 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from reelrank.operators import factors
+
+from conftest import rows
+
+
+def test_factors_small(spark):
+    users = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [-1.0, -1.0])],
+                                  "uid int, features array<double>")
+    items = spark.createDataFrame(
+        [(10, [1.0, 0.0]), (11, [0.5, 0.5]), (12, [0.0, 2.0]), (13, [-1.0, 0.0]),
+         (14, [2.0, 0.0])], "mid int, features array<float>")
+    movies = spark.createDataFrame([(m,) for m in (10, 11, 12, 13)], "mid int")
+    items = items.join(movies, "mid", "left_semi")      # 14 is not in the Movie table
+    top = rows(factors.user_top_k(users, items, k=2))
+    assert top == [(1, 1, 10, 1.0), (1, 2, 11, 0.5), (2, 1, 12, 2.0), (2, 2, 11, 0.5),
+                   (3, 1, 13, 1.0)]                      # only positive scores (> 0)
+
+
+@pytest.mark.parametrize("block_mb", [64.0, 0.0003])
+def test_blocked_topk_equals_brute_force(spark, block_mb):
+    rng = np.random.default_rng(11)
+    u = {i: rng.normal(size=3).round(2) for i in range(40)}
+    it = {j: rng.normal(size=3).round(2) for j in range(100, 150)}
+    # force exact ties: two identical items
+    it[150] = it[100].copy()
+    users = spark.createDataFrame([(k, v.tolist()) for k, v in u.items()],
+                                  "uid int, features array<double>")
+    items = spark.createDataFrame([(k, v.tolist()) for k, v in it.items()],
+                                  "mid int, features array<double>")
+    got = rows(factors.user_top_k(users, items, k=5, block_mb=block_mb))
+    want = []
+    for uid, uv in u.items():
+        sc = sorted(((-(float(uv @ iv)), mid) for mid, iv in it.items() if float(uv @ iv) > 0))
+        want += [(uid, rank + 1, mid, -s) for rank, (s, mid) in enumerate(sc[:5])]
+    assert [(a, b, c, round(d, 9)) for a, b, c, d in got] == \
+        sorted((a, b, c, round(d, 9)) for a, b, c, d in want)
+
+
+def test_predict_drops_unknown(spark):
+    users = spark.createDataFrame([(1, [1.0, 2.0])], "uid int, features array<double>")
+    items = spark.createDataFrame([(10, [3.0, 4.0])], "mid int, features array<double>")
+    pairs = spark.createDataFrame([(1, 10), (1, 11), (2, 10)], "uid int, mid int")
+    assert rows(factors.predict(pairs, users, items)) == [(1, 10, 11.0)]
+
+
+def test_rmse_dup(spark):
+    actual = spark.createDataFrame([(1, 10, 4.0), (1, 10, 2.0), (2, 11, 3.0)],
+                                   "uid int, mid int, score double")
+    pred = spark.createDataFrame([(1, 10, 3.5), (1, 10, 3.5), (2, 11, 1.0)],
+                                 "uid int, mid int, prediction double")
+    scored = actual.withColumn("prediction", F.lit(3.5))
+    row_wise = factors.rmse(scored).first()["rmse"]
+    assert row_wise == pytest.approx(np.sqrt((0.25 + 2.25 + 0.25) / 3))
+    # pairwise: key (1,10) has 2 x 2 = 4 joined rows (D13)
+    errs = [(4 - 3.5) ** 2] * 2 + [(2 - 3.5) ** 2] * 2 + [(3 - 1.0) ** 2]
+    got = factors.rmse_pairwise(actual, pred).first()["rmse"]
+    assert got == pytest.approx(np.sqrt(np.mean(errs)))

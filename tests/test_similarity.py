@@ -1,0 +1,71 @@
+import numpy as np
+import pytest
+
+from reelrank.operators import similarity
+
+from conftest import rows
+
+
+def brute_force_pairs(vecs: dict, threshold: float):
+    out = []
+    ids = sorted(vecs)
+    for a in ids:
+        for b in ids:
+            if a == b:
+                continue
+            va = np.asarray(vecs[a]).astype(np.float64)
+            vb = np.asarray(vecs[b]).astype(np.float64)
+            na, nb = np.linalg.norm(va), np.linalg.norm(vb)
+            if na == 0 or nb == 0:
+                continue
+            c = float(va @ vb / (na * nb))
+            if c > threshold:
+                out.append((a, b, round(c, 9)))
+    return sorted(out)
+
+
+def frame(spark, vecs):
+    return spark.createDataFrame([(k, [float(x) for x in v]) for k, v in vecs.items()],
+                                 "mid int, features array<float>")
+
+
+def test_vectors_edge(spark):
+    vecs = {1: [1, 0, 0], 2: [2, 0, 0], 3: [-1, 0, 0], 4: [0, 1, 0], 5: [0, 0, 0],
+            6: [1, 1, 0]}
+    got = rows(similarity.similar_pairs(frame(spark, vecs), 0.6))
+    got = [(a, b, round(r, 9)) for a, b, r in got]
+    assert got == brute_force_pairs(vecs, 0.6)
+    assert (1, 2, 1.0) in got and all(5 not in (a, b) for a, b, _ in got)
+    # cos(1, 6) = 0.7071 > 0.6; orthogonal and opposite pairs absent
+    assert (1, 6, round(1 / np.sqrt(2), 9)) in got
+
+
+@pytest.mark.parametrize("block_mb", [64.0, 0.0005])
+def test_blocked_equals_brute_force(spark, block_mb):
+    rng = np.random.default_rng(7)
+    vecs = {int(i): rng.normal(size=4).round(3).tolist() for i in range(60)}
+    got = similarity.similar_pairs(frame(spark, vecs), 0.3, block_mb=block_mb)
+    got = sorted((a, b, round(r, 9)) for a, b, r in got.collect())
+    assert got == brute_force_pairs({k: np.float32(v) for k, v in vecs.items()}, 0.3)
+    # symmetric, no self pair, within [-1, 1]
+    s = {(a, b) for a, b, _ in got}
+    assert all((b, a) in s for a, b in s) and all(a != b for a, b in s)
+    assert all(-1 <= r <= 1 + 1e-12 for *_, r in got)
+
+
+def test_movie_recs_nested_sorted(spark):
+    vecs = {1: [1, 0], 2: [1, 0.1], 3: [1, 0.5], 4: [0, 1]}
+    pairs = similarity.similar_pairs(frame(spark, vecs), 0.6)
+    nested = {r["mid"]: [x["rid"] for x in r["recs"]]
+              for r in similarity.movie_recs(pairs).collect()}
+    assert nested[1] == [2, 3] and nested[3] == [2, 1]
+    assert 4 not in nested                  # no neighbour above 0.6: absent
+
+
+def test_expression_cosine_matches_kernel(spark):
+    rng = np.random.default_rng(3)
+    vecs = {int(i): rng.normal(size=5).round(3).tolist() for i in range(30)}
+    f = frame(spark, vecs)
+    pairs = similarity.similar_pairs(f, 0.2)
+    both = similarity.cosine_of_pairs(pairs, f).join(pairs, ["mid", "rid"]).collect()
+    assert both and all(abs(r["cos"] - r["r"]) < 1e-9 for r in both)
