@@ -26,6 +26,19 @@ def block_rows_for(dim: int, block_mb: float = DEFAULT_BLOCK_MB) -> int:
     return max(1, int(block_mb * 1024 * 1024 // max(1, dim * 8)))
 
 
+def materialize(vectors: DataFrame) -> DataFrame:
+    """Reliable checkpoint of the prepared vectors (in ``spark.checkpoint.dir``).
+
+    The block count needs the row count, and every block is then read
+    blocks-many times: checkpointing once keeps upstream work (joins,
+    aggregations) from running twice and gives the replicated stage a stable,
+    lineage-free input that survives a lost executor.
+    """
+    from reelrank.session import work_dir
+    work_dir(vectors.sparkSession)  # sets a checkpoint dir only where none is configured
+    return vectors.checkpoint(eager=True)
+
+
 def count_and_dim(vectors: DataFrame, col: str = "v") -> tuple[int, int]:
     """Row count and vector length in one small aggregate (one row to the driver)."""
     row = vectors.agg(F.count(F.lit(1)).alias("n"),

@@ -125,17 +125,19 @@ def user_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User factors (uid, features ARRAY<DOUBLE>) derived from the ratings.
 
     A user's vector is the mean of the item vectors of the movies they rated
-    (every rating row counts). Averaged per (uid, position) so a user holding a
-    third of all ratings is still combined map-side before the shuffle.
+    (every rating row counts), computed by Spark ML's ``Summarizer`` as one
+    typed partial aggregate per user, so a user holding a third of all ratings
+    is still combined map-side before the shuffle.
     """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
     r = ratings(spark, sf_dir).select("uid", "mid")
     f = features(spark, sf_dir)
-    exploded = r.join(f, "mid").select("uid", F.posexplode("features").alias("pos", "x"))
-    per_pos = exploded.groupBy("uid", "pos").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    return per_pos.groupBy("uid").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))),
-                    lambda s: s["x"]).alias("features")
-    )
+    vecs = r.join(f, "mid").select(
+        "uid", array_to_vector(F.col("features").cast("array<double>")).alias("v"))
+    return (vecs.groupBy("uid").agg(Summarizer.mean(F.col("v")).alias("m"))
+            .select("uid", vector_to_array("m").alias("features")))
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
