@@ -276,8 +276,7 @@ def als_item_factors(spark, sf_dir):
 @query
 def als_user_recs(spark, sf_dir):
     model = _train(spark, sf_dir)
-    return als_ops.offline_user_recs(model, views.ratings(spark, sf_dir),
-                                     views.movies(spark, sf_dir))
+    return als_ops.offline_user_recs(model, views.movies(spark, sf_dir))
 
 
 @query
@@ -364,6 +363,7 @@ from reelrank.streaming import jobs, messages  # noqa: E402
 from reelrank.functions.scalar import java_string_hash  # noqa: E402
 
 STREAM_FILES = 4  # the table is replayed as this many time-ordered micro-batches
+RATING_BUCKETS = 32  # uid buckets of the stored Rating table the stream looks up
 
 
 @query
@@ -426,11 +426,13 @@ def stream_realtime_recs(spark, sf_dir):
     state, scoring per micro-batch, replace-by-key StreamRecs table."""
     sim_path = tables.overwrite_table(_features_sim(spark, sf_dir, ONLINE_THRESHOLD),
                                       fresh_path(spark, "MovieRecs"))
-    rated_path = tables.overwrite_table(views.ratings(spark, sf_dir), fresh_path(spark, "Rating"))
+    rated_path = tables.write_bucketed_by_key(views.ratings(spark, sf_dir),
+                                              fresh_path(spark, "Rating"), "uid", RATING_BUCKETS)
     src = _replay(spark, views.stream_messages(spark, sf_dir), "rt_in")
     out_base = fresh_path(spark, "StreamRecs")
     jobs.start_realtime(spark, jobs.text_stream(spark, src), sim_path, rated_path, out_base,
-                        fresh_path(spark, "rt_ckpt"), 20, 20, ONLINE_THRESHOLD)
+                        fresh_path(spark, "rt_ckpt"), 20, 20, ONLINE_THRESHOLD,
+                        rated_buckets=RATING_BUCKETS)
     recs = tables.read_replace_table(spark, out_base, "uid")
     flat = recs.select("uid", F.explode_outer("recs").alias("rec"))
     return flat.select("uid", F.col("rec.rid").alias("mid"),
