@@ -482,3 +482,25 @@ def update_user_genres(spark, sf_dir):
     updated = user_ops.update_user_genres(merged, reqs)
     return updated.select("uid", "userName", F.array_join("genres", "|").alias("genres"),
                           "firstLogin")
+
+
+# ---- whole jobs -------------------------------------------------------------
+
+from reelrank.plans import jobs as app_jobs  # noqa: E402
+
+
+@query
+def statistics_job(spark, sf_dir):
+    """Load job (text rendered from the tables) then statistics job into a
+    fresh store; GenresTopMovies read back from the store, flattened."""
+    store = app_jobs.Store(spark, fresh_path(spark, "store"))
+    movies_txt = _as_text(spark, text.render_movie_lines(views.movies(spark, sf_dir)), "m_txt")
+    ratings_txt = _as_text(spark, text.render_rating_lines(views.ratings(spark, sf_dir)), "r_txt")
+    tags_txt = _as_text(spark, text.render_tag_lines(views.tags(spark, sf_dir)), "t_txt")
+    app_jobs.load_job(spark, movies_txt, ratings_txt, tags_txt, store)
+    app_jobs.statistics_job(spark, store, views.TEST_GENRES, 10)
+    nested = store.read("GenresTopMovies")
+    flat = nested.select(F.col("genres").alias("genre"),
+                         F.posexplode("recs").alias("p", "rec"))
+    return flat.select("genre", (F.col("p") + 1).cast("int").alias("rank"),
+                       F.col("rec.rid").alias("mid"), F.round(F.col("rec.r"), 6).alias("avg"))

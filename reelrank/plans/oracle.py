@@ -405,3 +405,5 @@ SQL["update_user_genres"] = with_views(
              FROM v_registered g JOIN v_user_hash h USING (userName)) u
        LEFT JOIN (SELECT userName, arg_max(genres, req_order) AS genres
                   FROM v_requests GROUP BY userName) l USING (userName)""", "v_registered")
+
+SQL["statistics_job"] = SQL["genre_top10"]
