@@ -102,13 +102,13 @@ def genres_top_movies(movies: DataFrame, averages: DataFrame, genres: DataFrame,
 def tags_per_movie(tags: DataFrame) -> DataFrame:
     """Distinct tags of each movie joined by "|" (sorted) -> (mid, tags).
 
-    Deduplicated per (mid, tag) first: the shuffle then carries distinct pairs
-    only, and one movie's list is bounded by its distinct tag vocabulary. NULL
+    One ``collect_set`` aggregate: each map task sends one deduplicated set per
+    movie (partial aggregation), so a movie with a third of all tag rows costs
+    one set per task and its final list is bounded by its distinct tags. NULL
     tags are skipped, so a movie with only NULL tags gets "".
     """
-    pairs = tags.select("mid", "tag").distinct()
-    return pairs.groupBy("mid").agg(
-        F.concat_ws("|", F.array_sort(F.collect_list("tag"))).alias("tags"))
+    return tags.groupBy("mid").agg(
+        F.concat_ws("|", F.array_sort(F.collect_set("tag"))).alias("tags"))
 
 
 def movies_with_tags(movies: DataFrame, tags: DataFrame) -> DataFrame:

@@ -364,6 +364,7 @@ from reelrank.functions.scalar import java_string_hash  # noqa: E402
 
 STREAM_FILES = 4  # the table is replayed as this many time-ordered micro-batches
 RATING_BUCKETS = 32  # uid buckets of the stored Rating table the stream looks up
+SIM_BUCKETS = 16     # mid buckets of the stored similarity pairs
 
 
 @query
@@ -424,15 +425,15 @@ def stream_recent_ratings(spark, sf_dir):
 def stream_realtime_recs(spark, sf_dir):
     """The real-time job end to end: replayed rating stream, recent-rating
     state, scoring per micro-batch, replace-by-key StreamRecs table."""
-    sim_path = tables.overwrite_table(_features_sim(spark, sf_dir, ONLINE_THRESHOLD),
-                                      fresh_path(spark, "MovieRecs"))
+    sim_path = tables.write_bucketed_by_key(_features_sim(spark, sf_dir, ONLINE_THRESHOLD),
+                                            fresh_path(spark, "MovieRecs"), "mid", SIM_BUCKETS)
     rated_path = tables.write_bucketed_by_key(views.ratings(spark, sf_dir),
                                               fresh_path(spark, "Rating"), "uid", RATING_BUCKETS)
     src = _replay(spark, views.stream_messages(spark, sf_dir), "rt_in")
     out_base = fresh_path(spark, "StreamRecs")
     jobs.start_realtime(spark, jobs.text_stream(spark, src), sim_path, rated_path, out_base,
                         fresh_path(spark, "rt_ckpt"), 20, 20, ONLINE_THRESHOLD,
-                        rated_buckets=RATING_BUCKETS)
+                        rated_buckets=RATING_BUCKETS, sim_buckets=SIM_BUCKETS)
     recs = tables.read_replace_table(spark, out_base, "uid")
     flat = recs.select("uid", F.explode_outer("recs").alias("rec"))
     return flat.select("uid", F.col("rec.rid").alias("mid"),
