@@ -48,17 +48,16 @@ def load_job(spark: SparkSession, movie_path: str, rating_path: str, tag_path: s
              files_per_bucket: int = 1) -> None:
     """Parse the three text inputs and store them; rejects go to ``_rejects``.
 
-    Movie is keyed by mid (a later line replaces an earlier one, by input file
-    and position). With ``rating_buckets`` the Rating table is stored
-    partitioned by a uid bucket for the real-time job's lookups.
+    Movie, Rating and Tag hold every parsed row. MovieWithTags (the search
+    documents: movie left-joined to its tag string) is keyed by mid: a later
+    line of the movie file replaces an earlier one (by file, then position).
+    With ``rating_buckets`` the Rating table is stored partitioned by a uid
+    bucket for the real-time job's lookups.
     """
     movies = text.load_movies(spark, movie_path, mode)
     ratings = text.load_ratings(spark, rating_path, mode)
     tags = text.load_tags(spark, tag_path, mode)
-    ordered = movies.good.withColumn("__order", F.struct(
-        F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("i")))
-    movie_tbl = tables.keep_last_by_key(ordered, "mid", ["__order"]).drop("__order")
-    store.write(movie_tbl, S.MOVIE_TABLE)
+    store.write(movies.good, S.MOVIE_TABLE)
     if rating_buckets:
         tables.write_bucketed_by_key(ratings.good, store.path(S.RATING_TABLE), "uid",
                                      rating_buckets, files_per_bucket)
@@ -68,7 +67,11 @@ def load_job(spark: SparkSession, movie_path: str, rating_path: str, tag_path: s
     if mode.upper() == "PERMISSIVE":
         rejects = movies.rejects.unionByName(ratings.rejects).unionByName(tags.rejects)
         store.write(rejects, REJECTS)
-    store.write(stats.movies_with_tags(store.read(S.MOVIE_TABLE), store.read(S.TAG_TABLE)),
+    ordered = text.load_movies(spark, movie_path, mode).good.withColumn(
+        "__order", F.struct(F.col("_metadata.file_path").alias("f"),
+                            F.monotonically_increasing_id().alias("i")))
+    docs = stats.movies_with_tags(ordered, store.read(S.TAG_TABLE))
+    store.write(tables.keep_last_by_key(docs, "mid", ["__order"]).drop("__order"),
                 MOVIE_WITH_TAGS_TABLE)
 
 
