@@ -47,23 +47,37 @@ def movies_with_score(movies: DataFrame, averages: DataFrame) -> DataFrame:
     return movies.join(averages, "mid")
 
 
+# A genre list is broadcast only when it is a driver-side list of at most this
+# many names (its size is then known); a genre *table* is left to the planner.
+MAX_BROADCAST_GENRES = 100_000
+
+
 def genre_table(spark: SparkSession, genres: Sequence[str] = DEFAULT_GENRES) -> DataFrame:
     """The genre list as a one-column table (a driver-side literal of known size)."""
     return spark.createDataFrame([(g,) for g in genres], "genre string")
 
 
-def genre_match(movies: DataFrame, genres: DataFrame) -> DataFrame:
+def genre_match(movies: DataFrame, genres: Sequence[str] | DataFrame) -> DataFrame:
     """(genre, movie row) for every genre whose lower-case name is a substring
     of the movie's lower-case genres text. Null genres never match (D11).
 
-    The genre side is a short literal list, so it is broadcast: the movie side
-    is scanned once with no shuffle (BroadcastNestedLoopJoin on a tiny build).
+    A genre *list* (checked: at most ``MAX_BROADCAST_GENRES`` names) is
+    broadcast, so the movie side is scanned once with no shuffle
+    (BroadcastNestedLoopJoin on a tiny build side). A genre *table* of unknown
+    size is joined without a hint and Spark/AQE choose the strategy.
     """
-    cond = F.lower(movies["genres"]).contains(F.lower(genres["genre"]))
-    return movies.join(F.broadcast(genres), cond, "inner")
-
-
-def genre_top_k(movies: DataFrame, averages: DataFrame, genres: DataFrame,
+    if isinstance(genres, DataFrame):
+        g = genres
+    else:
+        names = list(genres)
+        if len(names) > MAX_BROADCAST_GENRES:
+            raise ValueError(f"{len(names)} genres: pass them as a DataFrame instead")
+        g = F.broadcast(genre_table(movies.sparkSession, names))
+    cond = F.lower(movies["genres"]).contains(F.lower(g["genre"]))
+    return movies.join(g, cond, "inner")
+
+
+def genre_top_k(movies: DataFrame, averages: DataFrame, genres: Sequence[str] | DataFrame,
                 k: int = GENRE_TOP_K) -> DataFrame:
     """Top k movies per genre by mean score, flat -> (genre, rank, mid, avg).
 
@@ -93,8 +107,8 @@ def nest_ranked(flat: DataFrame, key: str, key_out: str, id_col: str = "mid",
     ).withColumnRenamed(key, key_out)
 
 
-def genres_top_movies(movies: DataFrame, averages: DataFrame, genres: DataFrame,
-                      k: int = GENRE_TOP_K) -> DataFrame:
+def genres_top_movies(movies: DataFrame, averages: DataFrame,
+                      genres: Sequence[str] | DataFrame, k: int = GENRE_TOP_K) -> DataFrame:
     """GenresRecommendation(genres, recs) as the statistics job stores it."""
     return nest_ranked(genre_top_k(movies, averages, genres, k), "genre", "genres")
 

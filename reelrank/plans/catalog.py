@@ -76,15 +76,14 @@ def movies_with_score(spark, sf_dir):
 
 @query
 def genre_match(spark, sf_dir):
-    genres = stats.genre_table(spark, views.TEST_GENRES)
-    return stats.genre_match(views.movies(spark, sf_dir), genres).select("genre", "mid")
+    return stats.genre_match(views.movies(spark, sf_dir), views.TEST_GENRES) \
+        .select("genre", "mid")
 
 
 @query
 def genre_top10(spark, sf_dir):
-    genres = stats.genre_table(spark, views.TEST_GENRES)
     avg = stats.average_score(views.ratings(spark, sf_dir))
-    top = stats.genre_top_k(views.movies(spark, sf_dir), avg, genres, k=10)
+    top = stats.genre_top_k(views.movies(spark, sf_dir), avg, views.TEST_GENRES, k=10)
     return top.select("genre", "rank", "mid", r6("avg"))
 
 

@@ -93,7 +93,8 @@ def rollups(monthly: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
             per_movie.select("mid", (F.col("sum_score") / F.col("count")).alias("avg")))
 
 
-def statistics_tables(ratings: DataFrame, movies: DataFrame, genres: DataFrame,
+def statistics_tables(ratings: DataFrame, movies: DataFrame,
+                      genres: Sequence[str] | DataFrame = S.DEFAULT_GENRES,
                       k: int = S.GENRE_TOP_K) -> dict[str, DataFrame]:
     """The four statistics tables as lazy DataFrames over one rating aggregate."""
     recently, more, averages = rollups(monthly_counts(ratings))
@@ -117,8 +118,7 @@ def statistics_job(spark: SparkSession, store: Store, genres: Sequence[str] = S.
     store.write(more, S.RATE_MORE_MOVIES_TABLE)
     store.write(averages, S.AVERAGE_MOVIES_SCORE_TABLE)
     store.write(stats.genres_top_movies(store.read(S.MOVIE_TABLE),
-                                        store.read(S.AVERAGE_MOVIES_SCORE_TABLE),
-                                        stats.genre_table(spark, genres), k),
+                                        store.read(S.AVERAGE_MOVIES_SCORE_TABLE), genres, k),
                 S.GENRES_TOP_MOVIES_TABLE)
 
 

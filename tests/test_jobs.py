@@ -95,3 +95,5 @@ def test_offline_and_tuning_jobs(spark, tmp_dir):
     grid = st.read("_tuning_grid").collect()
     assert len(grid) == 2 and len(best) == 1
     assert best[0]["rmse"] == min(g["rmse"] for g in grid)
+    held = als.grid_search(spark, st.read(S.RATING_TABLE), [4], [0.1], max_iter=3, holdout=0.2)
+    assert held.count() == 1 and held.first()["rmse"] > 0

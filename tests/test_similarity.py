@@ -59,6 +59,8 @@ def test_movie_recs_nested_sorted(spark):
     nested = {r["mid"]: [x["rid"] for x in r["recs"]]
               for r in similarity.movie_recs(pairs).collect()}
     assert nested[1] == [2, 3] and nested[3] == [2, 1]
+    compat = similarity.movie_recs(pairs, uid_alias=True)
+    assert compat.filter("uid <> mid").count() == 0
     assert 4 not in nested                  # no neighbour above 0.6: absent
 
 

@@ -25,7 +25,7 @@ def test_genre_top_k_ties_and_k(spark):
     movies = spark.createDataFrame([(i, f"m{i}", "Drama") for i in range(1, 8)], MOVIE_COLS)
     avgs = spark.createDataFrame([(1, 3.0), (2, 4.0), (3, 4.0), (4, 1.0), (5, 5.0), (6, 2.0)],
                                  "mid int, avg double")
-    genres = stats.genre_table(spark, ["Drama", "Horror"])
+    genres = ["Drama", "Horror"]                      # a list: broadcast, size checked
     top = stats.genre_top_k(movies, avgs, genres, k=3)
     assert rows(top) == [("Drama", 1, 5, 5.0), ("Drama", 2, 2, 4.0), ("Drama", 3, 3, 4.0)]
     nested = stats.genres_top_movies(movies, avgs, genres, k=3).collect()
@@ -53,3 +53,10 @@ def test_tags_dup_and_left_join(spark):
     joined = {r["mid"]: r["tags"] for r in stats.movies_with_tags(movies, tags).collect()}
     assert joined == {10: "dark|funny", 11: None, 12: ""}
     assert stats.movies_with_tags(movies, tags).columns.count("mid") == 1
+
+
+def test_genre_list_size_check(spark):
+    movies = spark.createDataFrame([(1, "a", "Drama")], MOVIE_COLS)
+    import pytest
+    with pytest.raises(ValueError):
+        stats.genre_match(movies, ["g"] * (stats.MAX_BROADCAST_GENRES + 1))
