@@ -46,10 +46,38 @@ def count_and_dim(vectors: DataFrame, col: str = "v") -> tuple[int, int]:
     return int(row["n"] or 0), int(row["d"] or 0)
 
 
+MIN_BLOCK_ROWS = 512  # below this a block is not worth its task
+
+
 def n_blocks(n: int, rows_per_block: int) -> int:
     return max(1, math.ceil(n / max(1, rows_per_block)))
 
 
+def target_tasks(spark) -> int:
+    """Block pairs wanted so every core of the cluster gets work (2 waves)."""
+    return 2 * max(1, spark.sparkContext.defaultParallelism)
+
+
+def self_blocks(n: int, dim: int, block_mb: float, tasks: int) -> int:
+    """Blocks for the self product: enough for memory, and enough block pairs
+    (B(B+1)/2) for the cluster, without going below MIN_BLOCK_ROWS rows."""
+    by_memory = n_blocks(n, block_rows_for(max(dim, 1), block_mb))
+    by_tasks = math.ceil((math.sqrt(8 * tasks + 1) - 1) / 2)
+    return max(by_memory, min(by_tasks, max(1, n // MIN_BLOCK_ROWS)))
+
+
+def cross_blocks(n_left: int, n_right: int, dim: int, block_mb: float,
+                 tasks: int) -> tuple[int, int]:
+    """Blocks for left x right: the right side (items) by memory only; the left
+    side (users) also split further until there are enough block pairs, since
+    more left blocks only re-send the (smaller) right side."""
+    rows = block_rows_for(max(dim, 1), block_mb)
+    br = n_blocks(n_right, rows)
+    bl = n_blocks(n_left, rows)
+    by_tasks = math.ceil(tasks / br)
+    return max(bl, min(by_tasks, max(1, n_left // MIN_BLOCK_ROWS))), br
+
+
 def block_of(key_col: str, blocks: int) -> F.Column:
     return F.pmod(F.xxhash64(F.col(key_col)), F.lit(blocks)).cast("int")
 
@@ -65,9 +93,12 @@ def self_pair_sides(df: DataFrame, key_col: str, blocks: int) -> tuple[DataFrame
     left = keyed.select(F.col("__blk").alias("a"),
                         F.explode(F.sequence(F.col("__blk"), F.lit(blocks - 1))).alias("b"),
                         *df.columns)
+    # Both sides come from one frame: re-alias the right side's columns so they
+    # are new attributes. With shared attribute ids, column pruning under the
+    # cogroup can drop the right side's data columns (seen with count()).
     right = keyed.filter(F.col("__blk") > 0).select(
         F.explode(F.sequence(F.lit(0), F.col("__blk") - 1)).alias("a"),
-        F.col("__blk").alias("b"), *df.columns)
+        F.col("__blk").alias("b"), *[F.col(c).alias(c) for c in df.columns])
     return left, right
 
 

@@ -71,3 +71,13 @@ def test_expression_cosine_matches_kernel(spark):
     pairs = similarity.similar_pairs(f, 0.2)
     both = similarity.cosine_of_pairs(pairs, f).join(pairs, ["mid", "rid"]).collect()
     assert both and all(abs(r["cos"] - r["r"]) < 1e-9 for r in both)
+
+
+def test_many_blocks_count_and_collect_agree(spark):
+    # count() must run the kernel on full inputs too (column pruning under the
+    # cogroup once dropped the right side's columns when both sides shared ids)
+    rng = np.random.default_rng(5)
+    vecs = {int(i): rng.normal(size=4).round(3).tolist() for i in range(200)}
+    df = similarity.similar_pairs(frame(spark, vecs), 0.5, block_mb=0.002)
+    assert df.count() == len(df.collect()) == len(
+        brute_force_pairs({k: np.float32(v) for k, v in vecs.items()}, 0.5))
