@@ -106,10 +106,11 @@ def cross_pair_sides(left: DataFrame, left_key: str, left_blocks: int,
                      right: DataFrame, right_key: str, right_blocks: int
                      ) -> tuple[DataFrame, DataFrame]:
     """Sides for the product of two tables over all block pairs (a, b)."""
+    # fresh attributes on both sides (the two inputs may share a lineage)
     lk = left.select(block_of(left_key, left_blocks).alias("a"),
                      F.explode(F.sequence(F.lit(0), F.lit(right_blocks - 1))).alias("b"),
-                     *left.columns)
+                     *[F.col(c).alias(c) for c in left.columns])
     rk = right.select(F.explode(F.sequence(F.lit(0), F.lit(left_blocks - 1))).alias("a"),
                       block_of(right_key, right_blocks).alias("b"),
-                      *right.columns)
+                      *[F.col(c).alias(c) for c in right.columns])
     return lk, rk
