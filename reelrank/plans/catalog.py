@@ -504,3 +504,15 @@ def statistics_job(spark, sf_dir):
                          F.posexplode("recs").alias("p", "rec"))
     return flat.select("genre", (F.col("p") + 1).cast("int").alias("rank"),
                        F.col("rec.rid").alias("mid"), F.round(F.col("rec.r"), 6).alias("avg"))
+
+
+@query
+def decode_recent_items(spark, sf_dir):
+    """Recent-rating queue items as text "mid|score" (with blanks, as a list
+    server may hold them), decoded back to (uid, pos, mid, score)."""
+    rec = online.recent_ratings(views.stream_ratings(spark, sf_dir), 20)
+    items = rec.select("uid", "pos", F.concat(F.lit(" "), F.col("mid").cast("string"),
+                                              F.lit(" | "), F.col("score").cast("string"),
+                                              F.lit(" ")).alias("item"))
+    dec = items.select("uid", "pos", scalar.decode_recent_item("item").alias("d"))
+    return dec.select("uid", "pos", F.col("d.mid").alias("mid"), F.col("d.score").alias("score"))

@@ -407,3 +407,5 @@ SQL["update_user_genres"] = with_views(
                   FROM v_requests GROUP BY userName) l USING (userName)""", "v_registered")
 
 SQL["statistics_job"] = SQL["genre_top10"]
+SQL["decode_recent_items"] = with_views(
+    "SELECT uid, pos, mid, score FROM v_event_recent", "v_event_recent")
