@@ -34,3 +34,10 @@ def java_hash(s):
 def test_uid_expression(spark):
     df = spark.createDataFrame([("bob",)], "n string")
     assert df.select(java_string_hash("n")).first()[0] == java_hash("bob")
+
+
+def test_register_into_empty_table(spark):
+    reqs = spark.createDataFrame([("amy", 1), ("amy", 2)], "userName string, req_order long")
+    merged, outcomes = users.register_users(users.empty_users(spark), reqs)
+    assert rows(outcomes) == [("amy", 1, True), ("amy", 2, False)]
+    assert [r["userName"] for r in merged.collect()] == ["amy"]
