@@ -93,11 +93,6 @@ def cosine(a, b) -> Column:
     return F.when((na > 0) & (nb > 0), dot(a, b) / (na * nb))
 
 
-def l2_normalize(a) -> Column:
-    n = l2_norm(a)
-    return F.when(n > 0, F.transform(_c(a), lambda x: x / n))
-
-
 # --- scoring -----------------------------------------------------------------
 
 def log2_count(n) -> Column:
