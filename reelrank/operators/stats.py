@@ -53,8 +53,11 @@ MAX_BROADCAST_GENRES = 100_000
 
 
 def genre_table(spark: SparkSession, genres: Sequence[str] = DEFAULT_GENRES) -> DataFrame:
-    """The genre list as a one-column table (a driver-side literal of known size)."""
-    return spark.createDataFrame([(g,) for g in genres], "genre string")
+    """The genre list as a one-column table (a literal of known size), built
+    JVM-side from a literal array, with no Python-side data transfer."""
+    names = F.array(*[F.lit(str(g)) for g in genres]) if genres else \
+        F.array().cast("array<string>")
+    return spark.range(1).select(F.explode(names).alias("genre"))
 
 
 def genre_match(movies: DataFrame, genres: Sequence[str] | DataFrame) -> DataFrame:
