@@ -105,6 +105,7 @@ from reelrank.session import fresh_path  # noqa: E402
 from reelrank.sinks import tables  # noqa: E402
 from reelrank.sources import text  # noqa: E402
 from reelrank.functions import scalar  # noqa: E402
+from reelrank.schemas import RATING as RATING_SCHEMA  # noqa: E402
 
 
 def _as_text(spark, lines: DataFrame, name: str) -> str:
@@ -135,7 +136,7 @@ def load_tags(spark, sf_dir):
 def scan_ratings(spark, sf_dir):
     """Store the Rating table, then scan it back as (uid, mid, score)."""
     path = tables.overwrite_table(views.ratings(spark, sf_dir), fresh_path(spark, "Rating"))
-    return tables.read_table(spark, path).select("uid", "mid", "score")
+    return tables.read_as(spark, path, RATING_SCHEMA).select("uid", "mid", "score")
 
 
 @query

@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from reelrank import schemas as S
-from reelrank.operators import als, stats
+from reelrank.operators import als, similarity, stats
 from reelrank.plans import jobs
+from reelrank.sinks import tables
 from reelrank.sources import views
 
 from conftest import SF_SMALL, rows
@@ -97,3 +98,30 @@ def test_offline_and_tuning_jobs(spark, tmp_dir):
     assert best[0]["rmse"] == min(g["rmse"] for g in grid)
     held = als.grid_search(spark, st.read(S.RATING_TABLE), [4], [0.1], max_iter=3, holdout=0.2)
     assert held.count() == 1 and held.first()["rmse"] > 0
+
+
+def test_realtime_and_log_filter_jobs(spark, tmp_dir):
+    st = jobs.Store(spark, tmp_dir + "/store")
+    st.write(views.ratings(spark, SF_SMALL), S.RATING_TABLE)
+    st.write(views.movies(spark, SF_SMALL), S.MOVIE_TABLE)
+    pairs = similarity.similar_pairs(views.features(spark, SF_SMALL), 0.2)
+    st.write(similarity.movie_recs(pairs), S.MOVIE_RECS_TABLE)
+    msgs = views.stream_messages(spark, SF_SMALL).select("value")
+    msgs.coalesce(1).write.mode("overwrite").text(tmp_dir + "/topic")
+    q = jobs.start_realtime_job(spark, spark.readStream.format("text").load(tmp_dir + "/topic"),
+                                st, tmp_dir + "/ckpt", available_now=True, threshold=0.2)
+    assert q.exception() is None
+    recs = tables.read_replace_table(spark, st.path(S.STREAM_RECS_TABLE))
+    n_users = views.stream_ratings(spark, SF_SMALL).select("uid").distinct().count()
+    assert recs.count() == n_users and "recs_text" in recs.columns
+    # the log-filter job on a processing-time trigger (the production form)
+    lines = views.log_lines(spark, SF_SMALL).select("value")
+    lines.coalesce(1).write.mode("overwrite").text(tmp_dir + "/logs")
+    lq = jobs.start_log_filter_job(spark.readStream.format("text").load(tmp_dir + "/logs"),
+                                   tmp_dir + "/filtered", tmp_dir + "/lckpt")
+    try:
+        lq.processAllAvailable()
+    finally:
+        lq.stop()
+    assert spark.read.parquet(tmp_dir + "/filtered").count() == \
+        3 * views.log_lines(spark, SF_SMALL).count() // 5
