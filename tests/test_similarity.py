@@ -81,3 +81,11 @@ def test_many_blocks_count_and_collect_agree(spark):
     df = similarity.similar_pairs(frame(spark, vecs), 0.5, block_mb=0.002)
     assert df.count() == len(df.collect()) == len(
         brute_force_pairs({k: np.float32(v) for k, v in vecs.items()}, 0.5))
+
+
+def test_pair_exactly_at_threshold_is_excluded(spark):
+    # cos([3, 4], [5, 0]) = 15 / (5 * 5) = 0.6 exactly: "> 0.6" keeps it out
+    vecs = {1: [3, 4], 2: [5, 0], 3: [4, 3]}
+    got = {(a, b) for a, b, _ in similarity.similar_pairs(frame(spark, vecs), 0.6).collect()}
+    assert (1, 2) not in got and (2, 1) not in got
+    assert (1, 3) in got and (2, 3) in got          # 24/25 = 0.96 and 20/25 = 0.8
