@@ -45,7 +45,7 @@ class Store:
 
 def load_job(spark: SparkSession, movie_path: str, rating_path: str, tag_path: str,
              store: Store, mode: str = "PERMISSIVE", rating_buckets: int | None = None,
-             files_per_bucket: int = 1) -> None:
+             files_per_bucket: int | None = None) -> None:
     """Parse the three text inputs and store them; rejects go to ``_rejects``.
 
     Movie, Rating and Tag hold every parsed row. MovieWithTags (the search
