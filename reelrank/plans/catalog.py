@@ -12,9 +12,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.functions.scalar import register_sql_functions
-from reelrank.operators import stats
-from reelrank.sources import views
+from reelrank.functions import scalar
+from reelrank.functions.scalar import java_string_hash, register_sql_functions
+from reelrank.operators import als as als_ops
+from reelrank.operators import factors, online, similarity, stats
+from reelrank.operators import users as user_ops
+from reelrank.plans import jobs as app_jobs
+from reelrank.schemas import RATING as RATING_SCHEMA
+from reelrank.session import fresh_path
+from reelrank.sinks import tables
+from reelrank.sources import text, views
+from reelrank.streaming import jobs, messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -99,13 +107,6 @@ def movies_with_tags(spark, sf_dir):
 
 # ---- load / write -----------------------------------------------------------
 
-from reelrank.operators import factors, online, similarity  # noqa: E402
-from reelrank.operators import als as als_ops  # noqa: E402
-from reelrank.session import fresh_path  # noqa: E402
-from reelrank.sinks import tables  # noqa: E402
-from reelrank.sources import text  # noqa: E402
-from reelrank.functions import scalar  # noqa: E402
-from reelrank.schemas import RATING as RATING_SCHEMA  # noqa: E402
 
 
 def _as_text(spark, lines: DataFrame, name: str) -> str:
@@ -358,9 +359,6 @@ def realtime_recs(spark, sf_dir):
 
 # ---- messages and streams ---------------------------------------------------
 
-from reelrank.operators import users as user_ops  # noqa: E402
-from reelrank.streaming import jobs, messages  # noqa: E402
-from reelrank.functions.scalar import java_string_hash  # noqa: E402
 
 STREAM_FILES = 4  # the table is replayed as this many time-ordered micro-batches
 RATING_BUCKETS = 32  # uid buckets of the stored Rating table the stream looks up
@@ -488,7 +486,6 @@ def update_user_genres(spark, sf_dir):
 
 # ---- whole jobs -------------------------------------------------------------
 
-from reelrank.plans import jobs as app_jobs  # noqa: E402
 
 
 @query
