@@ -41,3 +41,12 @@ def test_register_into_empty_table(spark):
     merged, outcomes = users.register_users(users.empty_users(spark), reqs)
     assert rows(outcomes) == [("amy", 1, True), ("amy", 2, False)]
     assert [r["userName"] for r in merged.collect()] == ["amy"]
+
+
+def test_user_record_has_no_password_d15(spark):
+    from reelrank.schemas import USER
+    assert "password" not in [f.name.lower() for f in USER.fields]
+    merged, _ = users.register_users(users.empty_users(spark),
+                                     spark.createDataFrame([("x", 1)], "userName string, "
+                                                           "req_order long"))
+    assert "password" not in [c.lower() for c in merged.columns]
