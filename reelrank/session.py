@@ -66,3 +66,33 @@ def ensure_stateful_provider(spark: SparkSession) -> None:
     key = "spark.sql.streaming.stateStore.providerClass"
     if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
         spark.conf.set(key, ROCKSDB_PROVIDER)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``reelrank`` importable on every executor's Python workers.
+
+    The blocked kernels and stream-state functions are pickled by reference,
+    so the workers import this package. It is zipped once per application and
+    handed to ``SparkContext.addPyFile``, Spark's own way to ship Python code
+    to executors (the same as ``--py-files``).
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="reelrank-pyfiles-"), "reelrank.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
