@@ -77,7 +77,8 @@ def ship_package(spark: SparkSession) -> None:
     The blocked kernels and stream-state functions are pickled by reference,
     so the workers import this package. It is zipped once per application and
     handed to ``SparkContext.addPyFile``, Spark's own way to ship Python code
-    to executors (the same as ``--py-files``).
+    to executors (the same as ``--py-files``). The zip is a driver-side file
+    that Spark serves to the executors; no executor reads a local folder.
     """
     sc = spark.sparkContext
     app = sc.applicationId

@@ -49,3 +49,17 @@ def test_matches_duckdb_small(spark, duck, name):
     want = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
     assert _norm(got, df.columns) == _norm(want, rel.columns)
+
+
+def test_package_is_shipped_once(spark):
+    import zipfile
+
+    from reelrank import session
+    session.ship_package(spark)
+    session.ship_package(spark)
+    assert spark.sparkContext.applicationId in session._SHIPPED
+    shipped = [f for f in spark.sparkContext.listFiles if f.endswith("reelrank.zip")]
+    assert len(shipped) == 1
+    with zipfile.ZipFile(shipped[0].replace("file:", "")) as z:
+        names = z.namelist()
+    assert "reelrank/operators/similarity.py" in names and "reelrank/__init__.py" in names
