@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from reelrank.llm import bpe, decontaminate
+from reelrank.llm import bpe, decontaminate, langid, licenses, urlfilter
 
 QUERIES = {f.__name__: f for f in (
+    langid.op3_language_id,
+    urlfilter.op4_url_filter,
+    licenses.op5_license_scan,
     decontaminate.op8_benchmark_decontamination,
     bpe.op10_byte_bpe,
 )}
 
 SQL = {
+    "op4_url_filter": urlfilter.SQL,
+    "op5_license_scan": licenses.SQL,
     "op8_benchmark_decontamination": decontaminate.SQL,
 }
