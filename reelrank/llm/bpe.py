@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from reelrank.llm.common import read, ship_package
 
-CACHE_PIECES = 300_000   # pieces a worker remembers (short ones only)
-CACHE_BYTES = 64
+#: What a worker remembers: pieces of a generation (there are two), and the longest.
+CACHE_PIECES, CACHE_CHARS = 250_000, 48
 _NONE = 1 << 62
 
 
@@ -39,74 +39,89 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     if whole is not None:
         return [whole]
     n = len(piece)
-    size = 1 << (n - 1).bit_length() if n > 1 else 1
     get = ranks.get
-    tree = [_NONE] * (2 * size)   # rank * size + position: ties go to the left
+    bits = (n - 1).bit_length()
+    size = 1 << bits
+    mask = size - 1
+    # leaf i: rank of the pair at byte i, then i itself, so that ties go to the left
+    leaves = [_NONE] * size
     for i in range(n - 1):
         r = get(piece[i:i + 2])
         if r is not None:
-            tree[size + i] = r * size + i
-    for v in range(size - 1, 0, -1):
-        a, b = tree[2 * v], tree[2 * v + 1]
-        tree[v] = a if a < b else b
-    after = list(range(1, n + 1))      # start of the next live part
-    before = list(range(-1, n - 1))
-
-    def put(i: int, key: int) -> None:
-        v = size + i
-        tree[v] = key
-        v >>= 1
-        while v:
-            a, b = tree[2 * v], tree[2 * v + 1]
-            m = a if a < b else b
-            if tree[v] == m:
-                break
-            tree[v] = m
-            v >>= 1
-
-    def pair(i: int) -> int:
-        j = after[i]
-        if j >= n:
-            return _NONE
-        r = get(piece[i:after[j]])
-        return _NONE if r is None else r * size + i
-
+            leaves[i] = r << bits | i
+    levels = [leaves]
+    while len(leaves) > 1:
+        leaves = list(map(min, leaves[::2], leaves[1::2]))
+        levels.append(leaves)
+    tree = [_NONE]
+    for level in reversed(levels):
+        tree += level
+    end = list(range(1, n + 1))        # where the live part that starts here ends
+    before = list(range(-1, n - 1))    # start of the live part before
     while tree[1] < _NONE:
-        i = tree[1] % size
-        j = after[i]
-        after[i] = k = after[j]
+        i = tree[1] & mask
+        j = end[i]                     # the part at j is swallowed
+        end[i] = k = end[j]
+        a = h = before[i]
+        c = size + j
+        tree[c] = _NONE
+        b = size + i
         if k < n:
             before[k] = i
-        put(j, _NONE)
-        put(i, pair(i))
-        if before[i] >= 0:
-            put(before[i], pair(before[i]))
+            r = get(piece[i:end[k]])
+            tree[b] = _NONE if r is None else r << bits | i
+        else:
+            tree[b] = _NONE
+        if h >= 0:
+            a = size + h
+            r = get(piece[h:k])
+            tree[a] = _NONE if r is None else r << bits | h
+        else:
+            a = b
+        # three leaves changed: their paths to the root, each shared node once
+        a, b, c = a >> 1, b >> 1, c >> 1
+        while b:
+            x, y = tree[2 * b], tree[2 * b + 1]
+            tree[b] = x if x < y else y
+            if c != b:
+                x, y = tree[2 * c], tree[2 * c + 1]
+                tree[c] = x if x < y else y
+            if a != b:
+                x, y = tree[2 * a], tree[2 * a + 1]
+                tree[a] = x if x < y else y
+            a, b, c = a >> 1, b >> 1, c >> 1
     out, i = [], 0
     while i < n:
-        out.append(ranks[piece[i:after[i]]])
-        i = after[i]
+        out.append(ranks[piece[i:end[i]]])
+        i = end[i]
     return out
 
 
 class Codec:
-    """Encoder and decoder for one rank table; remembers recent short pieces."""
+    """Encoder and decoder for one rank table. Short pieces are remembered in two
+    generations: when the young one is full it becomes the old one, and old pieces
+    that come up again move to the young one, so frequent ones stay."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.split = ranks, regex.compile(pattern).findall
         self.bytes_of = {v: k for k, v in ranks.items()}
-        self.seen: dict[str, list[int]] = {}
+        self.young: dict[str, list[int]] = {}
+        self.old: dict[str, list[int]] = {}
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
-        seen = self.seen
+        known = self.young.get
         for p in self.split(text):
-            ids = seen.get(p)
+            ids = known(p)
             if ids is None:
-                ids = merge_piece(p.encode(), self.ranks)
-                if len(p) <= CACHE_BYTES:
-                    if len(seen) >= CACHE_PIECES:
-                        seen.clear()
-                    seen[p] = ids
+                ids = self.old.get(p)
+                if ids is None:
+                    ids = merge_piece(p.encode(), self.ranks)
+                if len(p) <= CACHE_CHARS:
+                    if len(self.young) >= CACHE_PIECES:
+                        self.young, self.old = {}, self.young
+                        known = self.young.get
+                    self.young[p] = ids
             out += ids
         return out
 
@@ -167,20 +182,32 @@ def decode(tokens: DataFrame, rank_path: str, pattern: str, *, ids_col: str = "i
     return tokens.withColumn(out_col, back(F.col(ids_col)))
 
 
-def ids_bytes(ids_col: str):
-    """The ids as little-endian unsigned 32-bit integers, as a binary column."""
-    @F.pandas_udf("binary")
-    def packed(s: pd.Series) -> pd.Series:
-        return pd.Series([np.asarray(x, "<u4").tobytes() for x in s])
-    return packed(F.col(ids_col))
+def round_trip(docs: DataFrame, rank_path: str, pattern: str, *, text_col: str = "text",
+               out_col: str = "tokens") -> DataFrame:
+    """Adds ``out_col`` struct(ids, decoded), both binary: the ids as little-endian unsigned
+    32-bit integers and the bytes that they decode to, in one pass over the texts.
+    Nulls and empty texts give empty values."""
+    shared = _share(docs.sparkSession, rank_path, pattern)
+
+    @F.pandas_udf("ids binary, decoded binary")
+    def both(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        codec = _codec(shared)
+        for s in texts:
+            packed, back = [], []
+            for t in s:
+                ids = codec.encode(t) if t else []
+                packed.append(np.array(ids, "<u4").tobytes())
+                back.append(codec.decode(ids))
+            yield pd.DataFrame({"ids": packed, "decoded": back})
+
+    return docs.withColumn(out_col, both(F.col(text_col)))
 
 
 def token_digests(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
-    tokens = encode(docs.select("doc_id", "text"), rank_path, pattern)
-    tokens = decode(tokens, rank_path, pattern)
-    return tokens.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                         F.sha2(ids_bytes("ids"), 256).alias("ids_sha256"),
-                         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+    tokens = round_trip(docs.select("doc_id", "text"), rank_path, pattern)
+    return tokens.select("doc_id", (F.octet_length("tokens.ids") / 4).cast("long").alias("n_tokens"),
+                         F.sha2("tokens.ids", 256).alias("ids_sha256"),
+                         F.sha2("tokens.decoded", 256).alias("decoded_sha256"))
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,6 +46,22 @@ def test_query_equals_the_library(spark):
         assert r["decoded_sha256"] == hashlib.sha256((d["text"] or "").encode()).hexdigest()
 
 
+def test_encode_and_decode_columns(spark):
+    df = spark.createDataFrame([(1, "Hello  wörld, it's 12!"), (2, None), (3, "")], "k int, text string")
+    tok = bpe.encode(df, PATH, public_tokenizers.PATTERN)
+    got = {r["k"]: r for r in bpe.decode(tok, PATH, public_tokenizers.PATTERN).collect()}
+    assert got[1]["ids"] == LIB.encode_ordinary("Hello  wörld, it's 12!")
+    assert got[1]["decoded"].decode() == "Hello  wörld, it's 12!"
+    assert got[2]["ids"] == got[3]["ids"] == [] and bytes(got[2]["decoded"]) == b""
+
+
+def test_small_cache_generations(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 2)
+    own = bpe.Codec(RANKS, public_tokenizers.PATTERN)
+    text = "alphabetagamma deltaepsilonzeta etathetaiota kappalambdamu alphabetagamma " * 3
+    assert own.encode(text) == LIB.encode_ordinary(text)
+
+
 def test_nulls_repeats_empty_and_clashing_columns(spark):
     rows = [(1, None, 5), (1, "", 5), (None, "same text", 6), (None, "same text", 6)]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids long")
