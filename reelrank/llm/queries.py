@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from reelrank.llm import bpe, decontaminate, langid, licenses, urlfilter
+from reelrank.llm import bpe, decontaminate, langid, licenses, pii, urlfilter
 
 QUERIES = {f.__name__: f for f in (
     langid.op3_language_id,
     urlfilter.op4_url_filter,
     licenses.op5_license_scan,
     decontaminate.op8_benchmark_decontamination,
+    pii.op9_pii_surrogates,
     bpe.op10_byte_bpe,
 )}
 
