@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from reelrank.llm import bpe, decontaminate, langid, licenses, pii, urlfilter
+from reelrank.llm import bpe, decontaminate, langid, licenses, pii, topk, urlfilter
 
 QUERIES = {f.__name__: f for f in (
+    topk.op1_topk_search,
     langid.op3_language_id,
     urlfilter.op4_url_filter,
     licenses.op5_license_scan,
@@ -14,6 +15,7 @@ QUERIES = {f.__name__: f for f in (
 )}
 
 SQL = {
+    "op1_topk_search": topk.SQL,
     "op4_url_filter": urlfilter.SQL,
     "op5_license_scan": licenses.SQL,
     "op8_benchmark_decontamination": decontaminate.SQL,
