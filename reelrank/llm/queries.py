@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from reelrank.llm import bpe, decontaminate, langid, licenses, pii, topk, urlfilter
+from reelrank.llm import bpe, decontaminate, langid, licenses, pii, topk, toxicity, urlfilter
 
 QUERIES = {f.__name__: f for f in (
     topk.op1_topk_search,
+    toxicity.op2_toxicity,
     langid.op3_language_id,
     urlfilter.op4_url_filter,
     licenses.op5_license_scan,
