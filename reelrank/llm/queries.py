@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reelrank.llm import bpe, decontaminate, langid, licenses, lm, pii, topk, toxicity, urlfilter
+from reelrank.llm import bpe, decontaminate, langid, licenses, lm, neardup, pii, topk, toxicity, urlfilter
 
 QUERIES = {f.__name__: f for f in (
     topk.op1_topk_search,
@@ -10,6 +10,7 @@ QUERIES = {f.__name__: f for f in (
     langid.op3_language_id,
     urlfilter.op4_url_filter,
     licenses.op5_license_scan,
+    neardup.op6_near_dedup,
     lm.op7_lm_scoring,
     decontaminate.op8_benchmark_decontamination,
     pii.op9_pii_surrogates,
