@@ -158,6 +158,15 @@ def _hash_from_hex(hexed: Column) -> Column:
     return F.when(F.length(hexed) == 0, F.lit(0)).otherwise(signed).cast("int")
 
 
+def jvm_split(text, sep_regex: str) -> Column:
+    """Split as the JVM's ``String.split`` does: trailing empty fields are dropped, all of
+    them for a text of separators only; an empty text is one empty field."""
+    c = _c(text)
+    kept = F.regexp_replace(c, f"({sep_regex})+$", "")
+    return F.when((kept == "") & (c != ""), F.array().cast("array<string>")) \
+        .otherwise(F.split(kept, sep_regex, -1))
+
+
 def split_genres(text) -> Column:
-    """"a|b|c" -> ARRAY<STRING> (the preferences request form)."""
-    return F.split(_c(text), r"\|", -1)
+    """"a|b|c" -> ARRAY<STRING> (the preferences request form), by ``jvm_split``."""
+    return jvm_split(text, r"\|")

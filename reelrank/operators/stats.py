@@ -47,11 +47,6 @@ def movies_with_score(movies: DataFrame, averages: DataFrame) -> DataFrame:
     return movies.join(averages, "mid")
 
 
-# A genre list is broadcast only when it is a driver-side list of at most this
-# many names (its size is then known); a genre *table* is left to the planner.
-MAX_BROADCAST_GENRES = 100_000
-
-
 def genre_table(spark: SparkSession, genres: Sequence[str] = DEFAULT_GENRES) -> DataFrame:
     """The genre list as a one-column table (a literal of known size), built
     JVM-side from a literal array, with no Python-side data transfer."""
@@ -64,20 +59,15 @@ def genre_match(movies: DataFrame, genres: Sequence[str] | DataFrame) -> DataFra
     """(genre, movie row) for every genre whose lower-case name is a substring
     of the movie's lower-case genres text. Null genres never match (D11).
 
-    A genre *list* (checked: at most ``MAX_BROADCAST_GENRES`` names) is
-    broadcast, so the movie side is scanned once with no shuffle
-    (BroadcastNestedLoopJoin on a tiny build side). A genre *table* of unknown
-    size is joined without a hint and Spark/AQE choose the strategy.
+    A genre *list* is a literal of the plan: each movie row keeps the names it
+    contains (one scan, no shuffle, no join) and is exploded over those. A genre
+    *table* is joined; Spark chooses the strategy by its size.
     """
     if isinstance(genres, DataFrame):
-        g = genres
-    else:
-        names = list(genres)
-        if len(names) > MAX_BROADCAST_GENRES:
-            raise ValueError(f"{len(names)} genres: pass them as a DataFrame instead")
-        g = F.broadcast(genre_table(movies.sparkSession, names))
-    cond = F.lower(movies["genres"]).contains(F.lower(g["genre"]))
-    return movies.join(g, cond, "inner")
+        return movies.join(genres, F.lower(movies["genres"]).contains(F.lower(genres["genre"])), "inner")
+    names = F.array(*[F.lit(str(g)) for g in genres]) if genres else F.array().cast("array<string>")
+    text = F.lower(F.col("genres"))
+    return movies.withColumn("genre", F.explode(F.filter(names, lambda g: text.contains(F.lower(g)))))
 
 
 def genre_top_k(movies: DataFrame, averages: DataFrame, genres: Sequence[str] | DataFrame,

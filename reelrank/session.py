@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -38,8 +39,9 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8,
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for written tables, stream checkpoints and lineage cuts.
 
-    Uses the folder the cluster names in ``spark.checkpoint.dir``. Only when the
-    session has none (a bare local test session) does it create one of its own.
+    Uses the folder the cluster names in ``spark.checkpoint.dir``. A local session
+    (one machine) without one gets a folder of its own; a cluster session without
+    one is an error, since executors don't share a folder of the driver's.
     """
     conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
@@ -48,6 +50,8 @@ def work_dir(spark: SparkSession) -> str:
         current = spark.sparkContext.getCheckpointDir()
         if current:
             base = current
+        elif not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         else:
             base = tempfile.mkdtemp(prefix="reelrank-")
             spark.sparkContext.setCheckpointDir(base)
@@ -61,11 +65,20 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}/{uuid.uuid4().hex}"
 
 
-def ensure_stateful_provider(spark: SparkSession) -> None:
-    """transformWithState needs the RocksDB state store; set it if unset."""
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Streams that are started inside keep their state in RocksDB, off the JVM heap. The
+    session's own setting is back afterwards; a query keeps what it was started with."""
     key = "spark.sql.streaming.stateStore.providerClass"
-    if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
-        spark.conf.set(key, ROCKSDB_PROVIDER)
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, ROCKSDB_PROVIDER)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 _SHIPPED: set[str] = set()

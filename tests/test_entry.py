@@ -17,9 +17,10 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle_or_is_model_based():
-    q, o = entry.queries(), entry.oracle_sql()
+    q, o = entry.QUERIES, entry.SQL
     assert set(o) <= set(q)
     assert set(q) - set(o) == ROWS_ONLY
+    assert set(q) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -41,6 +42,8 @@ def _norm(rows, cols):
     "genre_top10", "rate_more_recently", "movies_with_tags", "load_movies",
     "item_similarity", "user_topk_recs", "realtime_recs", "route_messages",
     "log_filter", "user_uid", "update_user_genres", "rmse_pairwise", "keyed_dedupe_movies",
+    "upsert_stream_recs", "stream_rejects", "stream_recent_ratings", "best_params_rule",
+    "sql_month_counts", "pair_similarity", "als_movie_recs_check",
 ])
 def test_matches_duckdb_small(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
@@ -51,6 +54,28 @@ def test_matches_duckdb_small(spark, duck, name):
     assert _norm(got, df.columns) == _norm(want, rel.columns)
 
 
+def test_entry_without_the_training_data_part(tmp_path):
+    """The entry imports, and lists the library's queries, where that part is deleted."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    for name in os.listdir(root):
+        if name not in ("corpus_pipeline.py", "reelrank", ".git"):
+            os.symlink(os.path.join(root, name), tmp_path / name)
+    os.mkdir(tmp_path / "reelrank")
+    for name in os.listdir(os.path.join(root, "reelrank")):
+        if name not in ("llm", "__pycache__"):
+            os.symlink(os.path.join(root, "reelrank", name), tmp_path / "reelrank" / name)
+    os.remove(tmp_path / "__spark_entry__.py")
+    with open(os.path.join(root, "__spark_entry__.py")) as f:
+        (tmp_path / "__spark_entry__.py").write_text(f.read())
+    out = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), e.LLM_QUERIES)"],
+                         cwd=tmp_path, capture_output=True, text=True,
+                         env={**os.environ, "PYTHONPATH": str(tmp_path)})
+    assert out.stdout.strip() == f"{len(entry.QUERIES)} {{}}", out.stderr
+
+
 def test_package_is_shipped_once(spark):
     import zipfile
 

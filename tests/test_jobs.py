@@ -105,7 +105,7 @@ def test_realtime_and_log_filter_jobs(spark, tmp_dir):
     st.write(views.ratings(spark, SF_SMALL), S.RATING_TABLE)
     st.write(views.movies(spark, SF_SMALL), S.MOVIE_TABLE)
     pairs = similarity.similar_pairs(views.features(spark, SF_SMALL), 0.2)
-    st.write(similarity.movie_recs(pairs), S.MOVIE_RECS_TABLE)
+    jobs.publish_pairs(spark, st, pairs)
     msgs = views.stream_messages(spark, SF_SMALL).select("value")
     msgs.coalesce(1).write.mode("overwrite").text(tmp_dir + "/topic")
     q = jobs.start_realtime_job(spark, spark.readStream.format("text").load(tmp_dir + "/topic"),

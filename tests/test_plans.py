@@ -26,7 +26,7 @@ def test_group_top_k_is_cut_before_the_shuffle(spark):
                             views.TEST_GENRES, 10)
     p = plan(top, "simple")
     assert "WindowGroupLimit" in p and "Partial" in p and "Final" in p
-    assert "BroadcastNestedLoopJoin" in p          # tiny genre list broadcast
+    assert "BroadcastNestedLoopJoin" not in p      # the genre list is a literal of the scan
 
 
 def test_aggregates_combine_map_side(spark):
@@ -46,15 +46,22 @@ def test_blocked_kernels_have_no_cartesian(spark):
                factors.user_top_k(views.user_profiles(spark, SF_SMALL), f, 10)):
         p = plan(df, "simple")
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
-        assert "FlatMapCoGroupsInPandas" in p
+        assert "FlatMapCoGroupsInPandas" in p or "FlatMapGroupsInPandas" in p
+        assert "REPARTITION_BY_NUM" in p           # one partition per block pair, never merged
 
 
-def test_checked_broadcast_of_batch_users(spark):
+def test_rating_lookup_is_cut_to_the_batch_users(spark):
     cands = spark.createDataFrame([(1, 10, 5, 0.9)], "uid int, mid int, cand int, sim double")
     rated = views.ratings(spark, SF_SMALL)
-    small = plan(online.unrated_candidates(cands, rated, n_users=1), "simple")
-    # the rating table is probed against the broadcast user set (no shuffle of it)
-    assert any("BroadcastHashJoin" in ln and "LeftSemi" in ln for ln in small.splitlines())
+    p = plan(online.unrated_candidates(cands, rated, users=cands), "simple")
+    assert any("LeftSemi" in ln for ln in p.splitlines()) and "LeftAnti" in p
+    assert "CartesianProduct" not in p
+
+
+def test_similarity_runs_once_in_realtime(spark):
+    from reelrank.plans import catalog
+    p = plan(catalog.realtime_recs(spark, SF_SMALL), "simple")
+    assert "FlatMapGroupsInPandas" not in p and "FlatMapCoGroupsInPandas" not in p   # pairs are read back
 
 
 def test_bucketed_lookup_prunes_partitions(spark, tmp_dir):

@@ -55,8 +55,10 @@ def test_tags_dup_and_left_join(spark):
     assert stats.movies_with_tags(movies, tags).columns.count("mid") == 1
 
 
-def test_genre_list_size_check(spark):
-    movies = spark.createDataFrame([(1, "a", "Drama")], MOVIE_COLS)
-    import pytest
-    with pytest.raises(ValueError):
-        stats.genre_match(movies, ["g"] * (stats.MAX_BROADCAST_GENRES + 1))
+def test_long_genre_list_and_genre_table(spark):
+    movies = spark.createDataFrame([(1, "a", "Drama|War"), (2, "b", None)], MOVIE_COLS)
+    names = [f"none{i}" for i in range(500)] + ["war", "DRAMA"]
+    assert rows(stats.genre_match(movies, names), "genre", "mid") == [("DRAMA", 1), ("war", 1)]
+    table = spark.createDataFrame([(x,) for x in [*names, None]], "genre string")
+    assert rows(stats.genre_match(movies, table), "genre", "mid") == [("DRAMA", 1), ("war", 1)]
+    assert stats.genre_match(movies, []).count() == 0

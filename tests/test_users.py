@@ -50,3 +50,11 @@ def test_user_record_has_no_password_d15(spark):
                                      spark.createDataFrame([("x", 1)], "userName string, "
                                                            "req_order long"))
     assert "password" not in [c.lower() for c in merged.columns]
+
+
+def test_split_genres_as_the_jvm_does(spark):
+    from reelrank.functions.scalar import split_genres
+    texts = ["a|b|", "a|b", "a||b", "|a", "||", "", None, "a"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(split_genres("t")).collect()] == [
+        ["a", "b"], ["a", "b"], ["a", "", "b"], ["", "a"], [], [""], None, ["a"]]
