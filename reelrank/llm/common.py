@@ -3,13 +3,13 @@ document chunks and distributed connected components."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank.session import fresh_path, ship_package
 
-__all__ = ["read", "cut", "delete_table", "ship_package", "in_fold", "row_key",
-           "with_chunk", "connected_components"]
+__all__ = ["read", "cut", "Scratch", "delete_table", "ship_package", "in_fold", "row_key",
+           "chunked", "connected_components"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -30,6 +30,23 @@ def cut(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+class Scratch:
+    """Written tables that an operator needs only until its own result is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def cut(self, df: DataFrame, name: str) -> DataFrame:
+        out, path = cut(df, name)
+        self.paths.append(path)
+        return out
+
+    def clear(self) -> None:
+        for path in self.paths:
+            delete_table(self.spark, path)
+        self.paths = []
+
+
 def delete_table(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
@@ -47,12 +64,32 @@ def row_key(id_col: str, text_col: str):
     return F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.col(text_col)))
 
 
-def with_chunk(docs: DataFrame, chunk_bytes: int) -> DataFrame:
-    """Adds ``__chunk``: rows dealt by key hash into chunks of about ``chunk_bytes``
-    of text each. ``docs`` has ``__rid`` (long) and ``__text`` (string, not null)."""
-    total = docs.agg(F.sum(F.octet_length("__text").cast("long")).alias("n")).first()["n"] or 0
-    n = max(1, -(-int(total) // chunk_bytes))
-    return docs.withColumn("__chunk", F.pmod(F.xxhash64("__rid"), F.lit(n)).cast("int"))
+#: Rows of a file, or bytes of text, that make a chunk.
+CHUNK_ROWS, CHUNK_BYTES = 2048, 4_000_000
+
+
+def chunked(docs: DataFrame, id_col: str, text_col: str, by_file: bool, *more: Column
+            ) -> tuple[DataFrame, DataFrame]:
+    """Rows (__id, __rid, __text, __chunk, __at, *more), and the same rows in an order in
+    which a task meets the rows of a chunk one after the other.
+
+    With ``by_file`` a chunk is a stretch of CHUNK_ROWS rows of a Parquet file and
+    ``__at`` the row's place in the file: no shuffle is needed, but where a file is split
+    two tasks may each meet a part of a chunk. Otherwise rows are dealt by key hash
+    into chunks of about CHUNK_BYTES of text, and ``__at`` is 0.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("__id"), text.alias("__text"),
+                       F.coalesce(row_key(id_col, text_col), F.xxhash64(text)).alias("__rid"), *more,
+                       *([F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / CHUNK_ROWS))
+                          .alias("__chunk"), F.col("_metadata.row_index").alias("__at")] if by_file else []))
+    if by_file:
+        return rows, rows
+    total = rows.agg(F.sum(F.octet_length("__text").cast("long")).alias("n")).first()["n"] or 0
+    n = max(1, -(-int(total) // CHUNK_BYTES))
+    rows = rows.withColumn("__chunk", F.pmod(F.xxhash64("__rid"), F.lit(n))) \
+        .withColumn("__at", F.lit(0).cast("long"))
+    return rows, rows.repartition("__chunk").sortWithinPartitions("__chunk")
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
