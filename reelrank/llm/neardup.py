@@ -28,10 +28,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import connected_components, cut, read, row_key, ship_package
+from reelrank.llm.common import Scratch, chunked, connected_components, cut, read, row_key, ship_package
 from reelrank.llm.decontaminate import words_of
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -43,7 +43,6 @@ IDF_GAIN = 0.25
 #: deviations of the estimate from BANDS * ROWS samples.
 SLACK = 5 * math.sqrt(SIMILARITY * (1 - SIMILARITY) / (BANDS * ROWS))
 PIVOT_ROUNDS = 3
-CHUNK_ROWS, CHUNK_BYTES = 2048, 4_000_000
 PART_SHINGLES = 2_000_000
 
 _U = np.uint64
@@ -92,11 +91,6 @@ def shingles_of(texts) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]
     return keys, join(hashes, np.uint64), join(counts, np.int64), np.array(sizes, dtype=np.int64)
 
 
-def file_chunks(docs: DataFrame, rows: int = CHUNK_ROWS) -> Column:
-    """A chunk id for rows of Parquet files: stretches of ``rows`` rows of a file."""
-    return F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / rows))
-
-
 def _pack(keys: np.ndarray) -> tuple[bytes, bytes]:
     """Sorted 48-bit keys as their 16 high bits, which compress, and their 32 low bits."""
     return (keys >> _U(32)).astype("<u2").tobytes(), (keys & _U(0xFFFFFFFF)).astype("<u4").tobytes()
@@ -107,29 +101,30 @@ def _unpack(high: bytes, low: bytes) -> np.ndarray:
 
 
 def document_frequencies(rows: DataFrame, parts: int) -> DataFrame:
-    """(chunk, part, df): for each chunk and hash range the document frequencies, over all
-    rows, of the chunk's distinct shingles in the order of their keys (48 bits)."""
+    """(chunk, piece, part, df): for each chunk and hash range the document frequencies, over
+    all rows, of the chunk's distinct shingles in the order of their keys (48 bits).
+    ``piece`` is the place of its first row: a chunk that two tasks read has two."""
     edges = (np.arange(1, parts, dtype=np.float64) * (2.0 ** 48 / parts)).astype(np.uint64)
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def asked(chunk, texts) -> pd.DataFrame:
+        def asked(chunk, piece, texts) -> pd.DataFrame:
             _, h, _, _ = shingles_of(texts)
             keys, n = np.unique(h >> _U(16), return_counts=True)
             cells = np.split(np.arange(len(keys)), np.searchsorted(keys, edges))
-            out = [(part, chunk, *_pack(keys[at]), n[at].astype("<u4").tobytes())
+            out = [(part, chunk, piece, *_pack(keys[at]), n[at].astype("<u4").tobytes())
                    for part, at in enumerate(cells) if len(at)]
-            return pd.DataFrame(out, columns=["part", "chunk", "high", "low", "n"])
+            return pd.DataFrame(out, columns=["part", "chunk", "piece", "high", "low", "n"])
 
-        chunk, texts = None, []
+        chunk, piece, texts = None, 0, []
         for pdf in batches:
-            for c, t in zip(pdf["__chunk"], pdf["__text"]):
+            for c, at, t in zip(pdf["__chunk"], pdf["__at"], pdf["__text"]):
                 if c != chunk:
                     if texts:
-                        yield asked(chunk, texts)
-                    chunk, texts = c, []
+                        yield asked(chunk, piece, texts)
+                    chunk, piece, texts = c, at, []
                 texts.append(t)
         if texts:
-            yield asked(chunk, texts)
+            yield asked(chunk, piece, texts)
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
         cells = [_unpack(a, b) for a, b in zip(pdf["high"], pdf["low"])]
@@ -137,11 +132,11 @@ def document_frequencies(rows: DataFrame, parts: int) -> DataFrame:
         _, at = np.unique(np.concatenate(cells), return_inverse=True)
         df = np.bincount(at, n).astype("<u4")[at]
         ends = np.cumsum([len(c) for c in cells])
-        return pd.DataFrame({"chunk": pdf["chunk"], "part": pdf["part"],
+        return pd.DataFrame({"chunk": pdf["chunk"], "piece": pdf["piece"], "part": pdf["part"],
                              "df": [df[e - len(c):e].tobytes() for c, e in zip(cells, ends)]})
 
-    asked = rows.mapInPandas(ask, "part int, chunk long, high binary, low binary, n binary")
-    return asked.groupBy("part").applyInPandas(count, "chunk long, part int, df binary")
+    asked = rows.mapInPandas(ask, "part int, chunk long, piece long, high binary, low binary, n binary")
+    return asked.groupBy("part").applyInPandas(count, "chunk long, piece long, part int, df binary")
 
 
 def samples_of(hashes: np.ndarray, weights: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -189,6 +184,14 @@ def _describe(n_docs: int, similarity: float):
     log_n = math.log(max(2, n_docs))
 
     def per_chunk(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        # answers come for the pieces of the chunk that tasks asked for, each in its own order
+        pieces = np.unique(answers["piece"].to_numpy())
+        of = np.maximum(np.searchsorted(pieces, texts["__at"].to_numpy(), "right") - 1, 0)
+        made = [per_piece(part, answers[answers["piece"] == pieces[k]] if len(pieces) else answers)
+                for k, part in texts.groupby(of)]
+        return pd.concat(made, ignore_index=True)
+
+    def per_piece(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         keys, h, tf, sizes = shingles_of(texts["__text"])
         _, at = np.unique(h >> _U(16), return_inverse=True)
         answers = answers.sort_values("part")
@@ -197,17 +200,17 @@ def _describe(n_docs: int, similarity: float):
         ends = np.cumsum(sizes)
         total = lambda x: np.diff(np.r_[0, np.cumsum(x)][np.r_[0, ends]])
         share = total(np.where(df > 1, w, 0.0)) / np.maximum(total(w), 1e-12)
-        first, chosen = set(), []
+        rids = texts["__rid"].tolist()
+        first: dict[bytes, int] = {}     # of the chunk's copies the one with the smallest id has a sketch
         rows = []
-        for i, (rid, key) in enumerate(zip(texts["__rid"], keys)):
+        for i, (rid, key) in enumerate(zip(rids, keys)):
             if sizes[i] and share[i] < similarity - 1e-9:
                 continue
-            new = bool(sizes[i]) and key not in first       # the chunk's copies need no second sketch
-            first.add(key)
-            if new:
-                chosen.append(i)
-            rows.append((rid, key, new, i))
-        out = pd.DataFrame(rows, columns=["rid", "key", "new", "i"])
+            if sizes[i] and (key not in first or rid < rids[first[key]]):
+                first[key] = i
+            rows.append((rid, key, i))
+        chosen = sorted(first.values())
+        out = pd.DataFrame(rows, columns=["rid", "key", "i"])
         pick = np.concatenate([np.arange(ends[i] - sizes[i], ends[i]) for i in chosen]) if chosen \
             else np.zeros(0, np.int64)
         sk = samples_of(h[pick], w[pick], sizes[chosen]) if chosen else np.zeros((0, len(_SEEDS)), np.uint64)
@@ -215,7 +218,7 @@ def _describe(n_docs: int, similarity: float):
                     *_vector(h[ends[i] - sizes[i]:ends[i]], w[ends[i] - sizes[i]:ends[i]]))
                 for i, b, s in zip(chosen, bands_of(sk), sk)}
         none = (None,) * 5
-        made = pd.DataFrame([info[i] if new else none for i, new in zip(out["i"], out["new"])],
+        made = pd.DataFrame([info.get(i, none) for i in out["i"]],
                             columns=["weight", "bands", "sketch", "hashes", "weights"])
         return pd.concat([out[["rid", "key"]], made], axis=1)
 
@@ -247,20 +250,19 @@ def _similarity(ha: pd.Series, wa: pd.Series, hb: pd.Series, wb: pd.Series) -> p
                       for a, b, c, d in zip(ha, wa, hb, wb)], dtype=float)
 
 
-def _links(pairs: DataFrame, sketches: DataFrame, vectors: DataFrame, similarity: float
-           ) -> tuple[DataFrame, DataFrame]:
-    """Of distinct pairs (a, b): those that the samples don't rule out, and those that are links."""
+def _links(pairs: DataFrame, sketches: DataFrame, vectors: DataFrame, similarity: float,
+           scratch: Scratch) -> DataFrame:
+    """Those of distinct pairs (a, b) that are links; the samples rule most others out first."""
     agreement, similar = F.pandas_udf(_agreement, "double"), F.pandas_udf(_similarity, "double")
     side = lambda df, x, *cols: df.select(
         F.col("rep").alias(x), *[F.col(c).alias(c + "_" + x) for c in cols])
     likely = pairs.join(side(sketches, "a", "sketch"), "a").join(side(sketches, "b", "sketch"), "b") \
         .filter(agreement("sketch_a", "sketch_b") >= similarity - SLACK).select("a", "b")
-    likely, _ = cut(likely, "neardup_likely")
+    likely = scratch.cut(likely, "neardup_likely")
     cols = ("hashes", "weights")
     scored = likely.join(side(vectors, "a", *cols), "a").join(side(vectors, "b", *cols), "b") \
         .select("a", "b", similar("hashes_a", "weights_a", "hashes_b", "weights_b").alias("s"))
-    links, _ = cut(scored.filter(F.col("s") >= similarity - 1e-6).select("a", "b"), "neardup_links")
-    return likely, links
+    return scratch.cut(scored.filter(F.col("s") >= similarity - 1e-6).select("a", "b"), "neardup_links")
 
 
 def _grouped(buckets: DataFrame, classes: DataFrame | None) -> DataFrame:
@@ -273,65 +275,57 @@ def _grouped(buckets: DataFrame, classes: DataFrame | None) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                    chunk: Column | None = None, similarity: float = SIMILARITY) -> DataFrame:
+                    by_file: bool = False, similarity: float = SIMILARITY) -> DataFrame:
     """One row per input row: the id, ``rid`` (the id, or a hash of the text where it is null) and
     ``class_id``, the smallest rid among the texts that links connect.
 
     Texts of the same words are in one class, and so are all null and empty texts; other
     texts without a word are in the class of their exact copies. Repeated rows get
     the same class. Other columns are ignored; an empty table gives an empty result.
-    ``chunk`` names groups of some thousand rows (default: by hash of the row).
+    ``by_file``: ``docs`` is read straight from Parquet files, so stretches of a file's
+    rows can serve as chunks, which saves a shuffle; otherwise rows are dealt by hash.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    rows = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"),
-                       row_key(id_col, text_col).alias("__rid"),
-                       *([chunk.alias("__chunk")] if chunk is not None else []))
-    rows = rows.withColumn("__rid", F.coalesce("__rid", F.xxhash64("__text")))
+    scratch = Scratch(spark)
+    rows, asks = chunked(docs, id_col, text_col, by_file)
     n_docs, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("__text").cast("long")), F.lit(0))).first()
-    if chunk is None:
-        chunks = max(1, -(-size // CHUNK_BYTES))
-        rows = rows.withColumn("__chunk", F.pmod(F.xxhash64("__rid"), F.lit(chunks)))
-        asks = rows.select("__chunk", "__text").repartition("__chunk").sortWithinPartitions("__chunk")
-    else:
-        asks = rows.select("__chunk", "__text")       # rows of a file come in order
     parts = max(1, -(-size // (6 * PART_SHINGLES)))
-    frequencies = document_frequencies(asks, parts)
-    described = rows.select("__chunk", "__rid", "__text").groupBy("__chunk").cogroup(
+    frequencies = document_frequencies(asks.select("__chunk", "__at", "__text"), parts)
+    described = rows.select("__chunk", "__at", "__rid", "__text").groupBy("__chunk").cogroup(
         frequencies.withColumnRenamed("chunk", "__chunk").groupBy("__chunk")).applyInPandas(
         _describe(n_docs, similarity), _DESCRIBED)
-    described, _ = cut(described, "neardup_described")
+    described = scratch.cut(described, "neardup_described")
 
     # texts of the same words: the smallest rid stands for them
-    reps, _ = cut(described.groupBy("key").agg(F.min("rid").alias("rep")), "neardup_reps")
-    texts = described.filter("sketch is not null").join(reps, "key").groupBy("rep").agg(
+    reps = scratch.cut(described.groupBy("key").agg(F.min("rid").alias("rep")), "neardup_reps")
+    # (it has a sketch, being the smallest of its chunk, too; other copies' sketches go unused)
+    texts = described.select("key", F.col("rid").alias("rep"), "weight", "bands", "sketch") \
+        .filter("sketch is not null").join(reps, ["key", "rep"]).groupBy("rep").agg(
         F.any_value("weight").alias("weight"), F.any_value("bands").alias("bands"),
         F.any_value("sketch").alias("sketch"))
-    texts, _ = cut(texts, "neardup_texts")
-    # any copy's vector will do: take the one of the row with the smallest rid that has one
-    owner = described.filter("sketch is not null").groupBy("key").agg(F.min("rid").alias("rid"))
-    owner, _ = cut(owner.join(reps, "key"), "neardup_owner")
-    vectors = described.select("key", "rid", "hashes", "weights").filter("hashes is not null") \
-        .join(owner, ["key", "rid"]).select("rep", "hashes", "weights")
+    texts = scratch.cut(texts, "neardup_texts")
+    vectors = described.filter("hashes is not null").select(F.col("rid").alias("rep"), "hashes", "weights")
     sketches = texts.select("rep", "sketch")
-    buckets, _ = cut(texts.select("rep", "weight", F.posexplode("bands").alias("band", "code")),
+    buckets = scratch.cut(texts.select("rep", "weight", F.posexplode("bands").alias("band", "code")),
                      "neardup_buckets")
 
     tested = links = classes = None
     for turn in range(PIVOT_ROUNDS + 1):
-        here, _ = cut(_grouped(buckets, classes), "neardup_grouped")
+        here = scratch.cut(_grouped(buckets, classes), "neardup_grouped")
+        last = turn == PIVOT_ROUNDS
+        # the pivot: at first the smallest id, then a text that differs from band to band
         order = F.col("rep") if turn == 0 else F.xxhash64("rep", "band", F.lit(turn))
-        mixed, _ = cut(here.groupBy("band", "code").agg(
+        mixed = scratch.cut(here.groupBy("band", "code").agg(
             F.min(F.struct(order.alias("o"), "rep", "weight", "class")).alias("p"),
             (F.min("class") < F.max("class")).alias("several")).filter("several")
             .select("band", "code", F.col("p.rep").alias("prep"), F.col("p.weight").alias("pweight"),
                     F.col("p.class").alias("pclass")), "neardup_pivots")
-        last = turn == PIVOT_ROUNDS
         if last:    # everything that is left across classes
             other = here.join(mixed.select("band", "code"), ["band", "code"]).select(
                 "band", "code", F.col("rep").alias("prep"), F.col("weight").alias("pweight"),
                 F.col("class").alias("pclass"))
-            other, _ = cut(other, "neardup_rest")
+            other = scratch.cut(other, "neardup_rest")
             met = other.select("band", "code", F.col("prep").alias("rep"), F.col("pweight").alias("weight"),
                                F.col("pclass").alias("class")).join(other, ["band", "code"]) \
                 .filter("rep < prep")
@@ -343,16 +337,16 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         pairs = met.select(F.least("rep", "prep").alias("a"), F.greatest("rep", "prep").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs, _ = cut(pairs, "neardup_pairs")
+        pairs = scratch.cut(pairs, "neardup_pairs")
         if pairs.isEmpty():
             if last:
                 break
             continue
-        _, found = _links(pairs, sketches, vectors, similarity)
+        found = _links(pairs, sketches, vectors, similarity, scratch)
         tested = pairs if tested is None else tested.union(pairs)
         if not found.isEmpty():
             links = found if links is None else links.union(found)
-            classes, _ = cut(connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))),
+            classes = scratch.cut(connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))),
                              "neardup_classes")
     member = described.select("rid", "key").join(reps, "key").select("rid", "rep")
     if classes is not None:
@@ -361,6 +355,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         member = member.withColumn("component", F.lit(None).cast("long"))
     member, _ = cut(member.groupBy("rid").agg(F.min(F.coalesce("component", "rep")).alias("class_id")),
                     "neardup_members")
+    scratch.clear()
     ids = rows.select(F.col("__id").alias(id_col), F.col("__rid").alias("rid"))
     return ids.join(member, "rid", "left").select(id_col, "rid", F.coalesce("class_id", "rid").alias("class_id"))
 
@@ -383,4 +378,4 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return near_duplicates(docs, chunk=file_chunks(docs)).select("doc_id", "class_id")
+    return near_duplicates(docs, by_file=True).select("doc_id", "class_id")

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from conftest import SF_CHECK
+from split_files import split_file  # noqa: F401
 from reelrank.llm import neardup as nd
 from reelrank.llm.decontaminate import words_of
 
@@ -148,7 +149,7 @@ def test_query_on_tables(spark):
     assert {frozenset(g) for g in mine.values()} == brute_fast(rows)
 
 
-def brute_fast(rows):
+def brute_fast(rows, empty=0):
     """All pairs that share a shingle, instead of all pairs."""
     by_gram = {}
     for k, (i, t) in enumerate(rows):
@@ -159,7 +160,7 @@ def brute_fast(rows):
     near = set()
     for ks in by_gram.values():
         near.update(itertools.combinations(sorted(ks), 2))
-    n = len(rows)
+    n = len(rows) + empty
     weights = []
     for i, t in rows:
         w = words_of(t)
@@ -167,7 +168,7 @@ def brute_fast(rows):
         c = Counter(tuple(w[p:p + 5]) for p in range(len(w) - 4))
         weights.append({g: k * (1 + nd.IDF_GAIN * math.log(n / len(by_gram[g])) / math.log(n)) for g, k in c.items()})
     total = [sum(w.values()) for w in weights]
-    up = list(range(n))
+    up = list(range(len(rows)))
 
     def find(k):
         while up[k] != k:
@@ -178,6 +179,19 @@ def brute_fast(rows):
         if low / (total[a] + total[b] - low) >= nd.SIMILARITY - 1e-6:
             up[find(a)] = find(b)
     groups = {}
-    for k in range(n):
+    for k in range(len(rows)):
         groups.setdefault(find(k), set()).add(rows[k])
     return {frozenset(g) for g in groups.values()}
+
+
+def test_chunks_that_two_tasks_read(spark, split_file):
+    rnd = random.Random(4)
+    vocab = [f"w{i}" for i in range(3000)]
+    bases = [rnd.choices(vocab, k=60) for _ in range(900)]
+    rows = [(i, " ".join(edited(rnd, bases[i % 900], 0.01))) for i in range(1900)] + [(2000, ""), (2001, None)]
+    held = split_file(spark.createDataFrame(rows, "doc_id long, text string"))
+    mine = {}
+    for r in nd.near_duplicates(held, by_file=True).collect():
+        mine.setdefault(r["class_id"], set()).add((r["doc_id"], dict(rows)[r["doc_id"]] or ""))
+    assert mine.pop(2000) == {(2000, ""), (2001, "")}
+    assert {frozenset(g) for g in mine.values()} == brute_fast(rows[:1900], 2)
