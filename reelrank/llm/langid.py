@@ -3,8 +3,9 @@
 For each language a zstandard raw-content dictionary is made of sampled training
 texts. A text is cut into blocks, every block is compressed with each
 language's dictionary, and the language with the smallest sum of sizes wins:
-a dictionary saves the more, the more of the text's strings it holds. A narrow
-margin between the two smallest sums rejects the text.
+a dictionary saves the more, the more of the text's strings it holds. When the
+two smallest sums are close, tails of the text are compressed as well; if the margin
+stays narrow the text is rejected.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ SAMPLE_ROWS, ROW_BYTES, DICT_BYTES, MAX_LANGS = 96, 2048, 112 * 1024, 64
 BLOCK = 8192           # bytes of text that are compressed together
 LEVEL = 3
 MIN_MARGIN = 0.004     # (second - best) / second under this rejects
+PARTS = 24             # tails of a text that settle a narrow margin
 UNDETERMINED = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
@@ -85,13 +87,26 @@ class Model:
             block = raw[at:at + BLOCK]
             for k, tool in enumerate(self.tools):
                 sizes[k] += len(tool(block))
-        best = min(range(len(sizes)), key=sizes.__getitem__)
-        second = min((s for k, s in enumerate(sizes) if k != best), default=None)
-        if second is None:
-            return self.langs[best], 1.0, False
-        margin = (second - sizes[best]) / second
+        best, margin = self._best(sizes)
+        if margin < MIN_MARGIN:
+            # sizes are whole bytes, which says little of short texts: add up those of parts
+            step = max(1, raw.count(b" ") // PARTS)
+            starts = [m.end() for m in re.finditer(b" ", raw)][::step]
+            for at in starts:
+                for k, tool in enumerate(self.tools):
+                    sizes[k] += len(tool(raw[at:at + BLOCK]))
+            best, margin = self._best(sizes)
         return self.langs[best], 0.5 + 0.5 * min(1.0, margin / 0.25), margin < MIN_MARGIN
 
+    @staticmethod
+    def _best(sizes: list[int]) -> tuple[int, float]:
+        """The smallest, the first among equals, and how far the next one is above it."""
+        order = sorted(range(len(sizes)), key=sizes.__getitem__)
+        if len(order) == 1:
+            return order[0], 1.0
+        second = sizes[order[1]]
+        return order[0], (second - sizes[order[0]]) / second
+
 
 _MODELS: dict = {}
 
@@ -110,8 +125,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], *, text_col: str =
 
     The whole text is compressed. Null texts and texts without a letter are
     ``und`` with score 0 and rejected, and so is everything under a model without
-    languages; equal sizes go to the alphabetically first language and are
-    rejected. Rows are independent: repeats and other columns (one called
+    languages; equal sums go to the alphabetically first language and are rejected. Rows are independent: repeats and other columns (one called
     ``lang_id`` is replaced) change nothing.
     The dictionaries are broadcast: at most MAX_LANGS times DICT_BYTES (7 MB).
     """
