@@ -17,6 +17,7 @@ import math
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from reelrank.llm.common import in_fold, read, ship_package
 
 #: Bounds of the training sample, for each label: documents and bytes of text.
-SAMPLE_DOCS, SAMPLE_BYTES = 3000, 12_000_000
+SAMPLE_DOCS, SAMPLE_BYTES = 2500, 8_000_000
 FEATURE_BITS = 18
 MIN_DOCS = 3            # a feature must occur in so many sampled documents
 STEPS, RATE, SHRINK = 200, 0.15, 1e-4   # descent steps, step size, pull of weights to 0
@@ -63,18 +64,17 @@ def _softplus(z: np.ndarray) -> np.ndarray:
 
 def fit(texts: list[str], labels: list[int]) -> tuple[np.ndarray, float] | None:
     """Feature weights and bias, or None unless both labels occur."""
-    docs = [sentence_words(t or "") for t in texts]
-    keep = [i for i, d in enumerate(docs) if d]
-    y = np.array([labels[i] for i in keep], dtype=bool)
-    if not len(y) or y.all() or not y.any():
-        return None
     vocab: dict[str, int] = {}
-    words, per_sentence, per_doc = [], [], []
-    in_docs = np.zeros(1 << FEATURE_BITS, dtype=np.int32)
     known: list[list[int]] = []
-    for i in keep:
+    words, per_sentence = array("i"), array("i")
+    per_doc, y = [], []
+    in_docs = np.zeros(1 << FEATURE_BITS, dtype=np.int32)
+    for text, label in zip(texts, labels):
+        sentences = sentence_words(text or "")
+        if not sentences:
+            continue
         seen: set[int] = set()
-        for _, _, ws in docs[i]:
+        for _, _, ws in sentences:
             for w in ws:
                 k = vocab.setdefault(w, len(vocab))
                 if k == len(known):
@@ -82,16 +82,20 @@ def fit(texts: list[str], labels: list[int]) -> tuple[np.ndarray, float] | None:
                 words.append(k)
                 seen.update(known[k])
             per_sentence.append(len(ws))
-        per_doc.append(len(docs[i]))
+        per_doc.append(len(sentences))
+        y.append(bool(label))
         in_docs[list(seen)] += 1
-    del docs
-    words, per_sentence = np.array(words), np.array(per_sentence)
+    y = np.array(y, dtype=bool)
+    if not len(y) or y.all() or not y.any():
+        return None
+    words, per_sentence = np.frombuffer(words, np.int32), np.frombuffer(per_sentence, np.int32)
     width = max(map(len, known))
     spare = 1 << FEATURE_BITS          # a feature of weight 0, for rare ones and as filler
-    table = np.full((len(known), width), spare)
+    table = np.full((len(known), width), spare, dtype=np.int32)
     for row, fs in zip(table, known):
         row[:len(fs)] = fs
     table[(table < spare) & (in_docs[np.minimum(table, spare - 1)] < MIN_DOCS)] = spare
+    del vocab, known
     at_sentence = np.r_[0, np.cumsum(per_sentence)[:-1]]
     at_doc = np.r_[0, np.cumsum(per_doc)[:-1]]
     # documents of either label weigh the same together
@@ -105,7 +109,7 @@ def fit(texts: list[str], labels: list[int]) -> tuple[np.ndarray, float] | None:
         clean = np.exp(-np.add.reduceat(_softplus(z), at_doc))       # no sentence offends
         slope = np.where(y, -clean / np.maximum(1 - clean, 1e-9), 1.0) * share
         gz = p * np.repeat(slope, per_doc)
-        gw = np.bincount(words, np.repeat(gz, per_sentence), len(known))
+        gw = np.bincount(words, np.repeat(gz, per_sentence), len(table))
         g = np.bincount(table.ravel(), np.repeat(gw, width), spare + 1)
         g[:spare] += SHRINK
         g[spare] = 0
