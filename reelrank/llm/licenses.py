@@ -56,7 +56,7 @@ def sentences(text: Column) -> Column:
 
 def sentence_letter(sentence: Column) -> Column:
     """The identifier of a sentence, ``-`` for an unknown one, nothing for a blank one.
-    Only sentences that hold a word of every known one's vocabulary are normalised."""
+    Only sentences with a licence word are normalised; every known one has such a word."""
     plain = F.trim(F.regexp_replace(sentence, _SIGNS, " "))
     known = F.create_map(*[F.lit(x) for k, s in SENTENCES.items() for x in (s, k)])
     likely = sentence.rlike("licen|permi|copyright|warrant|redistribut|rights reserved")

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import cut, read
+from reelrank.llm.common import Scratch, cut, read
 
 #: Titles by gender, and listed names by gender and script.
 TITLES = {"m": "Mr|Herr|Monsieur|Señor|г-н|господин", "f": "Mrs|Ms|Miss|Mme|Madame|Frau|Señora|Sra|г-жа|госпожа",
@@ -167,14 +167,14 @@ def draw(kind: Column, value: Column, attempt: int, stream: Column) -> Column:
     return out.otherwise(_redrawn(value, stream))
 
 
-def surrogates(entities: DataFrame, key: str) -> DataFrame:
+def surrogates(entities: DataFrame, key: str, scratch: Scratch) -> DataFrame:
     """(kind, value) rows, distinct -> (kind, value, surrogate), distinct per kind and never
     an entity of that kind. Of entities that draw the same surrogate the
     alphabetically first keeps it; the others draw again."""
     fixed = None
     pending = entities.select("kind", "value")
     for attempt in range(MAX_ATTEMPTS):
-        drawn, _ = cut(pending.withColumn(
+        drawn = scratch.cut(pending.withColumn(
             "stream", stream_of(F.col("kind"), F.col("value"), attempt, key)).select(
             "kind", "value", draw(F.col("kind"), F.col("value"), attempt, F.col("stream"))
             .alias("surrogate")), "pii_drawn")
@@ -184,9 +184,9 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
         good = drawn.join(taken.distinct(), ["kind", "surrogate"], "left_anti") \
             .groupBy("kind", "surrogate").agg(F.min("value").alias("value")) \
             .select("kind", "value", "surrogate")
-        good, _ = cut(good, "pii_good")
+        good = scratch.cut(good, "pii_good")
         fixed = good if fixed is None else fixed.union(good)
-        pending, _ = cut(drawn.select("kind", "value")
+        pending = scratch.cut(drawn.select("kind", "value")
                          .join(good.select("kind", "value"), ["kind", "value"], "left_anti"),
                          "pii_pending")
         if pending.isEmpty():
@@ -206,15 +206,15 @@ def _in_format(mention: Column, digits: Column) -> Column:
     return F.array_join(F.transform(F.sequence(F.lit(1), F.length(mention)), sign), "")
 
 
-def mention_surrogates(mentions: DataFrame, key: str) -> DataFrame:
+def mention_surrogates(mentions: DataFrame, key: str, scratch: Scratch) -> DataFrame:
     """(mention), distinct -> (mention, replacement)."""
     kind = kind_of(F.col("mention"))
     m = mentions.withColumn("mkind", kind).select(
         "mention", "mkind", F.posexplode(entities_of(F.col("mention"), F.col("mkind"))).alias("pos", "e"))
-    m, _ = cut(m.select("mention", "mkind", "pos", F.col("e.kind").alias("kind"),
+    m = scratch.cut(m.select("mention", "mkind", "pos", F.col("e.kind").alias("kind"),
                         F.col("e.value").alias("value")), "pii_mentions")
-    entities, _ = cut(m.select("kind", "value").distinct(), "pii_entities")
-    drawn, _ = cut(surrogates(entities, key), "pii_surrogates")
+    entities = scratch.cut(m.select("kind", "value").distinct(), "pii_entities")
+    drawn = scratch.cut(surrogates(entities, key, scratch), "pii_surrogates")
     parts = m.join(drawn, ["kind", "value"]).groupBy("mention", "mkind").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "surrogate"))),
                     lambda x: x["surrogate"]).alias("s"))
@@ -242,16 +242,18 @@ def replace(docs: DataFrame, key: str, *, text_col: str = "text", count_col: str
     rows = docs.select(F.struct(*cols).alias("__row"), F.col(text_col).alias("__text"))
     has = F.coalesce(F.col("__text").rlike(ANY), F.lit(False))
     hit = rows.filter(has)
+    scratch = Scratch(docs.sparkSession)
     # one row for each different text that holds mentions
-    texts, _ = cut(hit.select(F.sha2("__text", 256).alias("sha"),
+    texts = scratch.cut(hit.select(F.sha2("__text", 256).alias("sha"),
                               mentions_of(F.col("__text")).alias("found"))
                    .groupBy("sha").agg(F.any_value("found").alias("found")), "pii_texts")
-    named, _ = cut(texts.select("sha", F.posexplode("found").alias("pos", "mention")), "pii_named")
-    answers, _ = cut(mention_surrogates(named.select("mention").distinct(), key), "pii_answers")
+    named = scratch.cut(texts.select("sha", F.posexplode("found").alias("pos", "mention")), "pii_named")
+    answers = scratch.cut(mention_surrogates(named.select("mention").distinct(), key, scratch), "pii_answers")
     answers = named.join(answers, "mention").groupBy("sha").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "replacement"))),
                     lambda x: x["replacement"]).alias("new"))
     answers, _ = cut(answers, "pii_by_text")
+    scratch.clear()
     between = F.split(F.col("__text"), ANY, -1)
     text = F.array_join(F.flatten(F.zip_with(
         between, F.concat("new", F.array(F.lit(""))), lambda a, b: F.array(a, b))), "")

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import cut, read, ship_package
+from reelrank.llm.common import Scratch, cut, read, ship_package
 from reelrank.operators.blocks import cross_pair_sides
 
 SLICES = 2
@@ -128,21 +128,23 @@ def search(vectors: DataFrame, k: int, *, id_col: str = "vec_id", vector_col: st
     """
     spark = vectors.sparkSession
     ship_package(spark)
+    scratch = Scratch(spark)
     ask = F.lit(True) if is_query is None else is_query
     rows = vectors.select(F.col(id_col).cast("long").alias("id"),
                           to_ints(F.col(vector_col), scale).alias("v"), ask.alias("asks")) \
         .filter("id is not null and v is not null")
-    rows, _ = cut(rows.groupBy("id").agg(F.min("v").alias("v"), F.first("asks").alias("asks")), "topk_rows")
+    rows = scratch.cut(rows.groupBy("id").agg(F.min("v").alias("v"), F.first("asks").alias("asks")), "topk_rows")
 
     near = F.row_number().over(Window.partitionBy("v").orderBy("id"))
     ids = rows.select("v", "id").withColumn("n", near).filter(F.col("n") <= k + 1) \
         .groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids"))
     asked = rows.groupBy("v").agg(F.bool_or("asks").alias("asks"))
-    groups, _ = cut(ids.join(asked, "v").select(F.get("ids", F.lit(0)).alias("gid"), "v", "ids", "asks"),
+    groups = scratch.cut(ids.join(asked, "v").select(F.get("ids", F.lit(0)).alias("gid"), "v", "ids", "asks"),
                     "topk_groups")
     n, nq, width = groups.agg(F.count("*"), F.count_if("asks"), F.max(F.size("v"))).first()
     if not n or not nq:
-        return rows.limit(0).selectExpr("id AS query_id", "1 AS rank", "id AS vec_id", "id AS score")
+        scratch.clear()
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     width = max(width, slices)
     queries = groups.filter("asks").select("gid", "v")
     blocks = math.ceil(nq / query_block), math.ceil(n / row_block)
@@ -153,7 +155,7 @@ def search(vectors: DataFrame, k: int, *, id_col: str = "vec_id", vector_col: st
     order = Window.partitionBy("q").orderBy(F.desc("total"), "g")
     cutoff = lists.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= best) \
         .groupBy("q").agg(F.when(F.count("*") == best, F.min("total")).alias("cutoff"))
-    cutoff, _ = cut(cutoff, "topk_cutoff")
+    cutoff = scratch.cut(cutoff, "topk_cutoff")
     # with fewer rows than wanted any total will do
     asking = queries.join(cutoff, F.col("gid") == F.col("q")).select(
         "gid", "v", F.coalesce("cutoff", F.lit(-(1 << 56))).alias("cutoff"))
@@ -173,6 +175,8 @@ def search(vectors: DataFrame, k: int, *, id_col: str = "vec_id", vector_col: st
     asks = rows.filter("asks").select(F.col("id").alias("query_id"), "v")
     mine = asks.join(groups.filter("asks").select("v", F.col("gid").alias("q")), "v").select("query_id", "q")
     mine, _ = cut(mine, "topk_asks")
+    scratch.clear()
+    scratch.clear()
     flat = F.flatten(F.transform("found", lambda f: F.transform(f["ids"], lambda i: F.struct(
         (-f["total"]).alias("neg"), i.alias("vec_id")))))
     others = F.filter(F.array_sort(flat), lambda x: x["vec_id"] != F.col("query_id"))

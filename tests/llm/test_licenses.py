@@ -33,3 +33,10 @@ def test_rules_order_and_odd_rows(spark):
 def test_plan_is_native_and_has_no_shuffle(spark):
     plan = lic.op5_license_scan(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_known_sentences_pass_the_quick_filter():
+    import re
+    assert all(re.search("licen|permi|copyright|warrant|redistribut|rights reserved", x)
+               for x in lic.SENTENCES.values())
+    assert all(len(k) == 1 for k in lic.SENTENCES) and {c for _, r in lic.RULES for c in r} <= set(lic.SENTENCES)
