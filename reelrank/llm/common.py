@@ -3,6 +3,7 @@ document chunks and distributed connected components."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +69,14 @@ def row_key(id_col: str, text_col: str):
 CHUNK_ROWS, CHUNK_BYTES = 2048, 4_000_000
 
 
+def _has_file_rows(docs: DataFrame) -> bool:
+    try:
+        docs.select("_metadata.file_path", "_metadata.row_index").schema  # noqa: B018
+    except AnalysisException:
+        return False
+    return True
+
+
 def chunked(docs: DataFrame, id_col: str, text_col: str, by_file: bool, *more: Column
             ) -> tuple[DataFrame, DataFrame]:
     """Rows (__id, __rid, __text, __chunk, __at, *more), and the same rows in an order in
@@ -76,9 +85,11 @@ def chunked(docs: DataFrame, id_col: str, text_col: str, by_file: bool, *more: C
     With ``by_file`` a chunk is a stretch of CHUNK_ROWS rows of a Parquet file and
     ``__at`` the row's place in the file: no shuffle is needed, but where a file is split
     two tasks may each meet a part of a chunk. Otherwise rows are dealt by key hash
-    into chunks of about CHUNK_BYTES of text, and ``__at`` is 0.
+    into chunks of about CHUNK_BYTES of text, and ``__at`` is 0; so they are where
+    ``docs`` doesn't come from files.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
+    by_file = by_file and _has_file_rows(docs)
     rows = docs.select(F.col(id_col).alias("__id"), text.alias("__text"),
                        F.coalesce(row_key(id_col, text_col), F.xxhash64(text)).alias("__rid"), *more,
                        *([F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / CHUNK_ROWS))

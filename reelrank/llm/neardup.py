@@ -10,11 +10,14 @@
 3. Improved consistent weighted sampling (Ioffe, 2010): SAMPLES samples (shingle,
    level) that agree between two texts with probability equal to their weighted
    Jaccard similarity; ROWS of them make a band, BANDS bands make the buckets.
-4. In each bucket every text is compared with one pivot, never all with all. The
-   links join classes; buckets that still hold several classes get other pivots;
-   when that links nothing new, the remaining pairs across classes that the
-   samples don't rule out are all compared. Pairs within a class need no test.
-5. A pair is a link if the exact weighted Jaccard similarity reaches the threshold.
+4. In each bucket every text is compared with one pivot. The links join classes, and
+   within a class no pair needs a test.
+5. Buckets that still hold several classes are gone through in cells of two bounded
+   blocks of texts: a task compares the samples of texts of different classes and
+   gives back one edge per text. Texts that such edges connect form a group, and its
+   cells are compared exactly, most alike first, until their classes are joined or
+   all pairs are refuted. No pairs of a group are emitted, only the links that join.
+6. A pair is a link if the exact weighted Jaccard similarity reaches the threshold.
 
 Texts with the same words are one text from step 4 on.
 """
@@ -42,7 +45,8 @@ IDF_GAIN = 0.25
 #: Pairs whose samples agree less than SIMILARITY by so much are ruled out: five standard
 #: deviations of the estimate from BANDS * ROWS samples.
 SLACK = 5 * math.sqrt(SIMILARITY * (1 - SIMILARITY) / (BANDS * ROWS))
-PIVOT_ROUNDS = 3
+#: Texts of a block when cells compare samples, and when they compare vectors.
+SAMPLE_BLOCK, VECTOR_BLOCK = 1000, 400
 PART_SHINGLES = 2_000_000
 
 _U = np.uint64
@@ -195,7 +199,10 @@ def _describe(n_docs: int, similarity: float):
         keys, h, tf, sizes = shingles_of(texts["__text"])
         _, at = np.unique(h >> _U(16), return_inverse=True)
         answers = answers.sort_values("part")
-        df = np.concatenate([np.frombuffer(x, "<u4") for x in answers["df"]] or [np.zeros(0, "<u4")])[at]
+        df = np.concatenate([np.frombuffer(x, "<u4") for x in answers["df"]] or [np.zeros(0, "<u4")])
+        if len(df) != at.max(initial=-1) + 1:
+            raise ValueError("by_file needs rows straight from Parquet files, in their order")
+        df = df[at]
         w = tf * (1 + IDF_GAIN * np.log(np.maximum(1.0, n_docs / df)) / log_n)
         ends = np.cumsum(sizes)
         total = lambda x: np.diff(np.r_[0, np.cumsum(x)][np.r_[0, ends]])
@@ -265,13 +272,97 @@ def _links(pairs: DataFrame, sketches: DataFrame, vectors: DataFrame, similarity
     return scratch.cut(scored.filter(F.col("s") >= similarity - 1e-6).select("a", "b"), "neardup_links")
 
 
-def _grouped(buckets: DataFrame, classes: DataFrame | None) -> DataFrame:
-    """Bucket rows with each text's class so far."""
-    if classes is None:
-        return buckets.withColumn("class", F.col("rep"))
-    named = classes.select(F.col("node").alias("rep"), "component")
-    return buckets.join(named, "rep", "left").select(
-        "band", "code", "rep", "weight", F.coalesce("component", "rep").alias("class"))
+def _classes(links: DataFrame, scratch: Scratch) -> DataFrame:
+    """(rep, class) of the texts that have a link."""
+    got = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    return scratch.cut(got.withColumnsRenamed({"node": "rep", "component": "class"}), "neardup_classes")
+
+
+def _cells(texts: DataFrame, keys: list[str], block: int) -> DataFrame:
+    """Texts (with ``size``, that of their group) dealt to the pairs of blocks of their group
+    that they take part in: columns lo and hi name the cell, blk the text's own block."""
+    blocks = F.ceil(F.col("size") / block).cast("int")
+    dealt = texts.withColumn("blk", F.pmod(F.xxhash64("rep"), blocks).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    cells = dealt.withColumn("lo", F.least("blk", "other")).withColumn("hi", F.greatest("blk", "other"))
+    cells = cells.drop("size", "other")
+    return cells.repartition(*keys, "lo", "hi").sortWithinPartitions(*keys, "lo", "hi")
+
+
+def _each_cell(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The cells of sorted rows, whole ones only."""
+    held = None
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+        k = pdf[keys].to_numpy()
+        ends = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
+        at = 0
+        for end in ends:
+            yield pdf.iloc[at:end]
+            at = end
+        held = pdf.iloc[at:]
+    if held is not None:
+        yield held
+
+
+def _joined(cell: pd.DataFrame, similarity: float, exact: bool) -> list[tuple[int, int]]:
+    """Pairs that join the classes of a cell: with ``exact`` links, else pairs that the samples
+    don't rule out. At most one for each text or class that is joined."""
+    n = len(cell)
+    rep, cls, weight = (cell[c].to_numpy() for c in ("rep", "class", "weight"))
+    left = np.flatnonzero(cell["blk"].to_numpy() == cell["lo"].iloc[0])
+    right = np.flatnonzero(cell["blk"].to_numpy() == cell["hi"].iloc[0])
+    same = cell["lo"].iloc[0] == cell["hi"].iloc[0]
+    samples = np.frombuffer(b"".join(cell["sketch"]), "<u2").reshape(n, -1)
+    pairs = []
+    for k, i in enumerate(left):
+        js = right[k + 1:] if same else right
+        js = js[(cls[js] != cls[i]) & (np.minimum(weight[js], weight[i])
+                                       >= (similarity - 1e-6) * np.maximum(weight[js], weight[i]))]
+        if len(js):
+            agree = (samples[js] == samples[i]).mean(axis=1)
+            keep = agree >= similarity - SLACK
+            pairs += zip(agree[keep].tolist(), [i] * int(keep.sum()), js[keep].tolist())
+    if not pairs:
+        return []
+    up: dict = {}
+
+    def find(x):
+        while up.setdefault(x, x) != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    name = cls if exact else rep
+    vectors: dict = {}
+
+    def vector(i):
+        if i not in vectors:
+            vectors[i] = (np.frombuffer(cell["hashes"].iat[i], "<u4"), np.frombuffer(cell["weights"].iat[i], "<f4"))
+        return vectors[i]
+
+    out = []
+    for _, i, j in sorted(pairs, reverse=True):
+        a, b = find(name[i]), find(name[j])
+        if a != b and (not exact or weighted_jaccard(*vector(i), *vector(j)) >= similarity - 1e-6):
+            up[a] = b
+            out.append((int(rep[i]), int(rep[j])))
+    return out
+
+
+def _across(texts: DataFrame, keys: list[str], block: int, similarity: float, exact: bool) -> DataFrame:
+    """(u, v) pairs that join classes, from all cells of all groups of texts."""
+    names = [*keys, "lo", "hi"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for cell in _each_cell(batches, names):
+            got = _joined(cell, similarity, exact)
+            if got:
+                yield pd.DataFrame(got, columns=["u", "v"])
+
+    return _cells(texts, keys, block).mapInPandas(run, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -310,50 +401,38 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     buckets = scratch.cut(texts.select("rep", "weight", F.posexplode("bands").alias("band", "code")),
                      "neardup_buckets")
 
-    tested = links = classes = None
-    for turn in range(PIVOT_ROUNDS + 1):
-        here = scratch.cut(_grouped(buckets, classes), "neardup_grouped")
-        last = turn == PIVOT_ROUNDS
-        # the pivot: at first the smallest id, then a text that differs from band to band
-        order = F.col("rep") if turn == 0 else F.xxhash64("rep", "band", F.lit(turn))
-        mixed = scratch.cut(here.groupBy("band", "code").agg(
-            F.min(F.struct(order.alias("o"), "rep", "weight", "class")).alias("p"),
-            (F.min("class") < F.max("class")).alias("several")).filter("several")
-            .select("band", "code", F.col("p.rep").alias("prep"), F.col("p.weight").alias("pweight"),
-                    F.col("p.class").alias("pclass")), "neardup_pivots")
-        if last:    # everything that is left across classes
-            other = here.join(mixed.select("band", "code"), ["band", "code"]).select(
-                "band", "code", F.col("rep").alias("prep"), F.col("weight").alias("pweight"),
-                F.col("class").alias("pclass"))
-            other = scratch.cut(other, "neardup_rest")
-            met = other.select("band", "code", F.col("prep").alias("rep"), F.col("pweight").alias("weight"),
-                               F.col("pclass").alias("class")).join(other, ["band", "code"]) \
-                .filter("rep < prep")
-        else:
-            met = here.join(mixed, ["band", "code"])
-        # lighter over heavier weight bounds the similarity
-        met = met.filter("class <> pclass").filter(
-            F.least("weight", "pweight") >= (similarity - 1e-6) * F.greatest("weight", "pweight"))
-        pairs = met.select(F.least("rep", "prep").alias("a"), F.greatest("rep", "prep").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = scratch.cut(pairs, "neardup_pairs")
-        if pairs.isEmpty():
-            if last:
-                break
-            continue
-        found = _links(pairs, sketches, vectors, similarity, scratch)
-        tested = pairs if tested is None else tested.union(pairs)
-        if not found.isEmpty():
-            links = found if links is None else links.union(found)
-            classes = scratch.cut(connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))),
-                             "neardup_classes")
+    # one pivot per bucket, the text with the smallest id
+    pivots = scratch.cut(buckets.groupBy("band", "code").agg(
+        F.min(F.struct("rep", "weight")).alias("p"), F.count("*").alias("size")).filter("size > 1")
+        .select("band", "code", F.col("p.rep").alias("a"), F.col("p.weight").alias("other")), "neardup_pivots")
+    # lighter over heavier weight bounds the similarity
+    pairs = buckets.join(pivots, ["band", "code"]).filter(F.col("rep") != F.col("a")).filter(
+        F.least("weight", "other") >= (similarity - 1e-6) * F.greatest("weight", "other")) \
+        .select("a", F.col("rep").alias("b")).distinct()
+    links = _links(scratch.cut(pairs, "neardup_pairs"), sketches, vectors, similarity, scratch)
+    classes = _classes(links, scratch)
+
+    # buckets of three texts or more that still hold several classes
+    here = scratch.cut(buckets.join(classes, "rep", "left").withColumn("class", F.coalesce("class", "rep")),
+                       "neardup_here")
+    mixed = scratch.cut(here.groupBy("band", "code").agg(
+        F.count("*").alias("size"), (F.min("class") < F.max("class")).alias("several"))
+        .filter("several and size > 2").drop("several"), "neardup_mixed")
+    edges = scratch.cut(_across(here.join(mixed, ["band", "code"]).join(sketches, "rep"), ["band", "code"],
+                                SAMPLE_BLOCK, similarity, exact=False), "neardup_edges")
+    if not edges.isEmpty():
+        groups = scratch.cut(connected_components(edges).withColumnsRenamed({"node": "rep", "component": "group"}),
+                             "neardup_groups")
+        sizes = scratch.cut(groups.groupBy("group").agg(F.count("*").alias("size")), "neardup_sizes")
+        whole = groups.join(sizes, "group").join(classes, "rep", "left") \
+            .withColumn("class", F.coalesce("class", "rep")) \
+            .join(texts.select("rep", "weight", "sketch"), "rep").join(vectors, "rep")
+        more = scratch.cut(_across(whole, ["group"], VECTOR_BLOCK, similarity, exact=True), "neardup_more")
+        if not more.isEmpty():
+            classes = _classes(links.union(more.select(F.col("u").alias("a"), F.col("v").alias("b"))), scratch)
     member = described.select("rid", "key").join(reps, "key").select("rid", "rep")
-    if classes is not None:
-        member = member.join(classes, F.col("rep") == F.col("node"), "left")
-    else:
-        member = member.withColumn("component", F.lit(None).cast("long"))
-    member, _ = cut(member.groupBy("rid").agg(F.min(F.coalesce("component", "rep")).alias("class_id")),
+    member = member.join(classes, "rep", "left")
+    member, _ = cut(member.groupBy("rid").agg(F.min(F.coalesce("class", "rep")).alias("class_id")),
                     "neardup_members")
     scratch.clear()
     ids = rows.select(F.col("__id").alias(id_col), F.col("__rid").alias("rid"))
