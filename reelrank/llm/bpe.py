@@ -20,10 +20,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import read, ship_package
+from reelrank.llm.common import kept, read, ship_package
 
 #: What a worker remembers: pieces of a generation (there are two), and the longest.
-CACHE_PIECES, CACHE_CHARS = 250_000, 48
+CACHE_PIECES, CACHE_CHARS = 300_000, 48
 _NONE = 1 << 62
 
 
@@ -105,8 +105,8 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.split = ranks, regex.compile(pattern).findall
         self.bytes_of = {v: k for k, v in ranks.items()}
-        self.young: dict[str, list[int]] = {}
-        self.old: dict[str, list[int]] = {}
+        self.young: dict[str, tuple] = {}
+        self.old: dict[str, tuple] = {}
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
@@ -116,7 +116,7 @@ class Codec:
             if ids is None:
                 ids = self.old.get(p)
                 if ids is None:
-                    ids = merge_piece(p.encode(), self.ranks)
+                    ids = tuple(merge_piece(p.encode(), self.ranks))
                 if len(p) <= CACHE_CHARS:
                     if len(self.young) >= CACHE_PIECES:
                         self.young, self.old = {}, self.young
@@ -129,15 +129,9 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
-_CODECS: dict = {}  # worker-wide, so pieces stay known from task to task
-
-
 def _codec(shared) -> Codec:
     ranks, pattern, key = shared.value
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(ranks, pattern)
-    return _CODECS[key]
+    return kept(("bpe", key), lambda: Codec(ranks, pattern))
 
 
 def _share(spark: SparkSession, rank_path: str, pattern: str):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from reelrank.session import fresh_path, ship_package
 
-__all__ = ["read", "cut", "Scratch", "delete_table", "ship_package", "in_fold", "row_key",
+__all__ = ["read", "cut", "Scratch", "delete_table", "ship_package", "in_fold", "row_key", "kept",
            "chunked", "connected_components"]
 
 
@@ -53,6 +53,19 @@ def delete_table(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+_KEPT: dict = {}
+
+
+def kept(key, build=lambda: None):
+    """What ``build`` makes, kept by a Python worker for the tasks to come. There is one such
+    object at a time: workers outlive stages, and what one operator remembers must not
+    take the memory of the next, so every operator's tasks ask for theirs first."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
 def in_fold(doc_id: str, mod: int, fold: int):
     """crc32 of the id as text modulo ``mod`` equals ``fold``; false for a null id
     (a row without id takes part in training and is never held out)."""

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import read, row_key, ship_package
+from reelrank.llm.common import kept, read, ship_package
 
 WINDOW = 13
 MAX_SHARE = (1, 20)  # contaminated: hit words / words >= 1/20
@@ -180,15 +180,9 @@ def _benchmark_blocks(bench: DataFrame, item_col: str, text_col: str,
     yield block
 
 
-_BUILT: dict = {}  # worker-wide: the automaton of the last block used
-
-
 def _automaton(shared, window: int) -> SuffixAutomaton:
     key, items = shared.value
-    if key not in _BUILT:
-        _BUILT.clear()
-        _BUILT[key] = SuffixAutomaton(items, window)
-    return _BUILT[key]
+    return kept(("automaton", key, window), lambda: SuffixAutomaton(items, window))
 
 
 def find_spans(docs: DataFrame, bench: DataFrame, *, id_col: str = "doc_id",

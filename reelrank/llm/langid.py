@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import in_fold, read, ship_package
+from reelrank.llm.common import in_fold, kept, read, ship_package
 
 #: Bounds of the training sample: rows a language, bytes a row, bytes of a
 #: dictionary, languages (those with the most training rows).
@@ -108,15 +108,9 @@ class Model:
         return order[0], (second - sizes[order[0]]) / second
 
 
-_MODELS: dict = {}
-
-
 def _model(shared) -> Model:
     key, dictionaries = shared.value
-    if key not in _MODELS:
-        _MODELS.clear()
-        _MODELS[key] = Model(dictionaries)
-    return _MODELS[key]
+    return kept(("langid", key), lambda: Model(dictionaries))
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], *, text_col: str = "text"

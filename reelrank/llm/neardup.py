@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import Scratch, chunked, connected_components, cut, read, row_key, ship_package
+from reelrank.llm.common import Scratch, chunked, connected_components, cut, kept, read, row_key, ship_package
 from reelrank.llm.decontaminate import words_of
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -119,6 +119,7 @@ def document_frequencies(rows: DataFrame, parts: int) -> DataFrame:
                    for part, at in enumerate(cells) if len(at)]
             return pd.DataFrame(out, columns=["part", "chunk", "piece", "high", "low", "n"])
 
+        kept("neardup")
         chunk, piece, texts = None, 0, []
         for pdf in batches:
             for c, at, t in zip(pdf["__chunk"], pdf["__at"], pdf["__text"]):
@@ -131,6 +132,7 @@ def document_frequencies(rows: DataFrame, parts: int) -> DataFrame:
             yield asked(chunk, piece, texts)
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
+        kept("neardup")
         cells = [_unpack(a, b) for a, b in zip(pdf["high"], pdf["low"])]
         n = np.concatenate([np.frombuffer(x, "<u4") for x in pdf["n"]])
         _, at = np.unique(np.concatenate(cells), return_inverse=True)
@@ -188,6 +190,7 @@ def _describe(n_docs: int, similarity: float):
     log_n = math.log(max(2, n_docs))
 
     def per_chunk(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        kept("neardup")
         # answers come for the pieces of the chunk that tasks asked for, each in its own order
         pieces = np.unique(answers["piece"].to_numpy())
         of = np.maximum(np.searchsorted(pieces, texts["__at"].to_numpy(), "right") - 1, 0)

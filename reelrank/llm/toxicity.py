@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import in_fold, read, ship_package
+from reelrank.llm.common import in_fold, kept, read, ship_package
 
 #: Bounds of the training sample, for each label: documents and bytes of text.
 SAMPLE_DOCS, SAMPLE_BYTES = 2500, 8_000_000
@@ -148,15 +148,9 @@ class Scorer:
         return -math.expm1(log_clean), bad
 
 
-_SCORERS: dict = {}
-
-
 def _scorer(shared) -> Scorer:
     key, model = shared.value
-    if key not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[key] = Scorer(*model)
-    return _SCORERS[key]
+    return kept(("toxicity", key), lambda: Scorer(*model))
 
 
 def sample(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
