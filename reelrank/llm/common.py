@@ -3,6 +3,10 @@ document chunks and distributed connected components."""
 
 from __future__ import annotations
 
+import gc
+from contextlib import contextmanager
+
+import pyarrow
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,10 +66,25 @@ def kept(key, build=lambda: None):
     take the memory of the next, so every operator's tasks ask for theirs first."""
     if key not in _KEPT:
         _KEPT.clear()
+        gc.collect()
+        pyarrow.default_memory_pool().release_unused()
         _KEPT[key] = build()
     return _KEPT[key]
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """Jobs run inside hand texts to Python in batches of ``rows``; the session's setting is
+    back afterwards."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def in_fold(doc_id: str, mod: int, fold: int):
     """crc32 of the id as text modulo ``mod`` equals ``fold``; false for a null id
     (a row without id takes part in training and is never held out)."""
@@ -90,27 +109,27 @@ def _has_file_rows(docs: DataFrame) -> bool:
     return True
 
 
-def chunked(docs: DataFrame, id_col: str, text_col: str, by_file: bool, *more: Column
-            ) -> tuple[DataFrame, DataFrame]:
+def chunked(docs: DataFrame, id_col: str, text_col: str, by_file: bool, *more: Column,
+            chunk_rows: int = CHUNK_ROWS, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, DataFrame]:
     """Rows (__id, __rid, __text, __chunk, __at, *more), and the same rows in an order in
     which a task meets the rows of a chunk one after the other.
 
-    With ``by_file`` a chunk is a stretch of CHUNK_ROWS rows of a Parquet file and
+    With ``by_file`` a chunk is a stretch of ``chunk_rows`` rows of a Parquet file and
     ``__at`` the row's place in the file: no shuffle is needed, but where a file is split
     two tasks may each meet a part of a chunk. Otherwise rows are dealt by key hash
-    into chunks of about CHUNK_BYTES of text, and ``__at`` is 0; so they are where
+    into chunks of about ``chunk_bytes`` of text, and ``__at`` is 0; so they are where
     ``docs`` doesn't come from files.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     by_file = by_file and _has_file_rows(docs)
     rows = docs.select(F.col(id_col).alias("__id"), text.alias("__text"),
                        F.coalesce(row_key(id_col, text_col), F.xxhash64(text)).alias("__rid"), *more,
-                       *([F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / CHUNK_ROWS))
+                       *([F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / chunk_rows))
                           .alias("__chunk"), F.col("_metadata.row_index").alias("__at")] if by_file else []))
     if by_file:
         return rows, rows
     total = rows.agg(F.sum(F.octet_length("__text").cast("long")).alias("n")).first()["n"] or 0
-    n = max(1, -(-int(total) // CHUNK_BYTES))
+    n = max(1, -(-int(total) // chunk_bytes))
     rows = rows.withColumn("__chunk", F.pmod(F.xxhash64("__rid"), F.lit(n))) \
         .withColumn("__at", F.lit(0).cast("long"))
     return rows, rows.repartition("__chunk").sortWithinPartitions("__chunk")

@@ -188,7 +188,8 @@ def _automaton(shared, window: int) -> SuffixAutomaton:
 def find_spans(docs: DataFrame, bench: DataFrame, *, id_col: str = "doc_id",
                text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
                window: int = WINDOW, block_words: int = BLOCK_WORDS,
-               max_share: tuple[int, int] = MAX_SHARE, keep: bool = False) -> DataFrame:
+               max_share: tuple[int, int] = MAX_SHARE, keep: bool = False,
+               cut: bool = False) -> DataFrame:
     """Benchmark words in each document row.
 
     Per row: the id, ``n_words``, ``n_hit``, ``spans`` (first and last word
@@ -198,7 +199,8 @@ def find_spans(docs: DataFrame, bench: DataFrame, *, id_col: str = "doc_id",
     without words match nothing; items with a null id count as hits but have no
     name in ``items``; repeated items count once; an empty benchmark hits
     nothing; repeated document rows each get their row. Other input columns are
-    ignored unless ``keep`` (then the result names must be free).
+    ignored unless ``keep`` (then the result names must be free); with ``keep``, ``cut``
+    takes the spans out of the text.
 
     One block of items is broadcast at a time; its size is bounded by
     ``block_words``. A larger benchmark takes one pass per block, whose spans
@@ -212,7 +214,7 @@ def find_spans(docs: DataFrame, bench: DataFrame, *, id_col: str = "doc_id",
         "spans": F.array().cast("array<array<int>>"), "items": F.array().cast("array<string>")})
     num, den = max_share
 
-    def run(shared):
+    def run(shared, finish):
         def per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             sam = _automaton(shared, window)
             for pdf in batches:
@@ -225,11 +227,16 @@ def find_spans(docs: DataFrame, bench: DataFrame, *, id_col: str = "doc_id",
                     hit.append(sum(b - a + 1 for a, b in found))
                     spans.append(found)
                     items.append(sorted({*names, *(x for x in its if x is not None)}))
-                yield pdf.assign(n_words=words, n_hit=hit, spans=spans, items=items)
+                out = pdf.assign(n_words=words, n_hit=hit, spans=spans, items=items)
+                if finish:
+                    out[text_col] = [remove_spans(t, s) if s else t for t, s in zip(pdf[text_col], spans)]
+                yield out
         return per_batch
 
-    for block in _benchmark_blocks(bench, item_col, item_text, block_words):
-        out = out.mapInPandas(run(sc.broadcast((uuid.uuid4().hex, block))), out.schema)
+    blocks = [sc.broadcast((uuid.uuid4().hex, b))
+              for b in _benchmark_blocks(bench, item_col, item_text, block_words)]
+    for k, block in enumerate(blocks):     # the last one knows all spans
+        out = out.mapInPandas(run(block, cut and k == len(blocks) - 1), out.schema)
     out = out.withColumn("contaminated", F.expr(f"n_hit > 0 and {den} * n_hit >= {num} * n_words"))
     return out if keep else out.drop(text_col)
 
@@ -243,19 +250,12 @@ def decontaminate(docs: DataFrame, bench: DataFrame, *, text_col: str = "text",
     item) are cut from the text. Rows without a hit come back unchanged.
     """
     cols = docs.columns
-    marked = find_spans(docs.select(F.struct(*cols).alias("__row"),
+    rest = [c for c in cols if c != text_col]
+    marked = find_spans(docs.select((F.struct(*rest) if rest else F.struct(F.lit(0))).alias("__row"),
                                     F.col(text_col).alias("__text")),
-                        bench, text_col="__text", keep=True, max_share=max_share, **options)
-    kept = marked.filter(~F.col("contaminated"))
-
-    def cut_spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf.assign(__text=[remove_spans(t, [list(x) for x in s]) if len(s) else t
-                                     for t, s in zip(pdf["__text"], pdf["spans"])])
-
-    kept = kept.select("__row", "__text", "spans")
-    kept = kept.mapInPandas(cut_spans, kept.schema)
-    return kept.select(*[F.col("__text").alias(c) if c == text_col else F.col("__row")[c].alias(c)
+                        bench, text_col="__text", keep=True, cut=True, max_share=max_share, **options)
+    clean = marked.filter(~F.col("contaminated"))
+    return clean.select(*[F.col("__text").alias(c) if c == text_col else F.col("__row")[c].alias(c)
                          for c in cols])
 
 

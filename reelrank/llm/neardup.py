@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import Scratch, chunked, connected_components, cut, kept, read, row_key, ship_package
+from reelrank.llm.common import Scratch, chunked, connected_components, cut, kept, read, row_key, ship_package, small_batches
 from reelrank.llm.decontaminate import words_of
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -47,6 +47,8 @@ IDF_GAIN = 0.25
 SLACK = 5 * math.sqrt(SIMILARITY * (1 - SIMILARITY) / (BANDS * ROWS))
 #: Texts of a block when cells compare samples, and when they compare vectors.
 SAMPLE_BLOCK, VECTOR_BLOCK = 1000, 400
+#: A chunk's texts are worked on together: so many rows of a file, or bytes of text.
+CHUNK_ROWS, CHUNK_BYTES = 512, 2_000_000
 PART_SHINGLES = 2_000_000
 
 _U = np.uint64
@@ -382,14 +384,15 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     ship_package(spark)
     scratch = Scratch(spark)
-    rows, asks = chunked(docs, id_col, text_col, by_file)
+    rows, asks = chunked(docs, id_col, text_col, by_file, chunk_rows=CHUNK_ROWS, chunk_bytes=CHUNK_BYTES)
     n_docs, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("__text").cast("long")), F.lit(0))).first()
     parts = max(1, -(-size // (6 * PART_SHINGLES)))
     frequencies = document_frequencies(asks.select("__chunk", "__at", "__text"), parts)
     described = rows.select("__chunk", "__at", "__rid", "__text").groupBy("__chunk").cogroup(
         frequencies.withColumnRenamed("chunk", "__chunk").groupBy("__chunk")).applyInPandas(
         _describe(n_docs, similarity), _DESCRIBED)
-    described = scratch.cut(described, "neardup_described")
+    with small_batches(spark):
+        described = scratch.cut(described, "neardup_described")
 
     # texts of the same words: the smallest rid stands for them
     reps = scratch.cut(described.groupBy("key").agg(F.min("rid").alias("rep")), "neardup_reps")
