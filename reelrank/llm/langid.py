@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 
 from reelrank.llm.common import in_fold, kept, read, ship_package
 
-#: Bounds of the training sample: rows a language, bytes a row, bytes of a
-#: dictionary, languages (those with the most training rows).
-SAMPLE_ROWS, ROW_BYTES, DICT_BYTES, MAX_LANGS = 96, 2048, 112 * 1024, 64
+#: Bounds of the training sample: distinct texts a language, characters a text, bytes
+#: of a dictionary. Every language with a usable training row has a dictionary.
+SAMPLE_ROWS, ROW_BYTES, DICT_BYTES = 96, 2048, 112 * 1024
 BLOCK = 8192           # bytes of text that are compressed together
 LEVEL = 3
 MIN_MARGIN = 0.004     # (second - best) / second under this rejects
@@ -42,21 +42,21 @@ def folded(text: str) -> bytes:
 def fit(train: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
     """Dictionary content per language from a bounded sample of labelled rows.
 
-    The sample is the ``SAMPLE_ROWS`` rows of each language with the smallest text
-    hash (a partial top-k, so a language that holds most rows costs one short list
-    per task), each with at most ``ROW_BYTES`` bytes. Copies of a text count once.
+    The sample is the ``SAMPLE_ROWS`` distinct texts of each language with the smallest
+    text hash, each with at most ``ROW_BYTES`` characters. Copies of a text count once:
+    they are folded by partial aggregates before the texts are numbered, which is a
+    partial top-k, so a language that holds most rows costs one short list per task.
     Rows with null text, no letter or null language are not used. Without
     any usable row the result is empty.
     """
     rows = train.select(F.col(lang_col).alias("l"), F.col(text_col).alias("t")) \
         .filter("l is not null and t rlike '\\\\p{L}'")
-    top = [r["l"] for r in rows.groupBy("l").count().orderBy(F.desc("count"), "l")
-           .limit(MAX_LANGS).collect()]
-    short = rows.filter(F.col("l").isin(top)).select(
-        "l", F.substring("t", 1, ROW_BYTES).alias("t"), F.xxhash64("t").alias("h"))
-    # rank rather than row_number: copies share a rank and are then counted once
-    best = short.withColumn("k", F.rank().over(Window.partitionBy("l").orderBy("h"))) \
-        .filter(F.col("k") <= SAMPLE_ROWS).groupBy("l", "h").agg(F.min("t").alias("t"))
+    # copies are folded by hash alone, then only the chosen texts are fetched
+    hashes = rows.select("l", F.xxhash64("t").alias("h")).distinct()
+    best = hashes.withColumn("k", F.row_number().over(Window.partitionBy("l").orderBy("h"))) \
+        .filter(F.col("k") <= SAMPLE_ROWS).select("l", "h")
+    best = rows.select("l", F.xxhash64("t").alias("h"), F.substring("t", 1, ROW_BYTES).alias("t")) \
+        .join(F.broadcast(best), ["l", "h"]).groupBy("l", "h").agg(F.min("t").alias("t"))
     by: dict[str, list] = {}
     for r in best.orderBy("l", "h").collect():
         by.setdefault(r["l"], []).append(r["t"])
@@ -121,7 +121,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], *, text_col: str =
     ``und`` with score 0 and rejected, and so is everything under a model without
     languages; equal sums go to the alphabetically first language and are rejected. Rows are independent: repeats and other columns (one called
     ``lang_id`` is replaced) change nothing.
-    The dictionaries are broadcast: at most MAX_LANGS times DICT_BYTES (7 MB).
+    The dictionaries are broadcast: at most DICT_BYTES (112 KB) a language.
     """
     spark = docs.sparkSession
     ship_package(spark)

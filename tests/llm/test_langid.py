@@ -46,3 +46,19 @@ def test_odd_rows_ties_and_no_model(spark):
     assert langid.fit(train.limit(0)) == {}
     only = langid.identify(docs, {"en": model["en"]}).filter("doc_id = 7").first()["lang_id"]
     assert tuple(only) == ("en", 1.0, False)
+
+
+def test_copies_take_no_place_in_the_sample(spark):
+    texts = [f"word{i} text{i * 7}" for i in range(200)]
+    by_hash = spark.createDataFrame([(t,) for t in texts], "t string").orderBy(F.xxhash64("t"))
+    order = [r["t"] for r in by_hash.collect()]
+    rows = [(order[0], "en")] * 150 + [(t, "en") for t in order[1:]]
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"))
+    want = b"".join(langid.folded(t + "\n") for t in order[:langid.SAMPLE_ROWS])
+    assert model["en"].split() == want.split()
+
+
+def test_every_language_has_a_dictionary(spark):
+    rows = [(f"{chr(0x4e00 + k)} common text of language", f"l{k:03}") for k in range(90)]
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert sorted(model) == [lang for _, lang in rows]
