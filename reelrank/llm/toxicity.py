@@ -29,6 +29,7 @@ from reelrank.llm.common import in_fold, kept, read, ship_package
 
 #: Bounds of the training sample, for each label: documents and bytes of text.
 SAMPLE_DOCS, SAMPLE_BYTES = 2500, 8_000_000
+LONG = 100              # a document over this part of SAMPLE_BYTES gets what others leave
 FEATURE_BITS = 18
 MIN_DOCS = 3            # a feature must occur in so many sampled documents
 STEPS, RATE, SHRINK = 200, 0.15, 1e-4   # descent steps, step size, pull of weights to 0
@@ -156,17 +157,35 @@ def _scorer(shared) -> Scorer:
 def sample(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
            label_col: str = "toxic") -> tuple[list[str], list[int]]:
     """Texts and labels of a bounded sample: for each label the documents with the smallest
-    id hashes, at most SAMPLE_DOCS of them and SAMPLE_BYTES of text. A document that is
-    labelled both ways counts as toxic; null ids, labels and texts are not used."""
+    id hashes, at most SAMPLE_DOCS of them and SAMPLE_BYTES of text. A document that doesn't
+    fit into what is left of the bytes is skipped, those after it are not, and documents of
+    over 1 / LONG of the bytes are taken last, so long ones can't crowd out the others. A
+    document that is labelled both ways counts as toxic; null ids, labels and texts are not
+    used. If a label's documents are all too long, a ValueError says so."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")) \
         .filter("id is not null and y in (0, 1)").groupBy("id").agg(F.max("y").alias("y"))
     first = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("id"), "id"))
     ids = known.withColumn("k", first).filter(F.col("k") <= SAMPLE_DOCS)   # 2 * SAMPLE_DOCS rows at most
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).filter("t is not null") \
-        .join(F.broadcast(ids), "id")
-    used = F.sum(F.octet_length("t")).over(Window.partitionBy("y").orderBy("k", F.xxhash64("t")))
-    got = rows.dropDuplicates(["id"]).withColumn("used", used).filter(F.col("used") <= SAMPLE_BYTES) \
-        .select("t", "y").collect()
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).filter("t is not null")
+    sizes = rows.join(F.broadcast(ids), "id").groupBy("id", "y", "k").agg(
+        F.min(F.struct(F.octet_length("t").alias("size"), F.xxhash64("t").alias("h"))).alias("s")) \
+        .select("id", "y", "k", "s.size", "s.h").collect()
+    chosen, used = [], {}
+    for r in sorted(sizes, key=lambda r: (r["size"] * LONG > SAMPLE_BYTES, r["k"])):
+        total = used.setdefault(r["y"], 0) + r["size"]
+        if total <= SAMPLE_BYTES:
+            used[r["y"]] = total
+            chosen.append((r["id"], r["h"], r["y"], r["k"]))
+    lost = used.keys() - {y for *_, y, _ in chosen}
+    if lost:
+        raise ValueError(f"no document labelled {sorted(lost)} is under the sample's {SAMPLE_BYTES} bytes")
+    if not chosen:
+        return [], []
+    id_type = ids.schema["id"].dataType.simpleString()
+    wanted = docs.sparkSession.createDataFrame(chosen, f"id {id_type}, h long, y int, k int")
+    got = rows.join(F.broadcast(wanted), (rows["id"] == wanted["id"]) & (F.xxhash64("t") == F.col("h"))) \
+        .select("t", "y", "k").dropDuplicates(["y", "k"]).collect()
+    got.sort(key=lambda r: (r["y"], r["k"]))
     return [r["t"] for r in got], [r["y"] for r in got]
 
 

@@ -3,6 +3,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from reelrank.llm import toxicity as tx
@@ -76,3 +77,26 @@ def test_odd_rows(spark):
     assert tx.judge(docs, None).agg(F.max("toxicity.score")).first()[0] == 0.0
     assert tx.judge(docs.limit(0), model).count() == 0
     assert tx.sample(docs, labels.limit(0)) == ([], []) and tx.sample(docs.limit(0), labels) == ([], [])
+
+
+def test_long_documents_take_no_others_from_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(tx, "SAMPLE_BYTES", 2000)
+    ids = spark.range(40).orderBy(F.xxhash64("id")).collect()
+    long = {ids[0]["id"], next(r["id"] for r in ids if r["id"] % 2 != ids[0]["id"] % 2)}   # first of each label
+    rows = [(i, ("x" * 5000 if i in long else f"text {i}"), i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    texts, ys = tx.sample(df, df)
+    assert sorted(zip(texts, ys)) == sorted((t, y) for i, t, y in rows if i not in long)
+    # three of 900 bytes come first and two of them fit, after all the short ones
+    rows = [(r["id"], "y" * 900 if k < 6 else f"text {r['id']}", k % 2) for k, r in enumerate(ids)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    texts, ys = tx.sample(df, df)
+    assert sorted(ys) == [0] * 19 + [1] * 19 and sum(len(t) == 900 for t in texts) == 4
+
+
+def test_a_lost_label_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(tx, "SAMPLE_BYTES", 2000)
+    df = spark.createDataFrame([(i, "x" * (5000 if i % 2 else 10), i % 2) for i in range(10)],
+                               "doc_id long, text string, toxic int")
+    with pytest.raises(ValueError, match="labelled"):
+        tx.sample(df, df)
