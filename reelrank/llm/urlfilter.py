@@ -62,9 +62,39 @@ def same_page_form(url: Column) -> Column:
     return F.when(host != "", form)
 
 
-def declared_targets(html: Column) -> Column:
-    """Absolute URLs that a page declares as its canonical address or redirects to
-    (relative ones name the page's own site and don't make an alias elsewhere)."""
+def without_dots(path: Column) -> Column:
+    """A path without its ``.`` and ``..`` segments."""
+    parts = F.split(path, "/")
+    last = F.element_at(parts, -1)
+    none = F.array().cast("array<string>")
+    done = F.aggregate(F.slice(parts, 2, F.size(parts)), none, lambda acc, x: F.when(
+        x == "..", F.when(F.size(acc) > 0, F.slice(acc, 1, F.size(acc) - 1)).otherwise(none))
+        .when(x == ".", acc).otherwise(F.concat(acc, F.array(x))))
+    return F.concat(F.lit("/"), F.array_join(F.when(last.isin(".", ".."), F.concat(done, F.array(F.lit(""))))
+                                             .otherwise(done), "/"))
+
+
+def resolved(target: Column, url: Column) -> Column:
+    """The absolute URL of a target on the page ``url``; null for one on the page itself, one
+    with a scheme but no host, and a relative one on a page without host."""
+    scheme = F.regexp_extract(url, r"(?s)^(.*?:)//", 1)
+    site = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
+    path = F.regexp_extract(target, r"(?s)^([^?#]*)", 1)
+    rest = F.regexp_extract(target, r"(?s)^[^?#]*(.*)$", 1)
+    folder = F.regexp_replace(path_of(url), r"[^/]*$", "")
+    folder = F.when(folder == "", "/").otherwise(folder)
+    return F.when(target.rlike(r"(?i)^[a-z][a-z0-9+.-]*://"), target) \
+        .when((target == "") | target.startswith("#") | target.rlike(r"(?i)^[a-z][a-z0-9+.-]*:")
+              | (host_of(url) == ""), None) \
+        .when(target.startswith("//"), F.concat(scheme, target)) \
+        .when(target.startswith("?"), F.concat(site, path_of(url), target)) \
+        .when(target.startswith("/"), F.concat(site, without_dots(path), rest)) \
+        .otherwise(F.concat(site, without_dots(F.concat(folder, path)), rest))
+
+
+def declared_targets(html: Column, url: Column) -> Column:
+    """Absolute URLs that the page ``url`` declares as its canonical address or redirects to;
+    relative ones are resolved against the page's URL (a ``<base>`` tag isn't read)."""
     tags = F.regexp_extract_all(html, F.lit(
         r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"), 0)
     refresh = F.regexp_extract_all(html, F.lit(
@@ -73,7 +103,7 @@ def declared_targets(html: Column) -> Column:
         t, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1))
     moves = F.transform(refresh, lambda t: F.regexp_extract(
         t, r"(?is)\burl\s*=\s*[\"']?([^\"'\s>;]+)", 1))
-    return F.filter(F.concat(links, moves), lambda u: u.contains("://"))
+    return F.filter(F.transform(F.concat(links, moves), lambda u: resolved(u, url)), F.isnotnull)
 
 
 def judge(pages: DataFrame, rules=RULES, *, redirects: DataFrame | None = None,
@@ -99,7 +129,7 @@ def judge(pages: DataFrame, rules=RULES, *, redirects: DataFrame | None = None,
     p = p.select(id_col, "__url", host.alias("host"), path.alias("path"),
                  rule_of(host, path, rules).alias("r"),
                  same_page_form(F.col("__url")).alias("form"),
-                 declared_targets(F.col("__html")).alias("to"))
+                 declared_targets(F.col("__html"), F.col("__url")).alias("to"))
     p, _ = cut(p.drop("__url").withColumn("links", F.col("to")).drop("to"), "url_pages")
     # every URL in sight: pages, their declared targets, both ends of given redirects
     ends = p.select("form", F.explode("links").alias("target"))

@@ -68,3 +68,19 @@ def test_components_equal_union_find(spark):
     got = {r["node"]: r["component"] for r in connected_components(df).collect()}
     assert got == {x: find(x) for x in up}
     assert connected_components(df.limit(0)).count() == 0
+
+
+def test_relative_targets_are_resolved(spark):
+    from pyspark.sql import functions as F
+    base = "https://X.net/a/b/c.html?q=1#f"
+    want = {"/es/2": "https://X.net/es/2", "page.html": "https://X.net/a/b/page.html", "//shop.net/es/2": "https://shop.net/es/2",
+            "../d?x=http://y.org/": "https://X.net/a/d?x=http://y.org/", "./": "https://X.net/a/b/", "../../../up": "https://X.net/up",
+            "?p=2": "https://X.net/a/b/c.html?p=2", "http://o.org/1": "http://o.org/1", "#top": None, "": None, "mailto:a@b.c": None}
+    df = spark.createDataFrame([(base, t) for t in want], "url string, t string")
+    assert {r["t"]: r["r"] for r in df.select("t", uf.resolved(F.col("t"), F.col("url")).alias("r")).collect()} == want
+    rows = [(1, "https://x.net/a", link("/es/2")), (2, "https://y.org/p/q", move("//shop.net/fr/2")),
+            (3, "http://shop.net/es/deep/1", None), (4, "https://x.net/s/t", link("../es/2")),
+            (5, "https://x.net/s/u", link("page.html")), (6, "no host", link("/es/2")), (7, "https://w.org", link("es/2"))]
+    pages = spark.createDataFrame([(*r, "?", "?") for r in rows], SCHEMA)
+    assert {r["page_id"]: r["verdict"] for r in uf.judge(pages).collect()} == {
+        1: "block", 2: "block", 3: "block", 4: "block", 5: "allow", 6: "allow", 7: "allow"}
