@@ -45,8 +45,20 @@ RULES = (
     ("All-rights-reserved", "r"),
 )
 
+#: Sentences as the licences' own texts have them, and the runs that stand for runs of
+#: RULES; both for texts whose lines are joined.
+WRAPPED = {
+    "C": "licensed under the apache license version 2.0 the license",
+    "s": "this program is free software",
+    "Q": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+}
+WRAPPED_RUNS = {"cop": "Cop", "co": "Co", "c": "C", "q": "sQ"}
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _END = r"[.!?:;]+(?:[\s\"')\]]+|$)|\n+"    # a stop before white space, or a line end
+#: In joined lines: a stop before white space, or a line that is blank but for comment signs.
+_PARAGRAPH_END = r"[.!?:;]+(?:[\s\"')\]]+|$)|\n(?:[^\S\n]*[#*/;%!-]*[^\S\n]*\n)+"
+_BULLET = r"^(?:\d{1,2}|[a-z]|[ivx]+)$"      # a normalised sentence that only numbers the next
 _SIGNS = r"[^a-z0-9.\x{80}-\x{10FFFF}]+"   # neither letter, digit nor dot
 
 
@@ -64,22 +76,47 @@ def sentence_letter(sentence: Column) -> Column:
         .when(F.trim(sentence) == "", F.lit("")).otherwise(F.lit("-"))
 
 
+def joined_letters(text: Column) -> Column:
+    """Identifiers of the sentences of a text whose single line ends are joined: licences are
+    wrapped, indented, numbered and in comments. Comment signs fall away with all signs;
+    sentences that only number the next one give nothing."""
+    low = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), r"\r\n?", "\n")
+    known = F.create_map(*[F.lit(x) for k, s in {**SENTENCES, **WRAPPED}.items() for x in (s, k)])
+
+    def letter(sentence: Column) -> Column:
+        plain = F.trim(F.regexp_replace(sentence, _SIGNS, " "))
+        likely = sentence.rlike("licen|permi|copyright|warrant|redistribut|rights\\W+reserved|free\\W+software")
+        return F.when(likely, F.coalesce(F.element_at(known, plain), F.lit("-"))) \
+            .when((F.length(sentence) < 40) & ((plain == "") | plain.rlike(_BULLET)), F.lit("")).otherwise(F.lit("-"))
+
+    return F.array_join(F.transform(F.split(low, _PARAGRAPH_END), letter), "")
+
+
 def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
          rules=RULES) -> DataFrame:
     """Per row: id, ``n_sentences``, ``n_known`` (licence sentences), ``sequence`` (the known
     ones' identifiers with one dash for each run of others), ``licence`` (the first
     rule's that matches) and ``licences`` (all, comma-joined in rule order, each once).
 
-    A rule matches a run of consecutive sentences. Null and empty texts have no
+    A rule matches a run of consecutive sentences, of the text as its lines stand (which is
+    what the counts and the sequence tell) or with its lines joined, which finds wrapped
+    licences. Null and empty texts have no
     sentences, an empty sequence, null ``licence`` and empty ``licences``. Whole
     texts are read; every row stands alone, so repeats, other columns and empty
     tables need no care, and nothing is shuffled.
     """
     letters = F.array_join(F.transform(sentences(F.col(text_col)), sentence_letter), "")
-    seq = F.col("__letters")
+    seq, joined = F.col("__letters"), F.col("__joined")
+
+    def matches(run: str) -> Column:
+        more = WRAPPED_RUNS.get(run)
+        hit = seq.contains(run) | joined.contains(run)
+        return hit | joined.contains(more) if more else hit
+
     found = F.array_distinct(F.filter(F.array(*[
-        F.when(seq.contains(run), F.lit(name)) for name, run in rules]), F.isnotnull))
-    return docs.select(F.col(id_col), letters.alias("__letters")).select(
+        F.when(matches(run), F.lit(name)) for name, run in rules]), F.isnotnull))
+    return docs.select(F.col(id_col), letters.alias("__letters"),
+                       joined_letters(F.col(text_col)).alias("__joined")).select(
         id_col, F.length(seq).cast("long").alias("n_sentences"),
         F.length(F.translate(seq, "-", "")).cast("long").alias("n_known"),
         F.regexp_replace(seq, "-+", "-").alias("sequence"), found.alias("__found")).select(

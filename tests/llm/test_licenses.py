@@ -40,3 +40,69 @@ def test_known_sentences_pass_the_quick_filter():
     assert all(re.search("licen|permi|copyright|warrant|redistribut|rights reserved", x)
                for x in lic.SENTENCES.values())
     assert all(len(k) == 1 for k in lic.SENTENCES) and {c for _, r in lic.RULES for c in r} <= set(lic.SENTENCES)
+
+
+APACHE = """Copyright 2020 Someone
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+"""
+MIT = """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+"""
+BSD2 = """Copyright (c) 2020, Someone
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_licences_as_they_are_wrapped(spark):
+    texts = {"Apache-2.0": APACHE, "GPL-3.0-or-later": GPL, "MIT": MIT, "BSD-2-Clause": BSD2, "BSD-3-Clause": BSD3}
+    rows = []
+    for name, text in texts.items():
+        for lead in ("", "# ", " * ", "// "):
+            rows.append((name, "".join(f"{lead}{x}".rstrip() + "\n" for x in text.splitlines())))
+        rows.append((name, text.replace("\n", "\r\n")))
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    got = [(r["doc_id"], r["licence"]) for r in lic.scan(df).collect()]
+    assert len(got) == 25 and [x for x in got if x[0] != x[1]] == []
