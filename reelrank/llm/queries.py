@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from reelrank.llm import bpe, decontaminate, langid, licenses, lm, neardup, pii, topk, toxicity, urlfilter
+from reelrank.llm import (bpe, decontaminate, langid, licenses, lm, mixing, neardup, pii, runs, topk,
+                          toxicity, urlfilter)
 
 QUERIES = {f.__name__: f for f in (
     topk.op1_topk_search,
@@ -15,6 +16,8 @@ QUERIES = {f.__name__: f for f in (
     decontaminate.op8_benchmark_decontamination,
     pii.op9_pii_surrogates,
     bpe.op10_byte_bpe,
+    runs.op11_periodic_runs,
+    mixing.op12_source_mixing,
 )}
 
 SQL = {
