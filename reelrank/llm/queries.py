@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from reelrank.llm import (bpe, decontaminate, langid, licenses, lm, mixing, neardup, pii, runs, topk,
-                          toxicity, urlfilter)
+from reelrank.llm import (alignment, bpe, decontaminate, langid, licenses, lm, mixing, neardup, pii,
+                          runs, topk, toxicity, urlfilter)
 
 QUERIES = {f.__name__: f for f in (
     topk.op1_topk_search,
@@ -18,6 +18,7 @@ QUERIES = {f.__name__: f for f in (
     bpe.op10_byte_bpe,
     runs.op11_periodic_runs,
     mixing.op12_source_mixing,
+    alignment.op13_tokenizer_alignment,
 )}
 
 SQL = {
