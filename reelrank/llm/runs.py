@@ -25,12 +25,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank.llm.common import kept, read, ship_package
 
 MIN_LENGTH, MIN_EXPONENT = 6, 4
+WORD = r"[^\x20\x09-\x0D]+"
 BATCH_WORDS = 250_000   # words whose suffixes are sorted together; a longer text is a batch of its own
 
 
@@ -172,18 +173,18 @@ def runs_of(numbers: np.ndarray, min_length: int = MIN_LENGTH, exponent: int = M
     return start[order], length[order], d[order]
 
 
-def _batches(texts) -> Iterator[tuple[int, list[list[bytes]]]]:
-    """(place of the first text, words of each text) of up to BATCH_WORDS words."""
-    begin, held, size = 0, [], 0
-    for k, text in enumerate(texts):
+def _batches(texts) -> Iterator[list[list[bytes]]]:
+    """Words of each text, in batches of up to BATCH_WORDS words."""
+    held, size = [], 0
+    for text in texts:
         words = text.encode().split() if text else []    # splits at the bytes 20 and 09 to 0D
         if held and size + len(words) > BATCH_WORDS:
-            yield begin, held
-            begin, held, size = k, [], 0
+            yield held
+            held, size = [], 0
         held.append(words)
         size += len(words)
     if held:
-        yield begin, held
+        yield held
 
 
 def _collapse(texts: list[list[bytes]], min_length: int, exponent: int) -> tuple[list[list], list[str]]:
@@ -235,12 +236,9 @@ def find_runs(docs: DataFrame, *, text_col: str = "text", out_col: str = "found"
     def found(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         kept("runs")
         for s in texts:
-            runs, collapsed = [], []
-            for _, some in _batches(s):
-                a, b = _collapse(some, min_length, exponent)
-                runs += a
-                collapsed += b
-            yield pd.DataFrame({"runs": runs, "collapsed": collapsed})
+            for some in _batches(s):
+                runs, collapsed = _collapse(some, min_length, exponent)
+                yield pd.DataFrame({"runs": runs, "collapsed": collapsed})
 
     return docs.withColumn(out_col, found(F.col(text_col)))
 
@@ -249,20 +247,19 @@ def with_period(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The query's texts: of every tenth document by h = crc32 of its id, all words from
     word a = g % n on repeat the p words from there, with g = h div 10 and
     p = 1 + (n - a) div (3 + g % 8). Null ids and texts without words stay as they are."""
-    @F.pandas_udf("string")
-    def turned(crcs: pd.Series, texts: pd.Series) -> pd.Series:
-        out = []
-        for h, text in zip(crcs, texts):
-            words = text.encode().split() if text and h % 10 == 0 else []   # a null's h is NaN
-            if words:
-                n, g = len(words), int(h) // 10
-                a = g % n
-                p = 1 + (n - a) // (3 + g % 8)
-                text = b" ".join(words[:a] + [words[a + i % p] for i in range(n - a)]).decode()
-            out.append(text)
-        return pd.Series(out, dtype=object)
-
-    return docs.withColumn(text_col, turned(F.crc32(F.col(id_col).cast("string").cast("binary")), F.col(text_col)))
+    def turned(w: Column, h: Column) -> Column:
+        n, g = F.size(w), F.floor(h / 10)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        often = F.ceil((n - a) / p).cast("int")
+        return F.concat_ws(" ", F.slice(w, 1, a), F.slice(F.flatten(F.array_repeat(
+            F.slice(w, a + 1, p), often)), F.lit(1), n - a))
+
+    # an array of one entry binds the words, so that they are split once
+    h = F.crc32(F.col(id_col).cast("string").cast("binary"))
+    words = F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD})"), F.lit(1))
+    new = F.element_at(F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, turned(w, h))), 1)
+    return docs.withColumn(text_col, F.when(h % 10 == 0, F.coalesce(new, F.col(text_col))).otherwise(F.col(text_col)))
 
 
 def run_digests(docs: DataFrame) -> DataFrame:
