@@ -20,6 +20,8 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Callable, Iterator
+from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +32,12 @@ from pyspark.sql import functions as F
 
 from reelrank.llm.common import Scratch, cut, kept, read, ship_package
 
-BLOCK_CHARS = 6_000_000      # text of a block
-MEMO_PARTS, MEMO_CHARS = 120_000, 32   # parts of a generation that a worker remembers (there are two), the longest
+BLOCK_CHARS = 4_000_000      # text of a block
+MEMO_PARTS, MEMO_CHARS = 100_000, 32   # parts of a generation that a worker remembers (there are two), the longest
+ROW_PARTS = 200              # parts that are encoded as one text
+PIECE = attrgetter("id", "begin", "end")
+WHITE = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+BLANKS = [c + " " for c in WHITE]
 SPACE = "▁"             # how sentencepiece writes a space
 
 
@@ -43,15 +49,6 @@ def _byte_values() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
 
 
-class Part:
-    """One part of a text, aligned: group text, numbers, and the linked pairs of ids."""
-
-    __slots__ = ("groups", "numbers", "pairs")
-
-    def __init__(self, groups: str, numbers: tuple, pairs: np.ndarray):
-        self.groups, self.numbers, self.pairs = groups, numbers, pairs
-
-
 class Aligner:
     def __init__(self, a_json: str, b_model: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark runs a task per core
@@ -73,8 +70,8 @@ class Aligner:
         self.a_size, self.b_size = (np.array(list(map(len, x))) for x in (self.a_bytes, self.b_bytes))
         # a piece that holds a space after something else would reach over the end of a part
         self.splits = not any(SPACE in p.lstrip(SPACE) for p in pieces)
-        self.young: dict[str, Part] = {}
-        self.old: dict[str, Part] = {}
+        self.young: dict[str, tuple] = {}
+        self.old: dict[str, tuple] = {}
 
     def parts_of(self, text: str) -> list[str]:
         """The text cut before each space that follows a character which isn't white space and
@@ -82,7 +79,7 @@ class Aligner:
         if not self.splits:
             return [text]
         parts = text.split(" ")
-        if not any(p == "" or p[-1].isspace() for p in parts):
+        if not (text[0] == " " or text[-1].isspace() or any(map(text.__contains__, BLANKS))):
             return parts
         out = parts[:1]
         for p in parts[1:]:
@@ -92,65 +89,84 @@ class Aligner:
                 out.append(p)
         return out
 
-    def aligned(self, parts: list[str]) -> list[Part]:
-        """The parts, which are distinct, each behind a space."""
+    def aligned(self, parts: list[str], again: list[bool]) -> list[tuple]:
+        """For each of the parts, which are distinct, a space being before it: whether both
+        tokenizers give its bytes back, its tokens of A and of B, groups, group text, and
+        the linked pairs of ids as bytes of 64-bit numbers. ``again``: the part occurs more
+        than once; others are remembered only if they were known before."""
         found = [self.young.get(p) or self.old.get(p) for p in parts]
         missing = [k for k, x in enumerate(found) if x is None]
+        known = [x is not None for x in found]
         for k, new in zip(missing, self.fresh([parts[k] for k in missing])):
             found[k] = new
-        for p, x in zip(parts, found):
-            if len(p) <= MEMO_CHARS and p not in self.young:
+        for p, x, known_before, more in zip(parts, found, known, again):
+            if (more or known_before) and p not in self.young and len(p) <= MEMO_CHARS:
                 if len(self.young) >= MEMO_PARTS:
                     self.young, self.old = {}, self.young
                 self.young[p] = x
         return found
 
-    def fresh(self, parts: list[str]) -> Iterator[Part]:
-        for k in range(0, len(parts), 20_000):
-            yield from self._fresh(parts[k:k + 20_000])
-
-    def _fresh(self, parts: list[str]) -> Iterator[Part]:
-        texts = [" " + p for p in parts]
-        raw = [t.encode() for t in texts]
+    def fresh(self, parts: list[str]) -> Iterator[tuple]:
+        """As ``aligned``, without memory. Parts that may stand side by side are encoded in rows, as
+        one text each; a row that doesn't give its bytes back is encoded part by part."""
+        for k in range(0, len(parts), 50 * ROW_PARTS):
+            some = parts[k:k + 50 * ROW_PARTS]
+            alone = np.array([p == "" or p[0] == " " or p[-1].isspace() for p in some], dtype=bool) | (not self.splits)
+            rows = [[i] for i in np.flatnonzero(alone)]
+            side = np.flatnonzero(~alone)
+            rows += [side[i:i + ROW_PARTS] for i in range(0, len(side), ROW_PARTS)]
+            out: list = [None] * len(some)
+            again = []
+            for row, new in zip(rows, self._rows([[some[i] for i in row] for row in rows])):
+                if new is None and len(row) > 1:
+                    again += [[i] for i in row]
+                else:
+                    for i, x in zip(row, new or [(False, 0, 0, 0, "", b"")]):
+                        out[i] = x
+            for row, new in zip(again, self._rows([[some[i] for i in row] for row in again])):
+                out[row[0]] = new[0] if new else (False, 0, 0, 0, "", b"")
+            yield from out
+
+    def _rows(self, rows: list[list[str]]) -> Iterator[list[tuple] | None]:
+        """The parts of each row, or None where a tokenizer changes the row's bytes."""
+        if not rows:
+            return
+        texts = [" ".join(row) for row in rows]
+        raw = [b" " + t.encode() for t in texts]
         size = np.array(list(map(len, raw)))
         base = np.cumsum(size) - size
-        a_ids, a_begin, a_end, a_n = [], [], [], []
-        for e in self.a.encode_batch(texts, add_special_tokens=False):
-            ids = e.ids
-            a_ids += ids
-            a_n.append(len(ids))
-            for x, y in e.offsets:
-                a_begin.append(x)
-                a_end.append(y)
-        b_ids, b_begin, b_end, b_n = [], [], [], []
-        for proto in self.b.encode(parts, return_type="proto", num_threads=1):
-            b_n.append(len(proto.pieces))
-            for p in proto.pieces:
-                b_ids.append(p.id)
-                b_begin.append(p.begin)
-                b_end.append(p.end)
-        a_ids, a_n, b_ids, b_n = (np.array(x, dtype=np.int64) for x in (a_ids, a_n, b_ids, b_n))
-        a_own, b_own = (np.repeat(np.arange(len(parts)), n) for n in (a_n, b_n))
-        # characters to bytes, over all texts together
-        points = np.frombuffer("".join(texts).encode("utf-32-le"), dtype="<u4")
+        a_list, a_span, a_n = [], [], []
+        for e in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False):
+            a_n.append(len(e))
+            a_list += e.ids
+            a_span += e.offsets
+        b_span, b_n = [], []
+        for proto in self.b.encode(texts, return_type="proto", num_threads=1):
+            pieces = proto.pieces
+            b_n.append(len(pieces))
+            b_span += map(PIECE, pieces)
+        a_ids, a_n, b_n = (np.array(x, dtype=np.int64) for x in (a_list, a_n, b_n))
+        b_ids, begin, end = np.fromiter(chain.from_iterable(b_span), dtype=np.int64,
+                                        count=3 * len(b_span)).reshape(-1, 3).T
+        a_own, b_own = (np.repeat(np.arange(len(rows)), n) for n in (a_n, b_n))
+        a_stop, b_stop = np.cumsum(a_n), np.cumsum(b_n)
+        # A's spans are characters; over all rows together they become bytes
+        points = np.frombuffer(b"".join(raw).decode().encode("utf-32-le"), dtype="<u4")
         at_byte = np.append(0, np.cumsum(1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)))
-        chars = np.array(list(map(len, texts)))
-        first = (np.cumsum(chars) - chars)[a_own]
-        a_cut = at_byte[first + np.array(a_begin, dtype=np.int64)], at_byte[first + np.array(a_end, dtype=np.int64)]
+        chars = np.array(list(map(len, texts))) + 1
+        span = np.fromiter(chain.from_iterable(a_span), dtype=np.int64, count=2 * len(a_ids)).reshape(-1, 2)
+        a_begin, a_end = at_byte[span.T + (np.cumsum(chars) - chars)[a_own]]
         # B's spans are bytes of the text without the space that it puts before
-        begin, end = np.array(b_begin, dtype=np.int64), np.array(b_end, dtype=np.int64)
-        b_cut = base[b_own] + np.where(begin > 0, begin + 1, 0), base[b_own] + end + 1
-        a_ends = refined(*a_cut, self.a_size[a_ids], a_own, base)
-        b_ends = refined(*b_cut, self.b_size[b_ids], b_own, base)
-        a_stop, b_stop = np.cumsum(a_n), np.cumsum(b_n)
-        a_list, b_list = a_ids.tolist(), b_ids.tolist()
+        b_begin, b_end = base[b_own] + np.where(begin > 0, begin + 1, 0), base[b_own] + end + 1
+        a_ends = refined(a_begin, a_end, self.a_size[a_ids], a_own, base)
+        b_ends = refined(b_begin, b_end, self.b_size[b_ids], b_own, base)
+        b_list = b_ids.tolist()
         good = np.array([
             b"".join(map(self.a_bytes.__getitem__, a_list[x - n:x])) == r
             and b"".join(map(self.b_bytes.__getitem__, b_list[y - m:y])) == r
             for r, x, n, y, m in zip(raw, a_stop.tolist(), a_n.tolist(), b_stop.tolist(), b_n.tolist())], dtype=bool)
         a_on, b_on = good[a_own], good[b_own]
-        a_ids, a_own, a_ends = a_ids[a_on], a_own[a_on], a_ends[a_on]
-        b_ids, b_own, b_ends = b_ids[b_on], b_own[b_on], b_ends[b_on]
+        a_ids, a_ends, b_ids, b_ends = a_ids[a_on], a_ends[a_on], b_ids[b_on], b_ends[b_on]
         # where tokens end, marked byte by byte
         total = int(size.sum())
         a_mark, b_mark = (np.zeros(total + 1, dtype=bool) for _ in range(2))
@@ -158,27 +174,33 @@ class Aligner:
         ends = np.flatnonzero(a_mark | b_mark)
         in_a, in_b = a_mark[ends], b_mark[ends]
         a_at, b_at = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b   # the tokens that reach there
-        own = a_own[a_at]
-        pairs = a_ids[a_at] * len(self.b_bytes) + b_ids[b_at]
+        pairs = (a_ids[a_at] * len(self.b_bytes) + b_ids[b_at]).tobytes()
         both = in_a & in_b
         group = np.cumsum(both) - both
-        n_links = np.bincount(own, minlength=len(parts))
-        n_groups = np.bincount(own[both], minlength=len(parts))
         # group texts: tokens by group, A before B, each with what follows it
-        a_group, b_group = group[in_a], group[in_b]
-        key = np.append(2 * a_group, 2 * b_group + 1)
+        key = np.append(2 * group[in_a], 2 * group[in_b] + 1)
         order = np.argsort(key, kind="stable")
         key, ids = key[order], np.append(a_ids, b_ids)[order]
         sign = np.full(len(key), ";")
         sign[:-1] = np.where(key[1:] == key[:-1], ",", np.where(key[1:] // 2 == key[:-1] // 2, "|", ";"))
-        written = [f"{k}{s}" for k, s in zip(ids.tolist(), sign.tolist())]
-        stop = np.cumsum(np.where(good, a_n + b_n, 0)).tolist()
-        link_stop = np.cumsum(n_links).tolist()
-        at = link_at = 0
-        for ok, n, m, g, s, x, y in zip(good.tolist(), a_n.tolist(), b_n.tolist(), n_groups.tolist(),
-                                        n_links.tolist(), stop, link_stop):
-            yield Part("".join(written[at:x])[:-1], (int(ok), n, m, g, s), pairs[link_at:y].copy())
-            at, link_at = x, y
+        written = list(map(str.__add__, map(str, ids.tolist()), sign.tolist()))
+        # the parts of good rows, by the bytes where they end
+        lengths = [len(p.encode()) + 1 for row, ok in zip(rows, good.tolist()) if ok for p in row]
+        row_base = np.repeat(base[good] - (np.cumsum(size[good]) - size[good]), [len(r) for r, ok in zip(rows, good) if ok])
+        stops = np.cumsum(lengths, dtype=np.int64) + row_base
+        n, m, g, links = (np.searchsorted(x, stops, "right") for x in (a_ends, b_ends, ends[both], ends))
+        at = zip((n + m).tolist(), *(np.diff(x, prepend=0).tolist() for x in (n, m, g)), (8 * links).tolist())
+        from_token = from_link = 0
+        for row, ok in zip(rows, good.tolist()):
+            if not ok:
+                yield None
+                continue
+            out = []
+            for _ in row:
+                token, n, m, g, link = next(at)
+                out.append((True, n, m, g, "".join(written[from_token:token])[:-1], pairs[from_link:link]))
+                from_token, from_link = token, link
+            yield out
 
 
 def refined(begin: np.ndarray, end: np.ndarray, size: np.ndarray, owner: np.ndarray, base: np.ndarray) -> np.ndarray:
@@ -216,25 +238,28 @@ def _block_rows(aligner: Aligner, number: int, ids: pa.Array, texts: list, schem
     place = index.setdefault
     held = [np.array([place(p, len(index)) for p in aligner.parts_of(t)], dtype=np.int64) if t else
             np.zeros(0, dtype=np.int64) for t in texts]
-    parts = aligner.aligned(list(index))
-    numbers = np.array([p.numbers for p in parts], dtype=np.int64).reshape(-1, 5)
-    written = [p.groups for p in parts]
-    times = np.zeros(len(parts), dtype=np.int64)
-    sums, groups, words = np.zeros((len(texts), 4), dtype=np.int64), [], []
+    lengths = np.array(list(map(len, held)))
+    all_words = np.concatenate(held)
+    times = np.bincount(all_words, minlength=len(index))
+    parts = aligner.aligned(list(index), (times > 1).tolist())
+    numbers = np.array([(not p[0], *p[1:4], len(p[5]) // 8) for p in parts], dtype=np.int64).reshape(-1, 5)
+    written = [p[4] for p in parts]
+    sums = np.concatenate([np.zeros((1, 5), dtype=np.int64), np.cumsum(numbers[all_words], axis=0)])
+    stop = np.cumsum(lengths)
+    sums = sums[stop] - sums[stop - lengths]
+    changed = sums[:, 0] > 0                             # other bytes: the text has no tokens
+    sums = np.where(changed[:, None], 0, sums[:, 1:])
+    groups, words = [], []
     for k, w in enumerate(held):
-        if not len(w) or not numbers[w, 0].all():        # other bytes: the text has no tokens
-            groups.append("")
-            words.append(b"")
-            continue
-        sums[k] = numbers[w, 1:].sum(axis=0)
+        if changed[k]:
+            times -= np.bincount(w, minlength=len(times))
+            w = w[:0]
         groups.append(";".join(map(written.__getitem__, w.tolist())))
-        distinct, n = np.unique(w, return_counts=True)
-        times[distinct] += n
-        words.append(np.diff(np.repeat(distinct, n), prepend=0).astype("<u4").tobytes())
+        w.sort()
+        words.append(np.diff(w, prepend=0).astype("<u4").tobytes())
     used = times > 0
-    links = [p.pairs for p in parts]
     count = np.where(used, numbers[:, 4], 0)
-    flat = np.concatenate([x for x, on in zip(links, used.tolist()) if on]) if used.any() else np.zeros(0, dtype=np.int64)
+    flat = np.frombuffer(b"".join([p[5] for p, on in zip(parts, used.tolist()) if on]), dtype=np.int64)
     pairs, at = np.unique(flat, return_inverse=True)
     weight = np.bincount(at, np.repeat(times, count), len(pairs)).astype(np.int64)
     packed = np.concatenate([[len(parts)], count, at]).astype("<u4").tobytes()
