@@ -14,7 +14,10 @@ blocks mean less replication; the budget keeps a block pair within task memory.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,8 +57,11 @@ def n_blocks(n: int, rows_per_block: int) -> int:
 
 
 def target_tasks(spark) -> int:
-    """Block pairs wanted so every core of the cluster gets work (2 waves)."""
-    return 2 * max(1, spark.sparkContext.defaultParallelism)
+    """Block pairs wanted so every core of the cluster gets work (2 waves). Executors that
+    aren't up yet (dynamic allocation) don't count in the first figure, so the session's
+    number of shuffle partitions is a floor."""
+    return max(2 * max(1, spark.sparkContext.defaultParallelism),
+               int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def self_blocks(n: int, dim: int, block_mb: float, tasks: int) -> int:
@@ -114,3 +120,29 @@ def cross_pair_sides(left: DataFrame, left_key: str, left_blocks: int,
                       block_of(right_key, right_blocks).alias("b"),
                       *[F.col(c).alias(c) for c in right.columns])
     return lk, rk
+
+
+def matrix(rows: pa.Table, col: str, dim: int) -> np.ndarray:
+    """The list column as a (rows, dim) array of doubles."""
+    lists = rows.column(col).combine_chunks()
+    flat = lists.flatten() if len(rows) else pa.array([], pa.float64())
+    return np.asarray(flat.to_numpy(zero_copy_only=False), dtype=np.float64).reshape(len(rows), dim)
+
+
+def run_pairs(sides: DataFrame, n_pairs: int,
+              kernel: Callable[[int, pa.Table, pa.Table], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``kernel(pair, left, right)`` for every pair of blocks: ``sides`` has a row's ``pair``, from 0
+    to ``n_pairs`` - 1, and its ``side``, 0 or 1. Each pair has the partition of its own number:
+    none holds two, and adaptive execution doesn't merge them by their bytes, which say
+    nothing of a product's work."""
+    dealt = sides.repartitionById(n_pairs, F.col("pair"))
+
+    def per_pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            rows = pa.Table.from_batches(held)
+            side = rows.column("side").to_numpy()
+            left, right = (rows.filter(pa.array(side == k)) for k in (0, 1))
+            yield from kernel(int(rows.column("pair")[0].as_py()), left, right)
+
+    return dealt.mapInArrow(per_pair, schema)

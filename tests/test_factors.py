@@ -59,3 +59,41 @@ def test_rmse_dup(spark):
     errs = [(4 - 3.5) ** 2] * 2 + [(2 - 3.5) ** 2] * 2 + [(3 - 1.0) ** 2]
     got = factors.rmse_pairwise(actual, pred).first()["rmse"]
     assert got == pytest.approx(np.sqrt(np.mean(errs)))
+
+
+def vectors(spark, seed, n, name, skewed=False, dim=16):
+    rng = np.random.default_rng(seed)
+    v = rng.normal(size=(n, dim))
+    if skewed:
+        v *= (20 * np.arange(1, n + 1) ** -0.7)[rng.permutation(n)][:, None]
+    return v, spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(v)], f"{name} int, features array<double>")
+
+
+@pytest.mark.parametrize("n_users, n_items, skewed, block_mb", [
+    (300, 2000, True, 64.0), (300, 2000, True, 0.05), (120, 900, False, 0.03), (40, 7, True, 64.0)])
+def test_pruned_topk_equals_all_products(spark, n_users, n_items, skewed, block_mb):
+    u, users = vectors(spark, 1, n_users, "uid")
+    i, items = vectors(spark, 2, n_items, "mid", skewed)
+    got = rows(factors.user_top_k(users, items, 10, block_mb=block_mb))
+    want = []
+    for uid, scores in enumerate(u @ i.T):
+        top = np.lexsort((np.arange(n_items), -scores))[:10]
+        want += [(uid, k + 1, int(m), round(float(scores[m]), 8)) for k, m in enumerate(top) if scores[m] > 0]
+    assert [(*r[:3], round(r[3], 8)) for r in got] == sorted(want)
+
+
+def test_skewed_norms_leave_most_products_out(spark):
+    _, users = vectors(spark, 1, 300, "uid")
+    _, items = vectors(spark, 2, 3000, "mid", skewed=True)
+    for block_mb in (64.0, 0.05):
+        r = factors.top_k_pruning(users, items, 10, block_mb=block_mb).first()
+        assert r["products"] == 900_000 and r["made"] < r["products"] / 5
+
+
+def test_equal_norms_are_dealt_to_several_blocks(spark):
+    angles = np.linspace(0, 1, 400)
+    items = spark.createDataFrame([(k, [float(np.cos(a)), float(np.sin(a))]) for k, a in enumerate(angles)],
+                                  "mid int, features array<double>")
+    users = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.0, 0.0])], "uid int, features array<double>")
+    got = rows(factors.user_top_k(users, items, 3, block_mb=0.0005))
+    assert [r[:3] for r in got] == [(1, 1, 0), (1, 2, 1), (1, 3, 2), (2, 1, 399), (2, 2, 398), (2, 3, 397)]

@@ -46,7 +46,7 @@ def test_blocked_kernels_have_no_cartesian(spark):
                factors.user_top_k(views.user_profiles(spark, SF_SMALL), f, 10)):
         p = plan(df, "simple")
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
-        assert "FlatMapCoGroupsInPandas" in p or "FlatMapGroupsInPandas" in p
+        assert "MapInArrow" in p
         assert "REPARTITION_BY_NUM" in p           # one partition per block pair, never merged
 
 

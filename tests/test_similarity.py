@@ -89,3 +89,55 @@ def test_pair_exactly_at_threshold_is_excluded(spark):
     got = {(a, b) for a, b, _ in similarity.similar_pairs(frame(spark, vecs), 0.6).collect()}
     assert (1, 2) not in got and (2, 1) not in got
     assert (1, 3) in got and (2, 3) in got          # 24/25 = 0.96 and 20/25 = 0.8
+
+
+def clustered(seed=1, rows=600, clusters=12, dim=24, spread=0.12):
+    rng = np.random.default_rng(seed)
+    centers = rng.normal(size=(clusters, dim))
+    return {i: (centers[i % clusters] + rng.normal(size=dim) * spread).astype(np.float32).tolist()
+            for i in range(rows)}
+
+
+@pytest.mark.parametrize("threshold", [0.2, 0.4, 0.6, 0.75, 0.9])
+@pytest.mark.parametrize("kind", ["clustered", "even", "few"])
+def test_pruned_equals_brute_force(spark, threshold, kind):
+    if kind == "clustered":
+        vecs = clustered(rows=240) | {900: clustered(rows=1)[0], 901: [0.0] * 24}
+    elif kind == "even":
+        vecs = {i: v for i, v in enumerate(np.random.default_rng(2).normal(size=(200, 6)).astype(np.float32).tolist())}
+    else:
+        vecs = {1: [1.0, 0.0], 2: [1.0, 0.0], 3: [0.0, 1.0], 4: [-1.0, 0.0]}
+    got = similarity.similar_pairs(frame(spark, vecs), threshold, block_mb=0.01)
+    assert sorted((a, b, round(r, 9)) for a, b, r in got.collect()) == brute_force_pairs(vecs, threshold)
+
+
+def test_clustered_vectors_need_under_half_of_the_products(spark):
+    vecs = clustered()
+    for threshold in (0.6, 0.9):
+        r = similarity.pruning(frame(spark, vecs), threshold, block_mb=0.02).first()
+        assert r["vectors"] == 600 and r["products"] == 600 * 599 // 2
+        assert r["pairs"] * 2 == len(brute_force_pairs(vecs, threshold)) and r["made"] < r["products"] / 2
+
+
+def test_block_pairs_far_apart_are_not_shipped():
+    from reelrank.operators import cells
+    units = np.array(list(clustered(spread=0.05).values()))
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    pivots = cells.pivots_of(units, 12)
+    own, far = cells.nearest_cell(units, pivots)
+    counts = np.bincount(own, minlength=len(pivots))
+    radius = np.array([far[own == c].max(initial=0) for c in range(len(pivots))])
+    plan = cells.plan(pivots, counts, radius, 0.9, block_rows=50)
+    pairs = plan.block_pairs()
+    assert plan.blocks >= 12 and len(pairs) < plan.blocks * (plan.blocks + 1) / 4
+    # what is left out holds no pair
+    where = plan.first_block[own]
+    listed = {tuple(p) for p in pairs.tolist()}
+    for i, j in np.argwhere(units @ units.T > 0.9):
+        a, b = sorted((where[i], where[j]))
+        assert any((x, y) in listed for x in range(a, a + plan.parts[own[i]] + 1) for y in range(b, b + plan.parts[own[j]] + 1))
+
+
+def test_no_vectors_and_one_vector(spark):
+    assert similarity.similar_pairs(frame(spark, {1: [0.0, 0.0]}), 0.6).count() == 0
+    assert similarity.similar_pairs(frame(spark, {1: [1.0, 0.0]}), 0.6).count() == 0
