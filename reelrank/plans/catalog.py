@@ -504,9 +504,7 @@ def stream_realtime_recs(spark, sf_dir):
     src = _replay(spark, views.stream_messages(spark, sf_dir), "rt_in", "epoch")
     out_base = fresh_path(spark, "StreamRecs")
     jobs.start_realtime(spark, src, sim_path, rated_path, out_base,
-                        fresh_path(spark, "rt_ckpt"), 20, 20, ONLINE_THRESHOLD,
-                        rated_buckets=RATING_BUCKETS, sim_buckets=SIM_BUCKETS,
-                        compact_every=2)
+                        fresh_path(spark, "rt_ckpt"), 20, 20, ONLINE_THRESHOLD, compact_every=2)
     recs = tables.read_replace_table(spark, out_base, "uid")
     flat = recs.select("uid", F.explode_outer("recs").alias("rec"))
     return flat.select("uid", F.col("rec.rid").alias("mid"),

@@ -43,8 +43,15 @@ class Store:
     def write(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> str:
         return tables.overwrite_table(df, self.path(name), partition_by)
 
+    def write_version(self, df: DataFrame, name: str, key: str | None = None, buckets: int | None = None,
+                      files_per_bucket: int | None = None) -> int:
+        """A new version of a table that running streams look up, by buckets of ``key`` if given."""
+        return tables.write_version(self.spark, self.path(name), lambda path: tables.write_bucketed_by_key(
+            df, path, key, buckets, files_per_bucket) if buckets else tables.overwrite_table(df, path))
+
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """The table; of one that has versions the newest complete one."""
+        return tables.read_current(self.spark, self.path(name))
 
 
 def load_job(spark: SparkSession, movie_path: str, rating_path: str, tag_path: str,
@@ -55,18 +62,14 @@ def load_job(spark: SparkSession, movie_path: str, rating_path: str, tag_path: s
     Movie, Rating and Tag hold every parsed row. MovieWithTags (the search
     documents: movie left-joined to its tag string) is keyed by mid: a later
     line of the movie file replaces an earlier one (by file, then position).
-    With ``rating_buckets`` the Rating table is stored partitioned by a uid
-    bucket for the real-time job's lookups.
+    Rating is written as a new version, so a running real-time job isn't disturbed; with
+    ``rating_buckets`` it is stored by buckets of uid for that job's lookups.
     """
     movies = text.load_movies(spark, movie_path, mode)
     ratings = text.load_ratings(spark, rating_path, mode)
     tags = text.load_tags(spark, tag_path, mode)
     store.write(movies.good, S.MOVIE_TABLE)
-    if rating_buckets:
-        tables.write_bucketed_by_key(ratings.good, store.path(S.RATING_TABLE), "uid",
-                                     rating_buckets, files_per_bucket)
-    else:
-        store.write(ratings.good, S.RATING_TABLE)
+    store.write_version(ratings.good, S.RATING_TABLE, "uid", rating_buckets, files_per_bucket)
     store.write(tags.good, S.TAG_TABLE)
     if mode.upper() == "PERMISSIVE":
         rejects = movies.rejects.unionByName(ratings.rejects).unionByName(tags.rejects)
@@ -149,8 +152,7 @@ def offline_job(spark: SparkSession, store: Store, rank: int = S.ALS_RANK,
 def publish_pairs(spark: SparkSession, store: Store, pairs: DataFrame,
                   buckets: int = PAIR_BUCKETS) -> None:
     """Store flat (mid, rid, r) pairs, bucketed by mid, as a new version of their table."""
-    tables.write_version(spark, store.path(PAIRS), lambda path: tables.write_bucketed_by_key(
-        pairs.select("mid", "rid", "r"), path, "mid", buckets))
+    store.write_version(pairs.select("mid", "rid", "r"), PAIRS, "mid", buckets)
 
 
 def tuning_job(spark: SparkSession, store: Store, ranks: Sequence[int] = S.GRID_RANKS,
@@ -163,19 +165,17 @@ def tuning_job(spark: SparkSession, store: Store, ranks: Sequence[int] = S.GRID_
 
 def movie_recs_pairs(store: Store) -> DataFrame:
     """Flat (mid, rid, r) pairs of the newest offline run."""
-    return tables.read_current(store.spark, store.path(PAIRS)).select("mid", "rid", "r")
+    return store.read(PAIRS).select("mid", "rid", "r")
 
 
 def start_realtime_job(spark: SparkSession, ratings_topic: DataFrame, store: Store,
-                       checkpoint: str, rating_buckets: int | None = None,
-                       pair_buckets: int = PAIR_BUCKETS, available_now: bool = False, **kw):
+                       checkpoint: str, available_now: bool = False, **kw):
     """Rating topic -> StreamRecs (append log under the store); messages that are no
-    ratings go to ``_rating_rejects``. Every batch looks up the pairs of the newest
-    offline run, by the buckets of its own movies."""
+    ratings go to ``_rating_rejects``. Every batch looks up the newest Rating table and the
+    pairs of the newest offline run, by the buckets of its own users and movies."""
     return stream_jobs.start_realtime(
         spark, ratings_topic, store.path(PAIRS), store.path(S.RATING_TABLE),
         store.path(S.STREAM_RECS_TABLE), checkpoint, available_now=available_now,
-        rated_buckets=rating_buckets, sim_buckets=pair_buckets,
         rejects_path=store.path("_rating_rejects"), **kw)
 
 

@@ -45,6 +45,17 @@ def test_load_job(spark, store):
                                                                          (2, "funny")]
 
 
+def test_rating_is_written_in_versions(spark, store, tmp_dir):
+    """The load job runs again, with buckets, while a reader holds the table before."""
+    before = store.read(S.RATING_TABLE)
+    _write(tmp_dir + "/in/ratings.txt", ["10,1,4.0,1260759144"])
+    jobs.load_job(spark, tmp_dir + "/in/movies.txt", tmp_dir + "/in/ratings.txt", tmp_dir + "/in/tags.txt",
+                  store, rating_buckets=4)
+    after = store.read(S.RATING_TABLE)
+    assert before.count() == 3 and after.count() == 1
+    assert tables.layout(before) is None and tables.layout(after)[:2] == ("uid", 4)
+
+
 def test_statistics_job_equals_operators(spark, store):
     jobs.statistics_job(spark, store, ["Drama", "Comedy", "Horror"], 10)
     r = store.read(S.RATING_TABLE)

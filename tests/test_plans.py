@@ -64,13 +64,17 @@ def test_similarity_runs_once_in_realtime(spark):
     assert "FlatMapGroupsInPandas" not in p and "FlatMapCoGroupsInPandas" not in p   # pairs are read back
 
 
-def test_bucketed_lookup_prunes_partitions(spark, tmp_dir):
+def test_bucketed_lookup_prunes_partitions_at_run_time(spark, tmp_dir):
     path = tables.write_bucketed_by_key(views.ratings(spark, SF_SMALL), tmp_dir + "/r", "uid", 8)
     r = spark.read.parquet(path)
-    pruned = r.filter(F.col(tables.KEY_BUCKET_COL).isin([1, 2]))
-    lines = [ln for ln in plan(pruned).splitlines() if ln.startswith("PartitionFilters")]
-    assert lines and "uid_bucket" in lines[0] and "IN (1,2)" in lines[0]
-    assert pruned.count() < r.count()
+    assert tables.layout(r) == ("uid", 8, "uid_bucket_of_8")
+    keys = r.filter("uid_bucket_of_8 in (1, 2)").select("uid").limit(5).persist()
+    got = tables.lookup(r, keys, "uid")
+    lines = [ln for ln in plan(got).splitlines() if ln.startswith("PartitionFilters")]
+    assert lines and any("dynamicpruning" in ln for ln in lines)
+    assert 0 < got.count() < r.count()
+    assert got.join(keys, "uid", "left_semi").count() == r.join(keys, "uid", "left_semi").count()
+    assert tables.lookup(r, keys, "mid") is r                  # another key: the whole table
 
 
 def test_hot_user_recent_ratings(spark):
