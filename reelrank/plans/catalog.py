@@ -22,7 +22,7 @@ from reelrank.schemas import RATING as RATING_SCHEMA
 from reelrank.session import fresh_path
 from reelrank.sinks import tables
 from reelrank.sources import text, views
-from reelrank.streaming import jobs, messages
+from reelrank.streaming import jobs, messages, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -425,7 +425,6 @@ def realtime_recs(spark, sf_dir):
 
 
 STREAM_FILES = 4  # the table is replayed as this many time-ordered micro-batches
-RATING_BUCKETS = 32  # uid buckets of the stored Rating table the stream looks up
 SIM_BUCKETS = 16     # mid buckets of the stored similarity pairs
 
 
@@ -493,18 +492,26 @@ def stream_recent_ratings(spark, sf_dir):
     return out.join(last, ["uid", "seq"], "left_semi").select("uid", "pos", "mid", "score", "timestamp")
 
 
+@query
+def stored_recent_lists(spark, sf_dir):
+    """A batch read of the recent lists from the state that a replayed stream has left."""
+    src = _replay(spark, views.stream_messages(spark, sf_dir), "stored_in")
+    ckpt = fresh_path(spark, "stored_ckpt")
+    jobs.run_to_parquet(jobs.recent_ratings_stream(jobs.rating_stream(src), 20), fresh_path(spark, "stored_out"), ckpt)
+    return state.stored_lists(spark, ckpt).select("uid", "pos", "mid", "score", "timestamp")
+
+
 @query
 def stream_realtime_recs(spark, sf_dir):
-    """The real-time job end to end: replayed rating stream, recent-rating
-    state, scoring per micro-batch, replace-by-key StreamRecs table."""
+    """The real-time job end to end: replayed rating stream, recent lists and rated movies as
+    keyed state, scoring per micro-batch, replace-by-key StreamRecs table."""
     sim_path = tables.write_bucketed_by_key(_features_sim(spark, sf_dir, ONLINE_THRESHOLD),
                                             fresh_path(spark, "MovieRecs"), "mid", SIM_BUCKETS)
-    rated_path = tables.write_bucketed_by_key(views.ratings(spark, sf_dir),
-                                              fresh_path(spark, "Rating"), "uid", RATING_BUCKETS)
+    rated_path = tables.overwrite_table(views.ratings(spark, sf_dir).select("uid", "mid"), fresh_path(spark, "Rating"))
     src = _replay(spark, views.stream_messages(spark, sf_dir), "rt_in", "epoch")
     out_base = fresh_path(spark, "StreamRecs")
     jobs.start_realtime(spark, src, sim_path, rated_path, out_base,
-                        fresh_path(spark, "rt_ckpt"), 20, 20, ONLINE_THRESHOLD, compact_every=2)
+                        fresh_path(spark, "rt_ckpt"), 20, 20, ONLINE_THRESHOLD, compact_every=2, keep_rated=True)
     recs = tables.read_replace_table(spark, out_base, "uid")
     flat = recs.select("uid", F.explode_outer("recs").alias("rec"))
     return flat.select("uid", F.col("rec.rid").alias("mid"),

@@ -365,6 +365,7 @@ SQL["stream_route_messages"] = SQL["route_messages"]
 SQL["stream_parse_ratings"] = with_views(
     'SELECT uid, mid, score, "timestamp" FROM v_events', "v_events")
 SQL["stream_recent_ratings"] = SQL["recent_ratings"]
+SQL["stored_recent_lists"] = SQL["recent_ratings"]
 SQL["stream_rejects"] = with_views(
     f"""SELECT CASE WHEN event_id % 5 IN (2, 4) THEN 'reject' ELSE 'rating' END AS kind,
                CASE WHEN event_id % 5 = 2 THEN concat_ws('|', u, k, s)
