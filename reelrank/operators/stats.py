@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelrank.functions.scalar import year_month
@@ -61,15 +61,53 @@ def genre_match(movies: DataFrame, genres: Sequence[str] | DataFrame) -> DataFra
 
     A genre *list* is a literal of the plan: each movie row keeps the names it
     contains (one scan, no shuffle, no join) and is exploded over those. A genre
-    *table* is joined; Spark chooses the strategy by its size.
+    *table* is matched by an index of its names' rarest letters (``indexed_match``).
     """
     if isinstance(genres, DataFrame):
-        return movies.join(genres, F.lower(movies["genres"]).contains(F.lower(genres["genre"])), "inner")
+        return indexed_match(movies, genres)
     names = F.array(*[F.lit(str(g)) for g in genres]) if genres else F.array().cast("array<string>")
     text = F.lower(F.col("genres"))
     return movies.withColumn("genre", F.explode(F.filter(names, lambda g: text.contains(F.lower(g)))))
 
 
+GRAM = 3     # letters of an index entry
+
+
+def _grams(text: Column, n: int) -> Column:
+    """The distinct stretches of ``n`` letters of a text; of a shorter text none."""
+    return F.array_distinct(F.transform(
+        F.when(F.length(text) >= max(n, 1), F.sequence(F.lit(1), F.length(text) - (n - 1))).otherwise(F.array().cast("array<int>")),
+        lambda k: F.substring(text, k, F.lit(n))))
+
+
+def indexed_match(movies: DataFrame, genres: DataFrame) -> DataFrame:
+    """(movie row, genre) for every name of the table ``genres`` (column genre) that the movie's
+    genres text contains, upper and lower case alike, by equi-joins only.
+
+    The distinct texts are matched, then joined back to the movies. A name is looked up by the
+    one of its three-letter stretches that the fewest texts have (a shorter name by itself), and
+    found candidates are verified. Repeated names match as often as they come, an
+    empty name matches every text, a null name or text none.
+    """
+    text = F.lower(F.col("genres"))
+    texts = movies.select(text.alias("t")).filter("t is not null").distinct()
+    names = genres.select(F.col("genre"), F.lower("genre").alias("g")).filter("g is not null")
+    # lengths of index entries that the names need: GRAM + 1 rows
+    sizes = [r["n"] for r in names.select(F.least(F.length("g"), F.lit(GRAM)).alias("n")).distinct().collect()]
+    entry = F.when(F.length("g") < GRAM, F.array("g")).otherwise(_grams(F.col("g"), GRAM))
+    listed = [_grams(F.col("t"), n) for n in sorted(sizes) if n] + ([F.array(F.lit(""))] if 0 in sizes else [])
+    index = texts.select("t", F.explode(F.concat(*listed) if listed else F.array().cast("array<string>")).alias("gram"))
+    often = index.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    distinct = names.select("g").distinct().select("g", F.explode(entry).alias("gram"))
+    # a stretch that no text has settles its name: it matches nothing
+    rarest = distinct.join(often, "gram", "left").groupBy("g").agg(
+        F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), F.col("gram"))).alias("m")) \
+        .filter("m.df > 0").select("g", F.col("m.gram").alias("gram"))
+    found = index.join(rarest, "gram").filter(F.col("t").contains(F.col("g"))).select("t", "g")
+    return movies.withColumn("__t", text).join(found.withColumnRenamed("t", "__t"), "__t") \
+        .join(names, "g").drop("__t", "g")
+
+
 def genre_top_k(movies: DataFrame, averages: DataFrame, genres: Sequence[str] | DataFrame,
                 k: int = GENRE_TOP_K) -> DataFrame:
     """Top k movies per genre by mean score, flat -> (genre, rank, mid, avg).

@@ -87,6 +87,20 @@ def genre_match(spark, sf_dir):
         .select("genre", "mid")
 
 
+def _name_table(spark, sf_dir):
+    """Names to look for: the words of all movie types and names, the types themselves, and the
+    customers' names, which are in no movie."""
+    part = views.table(spark, sf_dir, "part").select("p_type", "p_name")
+    words = part.select(F.explode(F.concat(F.split("p_type", " "), F.split("p_name", " "))).alias("genre"))
+    return words.union(part.select("p_type")).union(views.table(spark, sf_dir, "customer").select("c_name")).distinct()
+
+
+@query
+def genre_table_match(spark, sf_dir):
+    """The genre table form: every name of a table against every movie, by the index."""
+    return stats.genre_match(views.movies(spark, sf_dir), _name_table(spark, sf_dir)).select("genre", "mid")
+
+
 @query
 def genre_top10(spark, sf_dir):
     avg = stats.average_score(views.ratings(spark, sf_dir))
@@ -206,6 +220,15 @@ def item_similarity(spark, sf_dir):
     return _features_sim(spark, sf_dir, 0.3).select("mid", "rid", r6("r"))
 
 
+@query
+def recs_segments(spark, sf_dir):
+    """Nested lists in segments of 5, so that there are several: their sizes and ends."""
+    cut = similarity.movie_rec_segments(_features_sim(spark, sf_dir, 0.3), 5)
+    return cut.select("mid", "segment", F.size("recs").alias("n"),
+                      F.round(F.col("recs")[0]["r"], 6).alias("first"),
+                      F.round(F.element_at("recs", -1)["r"], 6).alias("last"))
+
+
 @query
 def cosine_pairs(spark, sf_dir):
     pairs = _features_sim(spark, sf_dir, 0.3)

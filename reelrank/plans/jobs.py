@@ -139,14 +139,14 @@ def offline_job(spark: SparkSession, store: Store, rank: int = S.ALS_RANK,
                 threshold: float = S.SIMILARITY_THRESHOLD,
                 pair_buckets: int = PAIR_BUCKETS) -> None:
     """Train ALS on Rating; write UserRecs (top k per user) and MovieRecs: flat pairs,
-    versioned and bucketed for the stream, and from those the nested record."""
+    versioned and bucketed for the stream, and from those the nested record, in segments."""
     with als.freeing_factors(spark):
         model = als.train(store.read(S.RATING_TABLE), rank, max_iter, reg_param, seed)
         top = als.offline_user_recs(model, store.read(S.MOVIE_TABLE), k)
         store.write(stats.nest_ranked(top, "uid", "uid", id_col="mid", score_col="score"),
                     S.USER_RECS_TABLE)
         publish_pairs(spark, store, als.offline_movie_recs(model, threshold), pair_buckets)
-    store.write(similarity.movie_recs(movie_recs_pairs(store)), S.MOVIE_RECS_TABLE)
+    store.write(similarity.movie_rec_segments(movie_recs_pairs(store)), S.MOVIE_RECS_TABLE)
 
 
 def publish_pairs(spark: SparkSession, store: Store, pairs: DataFrame,

@@ -97,6 +97,13 @@ SQL["genre_match"] = with_views(
     """SELECT g.genre, m.mid FROM v_movies m JOIN v_genres g
        ON contains(lower(m.genres), lower(g.genre))""", "v_movies", "v_genres")
 
+SQL["genre_table_match"] = with_views(
+    """SELECT n.genre, m.mid FROM v_movies m JOIN (
+         SELECT unnest(string_split(p_type, ' ')) AS genre FROM part
+         UNION SELECT unnest(string_split(p_name, ' ')) FROM part
+         UNION SELECT p_type FROM part UNION SELECT c_name FROM customer) n
+       ON contains(lower(m.genres), lower(n.genre))""", "v_movies")
+
 SQL["genre_top10"] = with_views(
     """SELECT genre, rank, mid, round(avg, 6) AS avg FROM (
          SELECT g.genre, m.mid, a.avg,
@@ -173,6 +180,11 @@ VIEW_DEPS["v_sim20"] = ["v_features"]
 
 SQL["item_similarity"] = with_views("SELECT mid, rid, round(r, 6) AS r FROM v_sim30", "v_sim30")
 SQL["recs_explode"] = SQL["item_similarity"]
+SQL["recs_segments"] = with_views(
+    """SELECT mid, CAST(k AS INTEGER) AS segment, CAST(count(*) AS INTEGER) AS n,
+              round(max(r), 6) AS first, round(min(r), 6) AS last
+       FROM (SELECT mid, r, (row_number() OVER (PARTITION BY mid ORDER BY r DESC, rid) - 1) // 5 AS k FROM v_sim30)
+       GROUP BY mid, k""", "v_sim30")
 SQL["cosine_pairs"] = with_views(
     "SELECT mid, rid, round(r, 6) AS cos FROM v_sim30", "v_sim30")
 

@@ -97,3 +97,36 @@ def test_equal_norms_are_dealt_to_several_blocks(spark):
     users = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.0, 0.0])], "uid int, features array<double>")
     got = rows(factors.user_top_k(users, items, 3, block_mb=0.0005))
     assert [r[:3] for r in got] == [(1, 1, 0), (1, 2, 1), (1, 3, 2), (2, 1, 399), (2, 2, 398), (2, 3, 397)]
+
+
+def test_routed_predictions_equal_the_join(spark, monkeypatch):
+    from reelrank.functions.scalar import dot
+    _, users = vectors(spark, 3, 60, "uid")
+    _, items = vectors(spark, 4, 40, "mid")
+    pairs = spark.range(4000).selectExpr("cast(if(id % 3 = 0, 5, id % 61) as int) uid", "cast(id % 41 as int) mid") \
+        .union(spark.sql("select null, 3")).union(spark.sql("select 3, null"))
+    want = pairs.join(users.withColumnRenamed("features", "u"), "uid").join(
+        items.withColumnRenamed("features", "i"), "mid").select("uid", "mid", F.round(dot("u", "i"), 9).alias("p"))
+    for size in (2_000_000, 300):
+        monkeypatch.setattr(factors, "PAIRS_A_TASK", size)
+        got = factors.predict(pairs, users, items).select("uid", "mid", F.round("prediction", 9).alias("p"))
+        assert rows(got) == rows(want)
+    assert factors.predict(pairs.limit(0), users, items).count() == 0
+
+
+def test_vectors_sent_dont_follow_the_pairs(spark):
+    _, users = vectors(spark, 3, 60, "uid")
+    _, items = vectors(spark, 4, 40, "mid")
+    u, i = (df.select(c, F.col("features").alias("v")) for df, c in ((users, "uid"), (items, "mid")))
+    sent = []
+    for n in (1000, 8000):
+        pairs = spark.range(n).selectExpr("cast(id % 60 as int) uid", "cast(id % 40 as int) mid")
+        sides, _, _ = factors._routes(pairs, u, i)
+        by_side = {r["side"]: r["count"] for r in sides.groupBy("side").count().collect()}
+        assert by_side[0] == n
+        sent.append(by_side[1] + by_side[2])
+    assert sent[0] == sent[1]
+    # eight times the pairs in tasks of a bounded size: vectors grow by far less
+    factors_grid = [factors._grid(1_000_000, 20_000, n, 50) for n in (10**8, 8 * 10**8)]
+    cost = [1_000_000 * bi + 20_000 * bu for bu, bi in factors_grid]
+    assert cost[1] < 3 * cost[0]

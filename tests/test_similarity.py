@@ -141,3 +141,24 @@ def test_block_pairs_far_apart_are_not_shipped():
 def test_no_vectors_and_one_vector(spark):
     assert similarity.similar_pairs(frame(spark, {1: [0.0, 0.0]}), 0.6).count() == 0
     assert similarity.similar_pairs(frame(spark, {1: [1.0, 0.0]}), 0.6).count() == 0
+
+
+@pytest.mark.parametrize("size", [1, 3, 10_000])
+def test_segments_concatenate_to_the_list(spark, size):
+    vecs = clustered(rows=60, clusters=3)
+    pairs = similarity.similar_pairs(frame(spark, vecs), 0.5).persist()
+    whole = {r["mid"]: [tuple(x) for x in r["recs"]] for r in similarity.movie_recs(pairs).collect()}
+    got = {}
+    for r in similarity.movie_rec_segments(pairs, size).orderBy("mid", "segment").collect():
+        assert r["segment"] == len(got.setdefault(r["mid"], [])) and 0 < len(r["recs"]) <= size
+        got[r["mid"]].append([tuple(x) for x in r["recs"]])
+    assert {m: sum(parts, []) for m, parts in got.items()} == whole
+
+
+def test_a_movie_with_very_many_neighbours_is_many_rows(spark):
+    pairs = spark.range(300_000).selectExpr("7 as mid", "cast(id + 8 as int) as rid", "1 / (1 + id) as r")
+    got = similarity.movie_rec_segments(pairs, 10_000)
+    sizes = got.selectExpr("segment", "size(recs) n", "recs[0].rid first").orderBy("segment").collect()
+    assert sum(r["n"] for r in sizes) == 300_000 and max(r["n"] for r in sizes) <= 10_000
+    assert [r["segment"] for r in sizes] == list(range(len(sizes)))
+    assert [r["first"] for r in sizes] == sorted(r["first"] for r in sizes)

@@ -62,3 +62,29 @@ def test_long_genre_list_and_genre_table(spark):
     table = spark.createDataFrame([(x,) for x in [*names, None]], "genre string")
     assert rows(stats.genre_match(movies, table), "genre", "mid") == [("DRAMA", 1), ("war", 1)]
     assert stats.genre_match(movies, []).count() == 0
+
+
+def test_genre_table_by_index_equals_contains(spark):
+    from pyspark.sql import functions as F
+    movies = spark.createDataFrame([(k, g) for k, g in enumerate(
+        ["Drama|War", "drama", "Sci-Fi|Horror", None, "", "Ho", "aaaa", "Music|Musical", "Drama|War"])], "mid int, genres string")
+    names = spark.createDataFrame([(g,) for g in (
+        "DRAMA", "war", "ho", "h", "Horror", "aa", "aaa", "Musical", "Music", "xyz", "|", "", None, "war", "sci-fi|horror",
+        "dramas", "é")], "genre string")
+    want = movies.join(names, F.lower("genres").contains(F.lower("genre"))).select("genre", "mid")
+    got = stats.genre_match(movies, names).select("genre", "mid")
+    assert rows(got) == rows(want) and got.count() > 20
+    assert stats.genre_match(movies, names.limit(0)).count() == 0
+    assert stats.genre_match(movies.limit(0), names).count() == 0
+
+
+def test_many_names_without_a_nested_loop(spark):
+    from test_plans import plan
+    names = spark.range(100_000).selectExpr("concat('name', id) as genre").union(spark.sql("select 'Drama'"))
+    movies = spark.range(3000).selectExpr("cast(id as int) mid", "concat('Drama|name', id % 50, '|War') genres")
+    got = stats.genre_match(movies, names)
+    p = plan(got, "simple")
+    assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
+    found = {r["mid"]: r["n"] for r in got.groupBy("mid").count().withColumnRenamed("count", "n").collect()}
+    # name7 is in name7 only; name49 also holds name4
+    assert found[7] == 2 and found[49] == 3 and len(found) == 3000
