@@ -129,10 +129,9 @@ def matrix(rows: pa.Table, col: str, dim: int) -> np.ndarray:
     return np.asarray(flat.to_numpy(zero_copy_only=False), dtype=np.float64).reshape(len(rows), dim)
 
 
-def run_pairs(sides: DataFrame, n_pairs: int, kernel: Callable[..., Iterator[pa.RecordBatch]], schema: str,
-              n_sides: int = 2) -> DataFrame:
+def run_pairs(sides: DataFrame, n_pairs: int, kernel: Callable[..., Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``kernel(pair, left, right)`` for every pair of blocks: ``sides`` has a row's ``pair``, from 0
-    to ``n_pairs`` - 1, and its ``side``, 0 or 1 (or more, with ``n_sides``). Each pair has the
+    to ``n_pairs`` - 1, and its ``side``, 0 or 1. Each pair has the
     partition of its own number: none holds two, and adaptive execution doesn't merge them by
     their bytes, which say nothing of a product's work."""
     dealt = sides.repartitionById(n_pairs, F.col("pair"))
@@ -143,6 +142,6 @@ def run_pairs(sides: DataFrame, n_pairs: int, kernel: Callable[..., Iterator[pa.
             rows = pa.Table.from_batches(held)
             side = rows.column("side").to_numpy()
             yield from kernel(int(rows.column("pair")[0].as_py()),
-                              *(rows.filter(pa.array(side == k)) for k in range(n_sides)))
+                              *(rows.filter(pa.array(side == k)) for k in (0, 1)))
 
     return dealt.mapInArrow(per_pair, schema)

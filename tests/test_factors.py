@@ -100,6 +100,7 @@ def test_equal_norms_are_dealt_to_several_blocks(spark):
 
 
 def test_routed_predictions_equal_the_join(spark, monkeypatch):
+    from reelrank.operators import blocks
     from reelrank.functions.scalar import dot
     _, users = vectors(spark, 3, 60, "uid")
     _, items = vectors(spark, 4, 40, "mid")
@@ -107,8 +108,8 @@ def test_routed_predictions_equal_the_join(spark, monkeypatch):
         .union(spark.sql("select null, 3")).union(spark.sql("select 3, null"))
     want = pairs.join(users.withColumnRenamed("features", "u"), "uid").join(
         items.withColumnRenamed("features", "i"), "mid").select("uid", "mid", F.round(dot("u", "i"), 9).alias("p"))
-    for size in (2_000_000, 300):
-        monkeypatch.setattr(factors, "PAIRS_A_TASK", size)
+    for tasks in (1, 50):
+        monkeypatch.setattr(blocks, "target_tasks", lambda spark, n=tasks: n)
         got = factors.predict(pairs, users, items).select("uid", "mid", F.round("prediction", 9).alias("p"))
         assert rows(got) == rows(want)
     assert factors.predict(pairs.limit(0), users, items).count() == 0
@@ -126,7 +127,6 @@ def test_vectors_sent_dont_follow_the_pairs(spark):
         assert by_side[0] == n
         sent.append(by_side[1] + by_side[2])
     assert sent[0] == sent[1]
-    # eight times the pairs in tasks of a bounded size: vectors grow by far less
-    factors_grid = [factors._grid(1_000_000, 20_000, n, 50) for n in (10**8, 8 * 10**8)]
-    cost = [1_000_000 * bi + 20_000 * bu for bu, bi in factors_grid]
-    assert cost[1] < 3 * cost[0]
+    # eight times the tasks: vectors grow by far less
+    cost = [1_000_000 * bi + 20_000 * bu for bu, bi in (factors._grid(1_000_000, 20_000, n, 50) for n in (500, 4000))]
+    assert cost[1] < 4 * cost[0]
