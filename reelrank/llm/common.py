@@ -101,7 +101,7 @@ def row_key(id_col: str, text_col: str):
 CHUNK_ROWS, CHUNK_BYTES = 2048, 4_000_000
 
 
-def _has_file_rows(docs: DataFrame) -> bool:
+def has_file_rows(docs: DataFrame) -> bool:
     try:
         docs.select("_metadata.file_path", "_metadata.row_index").schema  # noqa: B018
     except AnalysisException:
@@ -109,6 +109,12 @@ def _has_file_rows(docs: DataFrame) -> bool:
     return True
 
 
+def file_place(chunk_rows: int) -> tuple[Column, Column]:
+    """The chunk of a row that is read from a file, and its place in the file."""
+    return (F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / chunk_rows)),
+            F.col("_metadata.row_index"))
+
+
 def chunked(docs: DataFrame, id_col: str, text_col: str, by_file: bool, *more: Column,
             chunk_rows: int = CHUNK_ROWS, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, DataFrame]:
     """Rows (__id, __rid, __text, __chunk, __at, *more), and the same rows in an order in
@@ -121,11 +127,10 @@ def chunked(docs: DataFrame, id_col: str, text_col: str, by_file: bool, *more: C
     ``docs`` doesn't come from files.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    by_file = by_file and _has_file_rows(docs)
+    by_file = by_file and has_file_rows(docs)
     rows = docs.select(F.col(id_col).alias("__id"), text.alias("__text"),
                        F.coalesce(row_key(id_col, text_col), F.xxhash64(text)).alias("__rid"), *more,
-                       *([F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / chunk_rows))
-                          .alias("__chunk"), F.col("_metadata.row_index").alias("__at")] if by_file else []))
+                       *([c.alias(n) for c, n in zip(file_place(chunk_rows), ("__chunk", "__at"))] if by_file else []))
     if by_file:
         return rows, rows
     total = rows.agg(F.sum(F.octet_length("__text").cast("long")).alias("n")).first()["n"] or 0

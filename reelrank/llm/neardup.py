@@ -34,7 +34,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm.common import Scratch, chunked, connected_components, cut, kept, read, row_key, ship_package, small_batches
+from reelrank.llm.common import (Scratch, chunked, connected_components, cut, file_place, has_file_rows, kept,
+                                 read, row_key, ship_package, small_batches)
 from reelrank.llm.decontaminate import words_of
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -212,7 +213,7 @@ def _describe(n_docs: int, similarity: float):
         ends = np.cumsum(sizes)
         total = lambda x: np.diff(np.r_[0, np.cumsum(x)][np.r_[0, ends]])
         share = total(np.where(df > 1, w, 0.0)) / np.maximum(total(w), 1e-12)
-        rids = texts["__rid"].tolist()
+        rids, places = texts["__rid"].tolist(), list(zip(texts["__chunk"], texts["__at"], texts["__th"]))
         first: dict[bytes, int] = {}     # of the chunk's copies the one with the smallest id has a sketch
         rows = []
         for i, (rid, key) in enumerate(zip(rids, keys)):
@@ -220,9 +221,9 @@ def _describe(n_docs: int, similarity: float):
                 continue
             if sizes[i] and (key not in first or rid < rids[first[key]]):
                 first[key] = i
-            rows.append((rid, key, i))
+            rows.append((rid, key, *places[i], i))
         chosen = sorted(first.values())
-        out = pd.DataFrame(rows, columns=["rid", "key", "i"])
+        out = pd.DataFrame(rows, columns=["rid", "key", "chunk", "at", "th", "i"])
         pick = np.concatenate([np.arange(ends[i] - sizes[i], ends[i]) for i in chosen]) if chosen \
             else np.zeros(0, np.int64)
         sk = samples_of(h[pick], w[pick], sizes[chosen]) if chosen else np.zeros((0, len(_SEEDS)), np.uint64)
@@ -232,7 +233,7 @@ def _describe(n_docs: int, similarity: float):
         none = (None,) * 5
         made = pd.DataFrame([info.get(i, none) for i in out["i"]],
                             columns=["weight", "bands", "sketch", "hashes", "weights"])
-        return pd.concat([out[["rid", "key"]], made], axis=1)
+        return pd.concat([out[["rid", "key", "chunk", "at", "th"]], made], axis=1)
 
     return per_chunk
 
@@ -243,7 +244,7 @@ def _vector(h: np.ndarray, w: np.ndarray) -> tuple[bytes, bytes]:
     return short.astype("<u4").tobytes(), np.bincount(at, w).astype("<f4").tobytes()
 
 
-_DESCRIBED = ("rid long, key binary, weight double, bands array<long>, sketch binary, "
+_DESCRIBED = ("rid long, key binary, chunk long, at long, th long, weight double, bands array<long>, sketch binary, "
               "hashes binary, weights binary")
 
 
@@ -370,29 +371,32 @@ def _across(texts: DataFrame, keys: list[str], block: int, similarity: float, ex
     return _cells(texts, keys, block).mapInPandas(run, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                    by_file: bool = False, similarity: float = SIMILARITY) -> DataFrame:
-    """One row per input row: the id, ``rid`` (the id, or a hash of the text where it is null) and
-    ``class_id``, the smallest rid among the texts that links connect.
-
-    Texts of the same words are in one class, and so are all null and empty texts; other
-    texts without a word are in the class of their exact copies. Repeated rows get
-    the same class. Other columns are ignored; an empty table gives an empty result.
-    ``by_file``: ``docs`` is read straight from Parquet files, so stretches of a file's
-    rows can serve as chunks, which saves a shuffle; otherwise rows are dealt by hash.
-    """
+def _members(docs: DataFrame, id_col: str, text_col: str, by_file: bool, similarity: float
+             ) -> tuple[DataFrame, DataFrame]:
+    """All rows (__id, __rid, __th, ...), and the rows that may have a partner, written:
+    (rid, th, chunk, at, class_id), ``th`` being the hash of the text."""
     spark = docs.sparkSession
     ship_package(spark)
     scratch = Scratch(spark)
-    rows, asks = chunked(docs, id_col, text_col, by_file, chunk_rows=CHUNK_ROWS, chunk_bytes=CHUNK_BYTES)
+    rows, asks = chunked(docs, id_col, text_col, by_file, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("__th"),
+                         chunk_rows=CHUNK_ROWS, chunk_bytes=CHUNK_BYTES)
     n_docs, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("__text").cast("long")), F.lit(0))).first()
     parts = max(1, -(-size // (6 * PART_SHINGLES)))
     frequencies = document_frequencies(asks.select("__chunk", "__at", "__text"), parts)
-    described = rows.select("__chunk", "__at", "__rid", "__text").groupBy("__chunk").cogroup(
+    described = rows.select("__chunk", "__at", "__rid", "__th", "__text").groupBy("__chunk").cogroup(
         frequencies.withColumnRenamed("chunk", "__chunk").groupBy("__chunk")).applyInPandas(
         _describe(n_docs, similarity), _DESCRIBED)
     with small_batches(spark):
-        described = scratch.cut(described, "neardup_described")
+        described = scratch.cut(described, "neardup_described").withColumn("id", F.col("rid"))
+
+    # an id that is the smallest of several texts gets a name for each of them, under all ids
+    named = scratch.cut(described.groupBy("key").agg(F.min("rid").alias("rid")), "neardup_reps")
+    shared = named.groupBy("rid").agg(F.count("*").alias("n")).filter("n > 1").select("rid")
+    renamed = scratch.cut(named.join(shared, "rid").select("key", "rid", (
+        F.lit(-(1 << 62)) - F.pmod(F.xxhash64("key", "rid"), F.lit(1 << 61))).alias("name")), "neardup_names")
+    if not renamed.isEmpty():
+        described = described.join(renamed, ["key", "rid"], "left") \
+            .withColumn("rid", F.coalesce("name", "rid")).drop("name")
 
     # texts of the same words: the smallest rid stands for them
     reps = scratch.cut(described.groupBy("key").agg(F.min("rid").alias("rep")), "neardup_reps")
@@ -436,29 +440,62 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         more = scratch.cut(_across(whole, ["group"], VECTOR_BLOCK, similarity, exact=True), "neardup_more")
         if not more.isEmpty():
             classes = _classes(links.union(more.select(F.col("u").alias("a"), F.col("v").alias("b"))), scratch)
-    member = described.select("rid", "key").join(reps, "key").select("rid", "rep")
-    member = member.join(classes, "rep", "left")
-    member, _ = cut(member.groupBy("rid").agg(F.min(F.coalesce("class", "rep")).alias("class_id")),
-                    "neardup_members")
+    member = described.select("id", "th", "chunk", "at", "key").join(reps, "key").join(classes, "rep", "left")
+    member, _ = cut(member.select(F.col("id").alias("rid"), "th", "chunk", "at",
+                                  F.coalesce("class", "rep").alias("class_id")), "neardup_members")
     scratch.clear()
-    ids = rows.select(F.col("__id").alias(id_col), F.col("__rid").alias("rid"))
-    return ids.join(member, "rid", "left").select(id_col, "rid", F.coalesce("class_id", "rid").alias("class_id"))
+    return rows, member
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                    by_file: bool = False, similarity: float = SIMILARITY) -> DataFrame:
+    """One row per input row: the id, ``rid`` (the id, or a hash of the text where it is null) and
+    ``class_id``, the smallest rid among the texts that links connect.
+
+    Texts of the same words are in one class, and so are all null and empty texts; other
+    texts without a word are in the class of their exact copies. Repeated rows get
+    the same class; rows of one id with different texts each get that of their text, and
+    where such an id would name several classes, these get negative numbers of their own.
+    Ids are numbers. Other columns are ignored; an empty table gives an empty result.
+    ``by_file``: ``docs`` is read straight from Parquet files, so stretches of a file's
+    rows can serve as chunks, which saves a shuffle; otherwise rows are dealt by hash.
+    """
+    rows, member = _members(docs, id_col, text_col, by_file, similarity)
+    member = member.groupBy("rid", "th").agg(F.min("class_id").alias("class_id"))
+    ids = rows.select(F.col("__id").alias(id_col), F.col("__rid").alias("rid"), F.col("__th").alias("th"))
+    return ids.join(member, ["rid", "th"], "left").select(id_col, "rid", F.coalesce("class_id", "rid").alias("class_id"))
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", by_file: bool = False,
+             similarity: float = SIMILARITY) -> DataFrame:
     """One row of each class, the one with the smallest id; same columns. Of repeated rows
-    one stays. Rows of large classes go by an anti join, so texts are only shuffled
-    where the dropped ids are too many to broadcast."""
-    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    got, _ = cut(near_duplicates(docs, **options).groupBy("rid", "class_id").agg(F.count("*").alias("n")),
-                 "neardup_kept")
+    one stays; of rows of one id with different texts those stay that are no near duplicates.
+
+    With ``by_file`` the dropped rows are named by file and row, 64 rows to a number, so that
+    table is small (16 bytes for 64 rows that hold a dropped one): Spark broadcasts it by its size,
+    and shuffles the texts once where it is too large for that."""
+    by_file = by_file and has_file_rows(docs)
+    _, member = _members(docs, id_col, text_col, by_file, similarity)
+    if by_file:
+        place = F.struct("rid", "chunk", "at")
+        best = member.groupBy("class_id").agg(F.min(place).alias("best"))
+        bit = F.expr("shiftleft(1L, cast(at % 64 as int))")
+        dropped, _ = cut(member.join(best, "class_id").filter(place != F.col("best"))
+                         .groupBy(F.col("chunk").alias("__chunk"), F.floor(F.col("at") / 64).alias("__word"))
+                         .agg(F.bit_or(bit).alias("__bits")), "neardup_dropped")
+        chunk, at = file_place(CHUNK_ROWS)
+        rows = docs.select("*", chunk.alias("__chunk"), at.alias("__at")).withColumn("__word", F.floor(F.col("__at") / 64))
+        return rows.join(dropped, ["__chunk", "__word"], "left").filter(
+            "__bits is null or getbit(__bits, cast(__at % 64 as int)) = 0").select(*docs.columns)
     rid = F.coalesce(row_key(id_col, text_col), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    keyed = docs.withColumn("__rid", rid)
-    side = lambda df: df.select(F.col("rid").alias("__rid")).distinct()
-    single = keyed.join(side(got.filter("rid <> class_id or n > 1")), "__rid", "left_anti")
-    several = keyed.join(side(got.filter("rid = class_id and n > 1")), "__rid", "left_semi") \
-        .dropDuplicates(["__rid"])
-    return single.unionByName(several).drop("__rid").select(*docs.columns)
+    keyed = docs.withColumn("__rid", rid).withColumn("__th", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    got = member.groupBy("class_id", "rid", "th").agg(F.count("*").alias("n"))
+    best = got.groupBy("class_id").agg(F.min(F.struct("rid", "th")).alias("best"))
+    got, _ = cut(got.join(best, "class_id").select(F.col("rid").alias("__rid"), F.col("th").alias("__th"), "n",
+                                                   (F.struct("rid", "th") == F.col("best")).alias("first")), "neardup_kept")
+    single = keyed.join(got.filter("not first or n > 1"), ["__rid", "__th"], "left_anti")
+    several = keyed.join(got.filter("first and n > 1"), ["__rid", "__th"], "left_semi").dropDuplicates(["__rid", "__th"])
+    return single.unionByName(several).select(*docs.columns)
 
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

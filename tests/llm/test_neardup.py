@@ -120,6 +120,25 @@ def test_odd_rows_and_keep_one(spark):
     assert nd.near_duplicates(df.limit(0)).count() == 0 and nd.keep_one(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("by_file", [False, True])
+def test_one_id_with_different_texts(spark, tmp_dir, by_file):
+    words = " ".join(f"w{k}" for k in range(40))
+    rows = [(1, "alpha beta gamma delta epsilon zeta"), (1, "something completely other than that, really"),
+            (1, "alpha beta gamma delta epsilon zeta"), (2, words), (2, words + " end"), (2, "third text of two, with words"),
+            (3, "something completely other than that, really"), (4, "third text of two, with words"), (5, None), (5, ""),
+            (6, "no partner at all for this one here")]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(2).write.parquet(tmp_dir + "/d")
+    df = spark.read.parquet(tmp_dir + "/d")
+    got = Counter((r["doc_id"], r["text"]) for r in nd.keep_one(df, by_file=by_file).collect())
+    kept = sorted((i, (t or "")[:12]) for i, t in got.elements())
+    assert len(kept) == 6 and Counter(t for _, t in kept) == Counter(
+        ["alpha beta g", "something co", words[:12], "third text o", "", "no partner a"])
+    classes = {}
+    for r in nd.near_duplicates(df, by_file=by_file).collect():
+        classes.setdefault(r["class_id"], []).append(r["doc_id"])
+    assert sorted(map(sorted, classes.values())) == [[1, 1], [1, 3], [2, 2], [2, 4], [5, 5], [6]]
+
+
 def test_samples_agree_as_often_as_weights_do():
     rnd = np.random.default_rng(3)
     h = rnd.integers(0, 2 ** 63, 600, dtype=np.uint64)
