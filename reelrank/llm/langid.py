@@ -15,6 +15,7 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ MIN_MARGIN = 0.004     # (second - best) / second under this rejects
 PARTS = 24             # tails of a text that settle a narrow margin
 UNDETERMINED = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 
 

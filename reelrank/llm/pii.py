@@ -45,7 +45,7 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: type -> pattern of a whole mention; earlier ones win.
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}",
-    "secret": _LABEL + r"[A-Za-z0-9+/_.~-]{6,512}+",
+    "secret": _LABEL + r"[A-Za-z0-9+/_.~-]{6,}+",
     "access": r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])",
     "ip": rf"(?<!\d\.)(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)",
     "phone": r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)|\+\d{11,13}(?!\d)",
@@ -83,10 +83,11 @@ def entities_of(mention: Column, kind: Column) -> Column:
         .when(title.rlike(f"^({TITLES['f']})$"), "f").otherwise("n")
     names = F.split(F.regexp_replace(mention, r"^[\p{L}-]+\.? +", ""), " +")
     script = F.when(mention.rlike(r"\p{IsCyrillic} *$"), "cyrillic").otherwise("latin")
-    family = F.when(script == "latin", F.lit("surname:latin")).otherwise(
-        F.concat(F.lit("surname:cyrillic_"), F.when(gender == "f", "f").otherwise("m")))
+    # a Cyrillic surname tells its own form, whatever the title
+    family = lambda x: F.when(script == "latin", F.lit("surname:latin")).otherwise(
+        F.concat(F.lit("surname:cyrillic_"), F.when(x.rlike("[ая]$"), "f").otherwise("m")))
     people = F.transform(names, lambda x, i: F.struct(
-        F.when(i == F.size(names) - 1, family)
+        F.when(i == F.size(names) - 1, family(x))
         .otherwise(F.concat(F.lit("given:"), script, F.lit("_"), gender)).alias("kind"),
         x.alias("value")))
     return F.when(kind == "person", people) \
@@ -213,6 +214,14 @@ def mention_surrogates(mentions: DataFrame, key: str, scratch: Scratch) -> DataF
         "mention", "mkind", F.posexplode(entities_of(F.col("mention"), F.col("mkind"))).alias("pos", "e"))
     m = scratch.cut(m.select("mention", "mkind", "pos", F.col("e.kind").alias("kind"),
                         F.col("e.value").alias("value")), "pii_mentions")
+    # a given name is one entity under all titles: the gender that most mentions tell, if any
+    base = F.regexp_extract("kind", "^(given:[a-z]+)_", 1).alias("base")
+    tells = lambda g: F.count_if(F.col("kind").endswith(f"_{g}"))
+    genders = m.filter("kind like 'given:%'").groupBy(base, "value").agg(tells("m").alias("m"), tells("f").alias("f")).select(
+        "base", "value", F.when(F.col("f") > F.col("m"), "f").when(F.col("m") > 0, "m").otherwise("n").alias("gender"))
+    m = scratch.cut(m.withColumn("base", base).join(genders, ["base", "value"], "left").withColumn(
+        "kind", F.when(F.col("gender").isNotNull(), F.concat("base", F.lit("_"), "gender")).otherwise(F.col("kind")))
+        .drop("base", "gender"), "pii_gendered")
     entities = scratch.cut(m.select("kind", "value").distinct(), "pii_entities")
     drawn = scratch.cut(surrogates(entities, key, scratch), "pii_surrogates")
     parts = m.join(drawn, ["kind", "value"]).groupBy("mention", "mkind").agg(

@@ -62,3 +62,11 @@ def test_every_language_has_a_dictionary(spark):
     rows = [(f"{chr(0x4e00 + k)} common text of language", f"l{k:03}") for k in range(90)]
     model = langid.fit(spark.createDataFrame(rows, "text string, lang string"))
     assert sorted(model) == [lang for _, lang in rows]
+
+
+def test_signs_that_are_no_letters_tell_nothing(spark):
+    train = spark.createDataFrame([("the cat and the dog sit here", "en"), ("der Hund und die Katze sind da", "de")],
+                                  "text string, lang string")
+    df = spark.createDataFrame([(1, "½ ② ² Ⅷ"), (2, "123 _"), (3, "ª"), (4, None)], "doc_id long, text string")
+    got = {r["doc_id"]: r["lang_id"]["lang"] for r in langid.identify(df, langid.fit(train)).collect()}
+    assert got[1] == got[2] == got[4] == "und" and got[3] in ("en", "de", "und")

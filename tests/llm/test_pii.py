@@ -82,6 +82,28 @@ def test_coreference_gender_script_and_formats(spark):
     assert run(spark, [(1, text)])[0][1] == out and run(spark, [(1, text)], "other")[0][1] != out
 
 
+def test_one_person_under_several_titles(spark):
+    out = {i: t for i, t, _ in run(spark, [
+        (1, "Dr Anna Weber came. Frau Anna Weber left."), (2, "д-р Анна Иванова и г-жа Анна Иванова"),
+        (3, "Prof Kim Holm, Prof Kim Holm"), (4, "Herr Otto Braun; Dr Otto Braun")])}
+    a, b = re.fullmatch(r"Dr (\S+ \S+) came\. Frau (\S+ \S+) left\.", out[1]).groups()
+    assert a == b != "Anna Weber" and a.split()[0] in pii.GIVEN["latin_f"].split()
+    a, b = re.fullmatch(r"д-р (\S+ \S+) и г-жа (\S+ \S+)", out[2]).groups()
+    assert a == b and a.split()[0] in pii.GIVEN["cyrillic_f"].split() and a.split()[1] in pii.SURNAMES["cyrillic_f"].split()
+    a, b = re.fullmatch(r"Prof (\S+ \S+), Prof (\S+ \S+)", out[3]).groups()
+    assert a == b and a.split()[0] in pii.GIVEN["latin_n"].split()
+    a, b = re.fullmatch(r"Herr (\S+ \S+); Dr (\S+ \S+)", out[4]).groups()
+    assert a == b and a.split()[0] in pii.GIVEN["latin_m"].split()
+
+
+def test_long_secrets_go_whole(spark):
+    secret = "Ab1" * 400
+    [(_, out, n)] = run(spark, [(1, f"password={secret} end")])
+    assert n == 1 and out.endswith(" end") and len(out) == len(secret) + 13
+    new = out[9:-4]
+    assert not any(secret[k:k + 24] == new[k:k + 24] for k in range(0, 1200, 24))
+
+
 def test_collisions_are_drawn_again(spark):
     names = [f"Aa{chr(97 + i)}{chr(97 + j)}" for i in range(20) for j in range(20)]
     out = run(spark, [(i, f"Mr {n} is here") for i, n in enumerate(names)])
