@@ -136,3 +136,14 @@ def test_realtime_and_log_filter_jobs(spark, tmp_dir):
         lq.stop()
     assert spark.read.parquet(tmp_dir + "/filtered").count() == \
         3 * views.log_lines(spark, SF_SMALL).count() // 5
+
+
+def test_concurrent_grid_equals_the_serial_one(spark):
+    ratings, before = views.ratings(spark, SF_SMALL), set(als._factor_tables(spark))
+    run = lambda n: [tuple(r) for r in als.grid_search(
+        spark, ratings, [4, 6], [0.01, 0.1, 1.0], max_iter=3, at_once=n).collect()]
+    serial, together = run(1), run(4)
+    assert [r[:3] for r in serial] == [r[:3] for r in together] == [
+        (k, rank, reg) for k, (rank, reg) in enumerate((a, b) for a in (4, 6) for b in (0.01, 0.1, 1.0))]
+    assert [r[3] for r in together] == pytest.approx([r[3] for r in serial], rel=1e-6)
+    assert set(als._factor_tables(spark)) <= before          # nothing is left in executor storage
