@@ -524,23 +524,39 @@ def stored_recent_lists(spark, sf_dir):
     return state.stored_lists(spark, ckpt).select("uid", "pos", "mid", "score", "timestamp")
 
 
-@query
-def stream_realtime_recs(spark, sf_dir):
-    """The real-time job end to end: replayed rating stream, recent lists and rated movies as
-    keyed state, scoring per micro-batch, replace-by-key StreamRecs table."""
+RATING_BUCKETS = 32  # uid buckets of the stored Rating table that the stream looks up
+
+
+def _realtime(spark, sf_dir, keep_rated: bool):
     sim_path = tables.write_bucketed_by_key(_features_sim(spark, sf_dir, ONLINE_THRESHOLD),
                                             fresh_path(spark, "MovieRecs"), "mid", SIM_BUCKETS)
-    rated_path = tables.overwrite_table(views.ratings(spark, sf_dir).select("uid", "mid"), fresh_path(spark, "Rating"))
+    rated = views.ratings(spark, sf_dir)
+    rated_path = tables.overwrite_table(rated.select("uid", "mid"), fresh_path(spark, "Rating")) if keep_rated else \
+        tables.write_bucketed_by_key(rated, fresh_path(spark, "Rating"), "uid", RATING_BUCKETS)
     src = _replay(spark, views.stream_messages(spark, sf_dir), "rt_in", "epoch")
     out_base = fresh_path(spark, "StreamRecs")
     jobs.start_realtime(spark, src, sim_path, rated_path, out_base,
-                        fresh_path(spark, "rt_ckpt"), 20, 20, ONLINE_THRESHOLD, compact_every=2, keep_rated=True)
+                        fresh_path(spark, "rt_ckpt"), 20, 20, ONLINE_THRESHOLD, compact_every=2,
+                        keep_rated=keep_rated)
     recs = tables.read_replace_table(spark, out_base, "uid")
     flat = recs.select("uid", F.explode_outer("recs").alias("rec"))
     return flat.select("uid", F.col("rec.rid").alias("mid"),
                        F.round(F.col("rec.r"), 6).alias("score"))
 
 
+@query
+def stream_realtime_recs(spark, sf_dir):
+    """The real-time job end to end: replayed rating stream, recent-rating
+    state, scoring per micro-batch, replace-by-key StreamRecs table."""
+    return _realtime(spark, sf_dir, keep_rated=False)
+
+
+@query
+def stream_realtime_state(spark, sf_dir):
+    """The same job with the users' rated movies as keyed state, seeded once."""
+    return _realtime(spark, sf_dir, keep_rated=True)
+
+
 @query
 def upsert_stream_recs(spark, sf_dir):
     """Replace-by-key over ordered batches, with compaction: per-user rows by month,

@@ -392,6 +392,7 @@ SQL["stream_realtime_recs"] = with_views(
     """SELECT t.uid, s.mid, round(s.score, 6) AS score
        FROM v_triggers t LEFT JOIN v_scores s ON s.uid = t.uid""",
     "v_scores")
+SQL["stream_realtime_state"] = SQL["stream_realtime_recs"]
 
 SQL["upsert_stream_recs"] = with_views(
     """SELECT uid, arg_max(month, month) AS month, arg_max(n, month) AS n,
