@@ -5,6 +5,7 @@ spaces) and split into sentences. Sentences that are known licence sentences
 become one-letter identifiers, all others a dash, so a document is a string of
 letters, and a licence rule is a run of letters in that string. Rules are
 ordered: full texts before references, so the first match names the licence.
+Licence expressions that a text declares by an SPDX tag are listed beside the rules.
 """
 
 from __future__ import annotations
@@ -34,12 +35,28 @@ SENTENCES = {
     "p": "you may obtain a copy of the license at",
     "q": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
     "r": "all rights reserved",
+    "A": "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "B": "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following",
+    "D": "distributed under the boost software license version 1.0",
+    "E": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
+    "G": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
+    "H": "either version 2 of the license or at your option any later version",
+    "I": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "J": "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "K": "you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation",
+    "L": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation",
+    "M": "this source code form is subject to the terms of the mozilla public license v",
+    "N": "either version 2.1 of the license or at your option any later version",
+    "P": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
 }
 
 #: Ordered rules: (licence, run of sentence identifiers).
 RULES = (
     ("BSD-3-Clause", "klmn"), ("BSD-2-Clause", "klm"), ("MIT", "hij"), ("Apache-2.0", "cop"),
-    ("Apache-2.0", "co"), ("GPL-3.0-or-later", "q"), ("MIT-permission", "h"),
+    ("Apache-2.0", "co"), ("GPL-3.0-or-later", "q"), ("AGPL-3.0-or-later", "A"),
+    ("LGPL-3.0-or-later", "P"), ("LGPL-2.1-or-later", "LN"), ("GPL-2.0-or-later", "GH"),
+    ("GPL-2.0-only", "K"), ("MPL-2.0", "M"), ("ISC", "I"), ("ISC", "J"), ("0BSD", "E"),
+    ("BSL-1.0", "B"), ("BSL-1.0", "D"), ("MIT-permission", "h"),
     ("GPL-3.0", "d"), ("Apache-2.0", "c"), ("CC-BY-NC-4.0", "e"), ("CC-BY-SA-4.0", "g"),
     ("CC-BY-4.0", "f"), ("MIT", "a"), ("MIT", "b"), ("BSD-conditions", "k"),
     ("All-rights-reserved", "r"),
@@ -62,6 +79,16 @@ _BULLET = r"^(?:\d{1,2}|[a-z]|[ivx]+)$"      # a normalised sentence that only n
 _SIGNS = r"[^a-z0-9.\x{80}-\x{10FFFF}]+"   # neither letter, digit nor dot
 
 
+_TAG = "SPDX-License-Identifier:"
+_EXPRESSION = _TAG + r"[ \t]*([A-Za-z0-9.+() \t-]*[A-Za-z0-9.+)])"   # to the last sign of an expression in the line
+
+
+def declared(text: Column) -> Column:
+    """The distinct licence expressions after SPDX tags, sorted and comma-joined; empty without any."""
+    found = F.regexp_extract_all(text, F.lit(_EXPRESSION), F.lit(1))
+    return F.when(text.contains(_TAG), F.array_join(F.array_sort(F.array_distinct(found)), ",")).otherwise("")
+
+
 def sentences(text: Column) -> Column:
     return F.split(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), _END)
 
@@ -96,12 +123,13 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
          rules=RULES) -> DataFrame:
     """Per row: id, ``n_sentences``, ``n_known`` (licence sentences), ``sequence`` (the known
     ones' identifiers with one dash for each run of others), ``licence`` (the first
-    rule's that matches) and ``licences`` (all, comma-joined in rule order, each once).
+    rule's that matches), ``licences`` (all, comma-joined in rule order, each once) and
+    ``declared`` (expressions of SPDX tags as written, which no rule judges).
 
     A rule matches a run of consecutive sentences, of the text as its lines stand (which is
     what the counts and the sequence tell) or with its lines joined, which finds wrapped
     licences. Null and empty texts have no
-    sentences, an empty sequence, null ``licence`` and empty ``licences``. Whole
+    sentences, an empty sequence, null ``licence``, empty ``licences`` and ``declared``. Whole
     texts are read; every row stands alone, so repeats, other columns and empty
     tables need no care, and nothing is shuffled.
     """
@@ -116,13 +144,14 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     found = F.array_distinct(F.filter(F.array(*[
         F.when(matches(run), F.lit(name)) for name, run in rules]), F.isnotnull))
     return docs.select(F.col(id_col), letters.alias("__letters"),
-                       joined_letters(F.col(text_col)).alias("__joined")).select(
+                       joined_letters(F.col(text_col)).alias("__joined"),
+                       declared(F.col(text_col)).alias("__declared")).select(
         id_col, F.length(seq).cast("long").alias("n_sentences"),
         F.length(F.translate(seq, "-", "")).cast("long").alias("n_known"),
-        F.regexp_replace(seq, "-+", "-").alias("sequence"), found.alias("__found")).select(
+        F.regexp_replace(seq, "-+", "-").alias("sequence"), found.alias("__found"), "__declared").select(
         id_col, "n_sentences", "n_known", "sequence",
         F.get("__found", F.lit(0)).alias("licence"),
-        F.array_join("__found", ",").alias("licences"))
+        F.array_join("__found", ",").alias("licences"), F.col("__declared").alias("declared"))
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,7 +163,7 @@ def _sql() -> str:
     rules = ", ".join(f"({i}, '{n}', '{r}')" for i, (n, r) in enumerate(RULES))
     return rf"""
 WITH known(letter, sentence) AS (VALUES {known}), rules(k, licence, run) AS (VALUES {rules}),
-d AS (SELECT row_number() OVER () AS r, doc_id,
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
              translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents),
 s AS (SELECT r, unnest(x) AS s, generate_subscripts(x, 1) AS i
       FROM (SELECT r, regexp_split_to_array(t, '[.!?:;]+(?:[\s"'')\]]+|$)|\n+') AS x FROM d)),
@@ -145,7 +174,8 @@ m AS (SELECT r, licence, min(k) AS k FROM l, rules WHERE contains(q, run) GROUP
 n AS (SELECT r, min_by(licence, k) AS licence, string_agg(licence, ',' ORDER BY k) AS licences FROM m GROUP BY r)
 SELECT d.doc_id, CAST(length(q) AS BIGINT) AS n_sentences,
        CAST(length(replace(q, '-', '')) AS BIGINT) AS n_known,
-       regexp_replace(q, '-+', '-', 'g') AS sequence, licence, coalesce(licences, '') AS licences
+       regexp_replace(q, '-+', '-', 'g') AS sequence, licence, coalesce(licences, '') AS licences,
+       array_to_string(list_sort(list_distinct(regexp_extract_all(text, '{_EXPRESSION}', 1))), ',') AS declared
 FROM d JOIN l ON d.r = l.r LEFT JOIN n ON d.r = n.r
 """
 
