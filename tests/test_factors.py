@@ -130,3 +130,42 @@ def test_vectors_sent_dont_follow_the_pairs(spark):
     # eight times the tasks: vectors grow by far less
     cost = [1_000_000 * bi + 20_000 * bu for bu, bi in (factors._grid(1_000_000, 20_000, n, 50) for n in (500, 4000))]
     assert cost[1] < 4 * cost[0]
+
+
+def test_top_k_sends_vectors_by_a_balanced_grid():
+    """900,000 users x 1,200,000 items: before, a block of items went to each of 200 blocks of users
+    (241 M vectors); now both sides are cut. Few items aren't cut."""
+    bu, bi = factors._top_grid(900_000, 1_200_000, 200, 50, 64.0)
+    assert bu * bi >= 200 and 900_000 * bi + 1_200_000 * bu < 40_000_000
+    assert factors._top_grid(15_000, 2_000, 200, 50, 64.0)[1] == 1
+
+
+@pytest.mark.parametrize("kind", ["array<float>", "array<double>"])
+def test_single_precision_loses_no_candidate(spark, kind):
+    """Scores that differ by less than single precision tells, and vectors beyond its range."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=8)
+    u = np.stack([base, -base, base * 1e-3])
+    i = np.stack([base * (1 + x * 1e-12) for x in rng.permutation(2000)]) if kind == "array<double>" else \
+        np.repeat(base[None], 2000, axis=0).astype(np.float32).astype(float) + np.eye(2000, 8)
+    for size in (1.0, 1e25):
+        users = spark.createDataFrame([(k, (x * size).tolist()) for k, x in enumerate(u)], "uid int, features array<double>")
+        items = spark.createDataFrame([(k, (x * (size if kind == "array<double>" else 1)).tolist()) for k, x in enumerate(i)],
+                                      f"mid int, features {kind}")
+        got = {}
+        for r in factors.user_top_k(users, items, 10).collect():
+            got.setdefault(r["uid"], []).append(r["mid"])
+        exact = u @ i.T
+        for uid in range(3):
+            want = [int(m) for m in np.lexsort((np.arange(2000), -exact[uid])) if exact[uid][m] > 0][:10]
+            assert len(got.get(uid, [])) == len(want)
+            assert np.allclose(exact[uid][got.get(uid, [])], exact[uid][want], rtol=1e-15, atol=0)
+
+
+def test_predict_brings_a_label_along(spark):
+    users = spark.createDataFrame([(1, [1.0, 2.0])], "uid int, features array<float>")
+    items = spark.createDataFrame([(10, [3.0, 4.0])], "mid int, features array<float>")
+    pairs = spark.createDataFrame([(1, 10, 5.0), (1, 10, None), (2, 10, 1.0)], "uid int, mid int, score double")
+    got = factors.predict(pairs, users, items, label="score")
+    assert got.columns == ["uid", "mid", "score", "prediction"]
+    assert sorted(map(tuple, got.collect()), key=str) == [(1, 10, 5.0, 11.0), (1, 10, None, 11.0)]

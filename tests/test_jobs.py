@@ -147,3 +147,16 @@ def test_concurrent_grid_equals_the_serial_one(spark):
         (k, rank, reg) for k, (rank, reg) in enumerate((a, b) for a in (4, 6) for b in (0.01, 0.1, 1.0))]
     assert [r[3] for r in together] == pytest.approx([r[3] for r in serial], rel=1e-6)
     assert set(als._factor_tables(spark)) <= before          # nothing is left in executor storage
+
+
+def test_training_error_sends_no_vectors_with_the_ratings(spark):
+    """The error by blocks equals Spark ML's own predictions, repeats, unknown and null ids included;
+    iterations drop their shuffle files."""
+    from reelrank.operators import als, factors
+    ratings = spark.range(600).selectExpr("cast(id % 20 as int) uid", "cast(id * 7 % 13 as int) mid",
+                                          "cast(id % 5 as double) score")
+    model = als.train(ratings, rank=4)
+    asked = ratings.union(ratings.limit(30)).union(spark.sql("select 999, 1, 2d")).union(spark.sql("select null, 1, 2d"))
+    own = factors.rmse(als.predict_pairs(model, asked.filter("uid is not null"))).first()["rmse"]
+    assert abs(als.training_rmse(model, asked) - own) < 1e-6
+    assert als.als_estimator().getCheckpointInterval() == 1
