@@ -162,3 +162,13 @@ def test_a_movie_with_very_many_neighbours_is_many_rows(spark):
     assert sum(r["n"] for r in sizes) == 300_000 and max(r["n"] for r in sizes) <= 10_000
     assert [r["segment"] for r in sizes] == list(range(len(sizes)))
     assert [r["first"] for r in sizes] == sorted(r["first"] for r in sizes)
+
+
+def test_nested_lists_travel_as_one_value_a_neighbour(spark):
+    pairs = spark.createDataFrame([(1, 5, 0.7), (1, 4, 0.7), (1, 6, 0.95), (2, 1, 0.61)], "mid int, rid int, r double")
+    got = similarity.movie_recs(pairs)
+    assert {r["mid"]: [tuple(x) for x in r["recs"]] for r in got.collect()} == {
+        1: [(6, 0.95), (4, 0.7), (5, 0.7)], 2: [(1, 0.61)]}
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    gathered = text[text.index("collect_list("):].split(", 0, 0)")[0]
+    assert gathered.count("r#") == 1           # the similarity goes into the lists once, not as key and value
