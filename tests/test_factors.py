@@ -61,6 +61,20 @@ def test_rmse_dup(spark):
     assert got == pytest.approx(np.sqrt(np.mean(errs)))
 
 
+def test_rmse_pairwise_sorts_nothing_for_a_join(spark):
+    schema = "uid int, mid int, {} double"
+    actual = spark.createDataFrame([(1, 10, 4.0), (1, 10, None), (None, 10, 9.0), (2, None, 9.0), (3, 11, 9.0)],
+                                   schema.format("score"))
+    pred = spark.createDataFrame([(1, 10, 3.0), (None, 10, 1.0), (2, None, 1.0), (4, 11, 1.0)], schema.format("prediction"))
+    got = factors.rmse_pairwise(actual, pred)
+    a, p = (df.groupBy("uid", "mid").agg(*aggs) for df, aggs in (
+        (actual, (F.count("*").alias("n"), F.sum("score").alias("sr"), F.sum(F.col("score") ** 2).alias("srr"))),
+        (pred, (F.count("*").alias("m"), F.sum("prediction").alias("sp"), F.sum(F.col("prediction") ** 2).alias("spp")))))
+    sums = a.join(p, ["uid", "mid"]).selectExpr("sqrt(sum(m * srr - 2 * sr * sp + n * spp) / sum(n * m))").first()[0]
+    assert got.first()["rmse"] == pytest.approx(sums)
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def vectors(spark, seed, n, name, skewed=False, dim=16):
     rng = np.random.default_rng(seed)
     v = rng.normal(size=(n, dim))
