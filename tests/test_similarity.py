@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from reelrank.operators import similarity
 
@@ -172,3 +173,28 @@ def test_nested_lists_travel_as_one_value_a_neighbour(spark):
     text = got._jdf.queryExecution().optimizedPlan().toString()
     gathered = text[text.index("collect_list("):].split(", 0, 0)")[0]
     assert gathered.count("r#") == 1           # the similarity goes into the lists once, not as key and value
+
+
+@pytest.mark.parametrize("block_mb", [64.0, 0.002])
+def test_pairs_of_the_movies_that_are_asked_for(spark, block_mb):
+    """Only pairs of asked movies are made, and they equal those of the whole product."""
+    rng = np.random.default_rng(5)
+    f = frame(spark, {k: v.tolist() for k, v in enumerate(rng.normal(size=(300, 8)))})
+    of = spark.createDataFrame([(3,), (3,), (77,), (999,), (None,)], "mid int")
+    whole = [r for r in rows(similarity.similar_pairs(f, 0.5)) if r[0] in (3, 77)]
+    got = rows(similarity.similar_pairs(f, 0.5, block_mb=block_mb, of=of))
+    assert [(a, b, round(c, 12)) for a, b, c in got] == [(a, b, round(c, 12)) for a, b, c in whole] and whole
+    work = lambda of: similarity._products(f, -0.99, "mid", "features", block_mb, of)[0].agg(F.sum("work")).first()[0]
+    assert work(of) <= 2 * 300 < 300 * 299 / 2 <= work(None)
+
+
+def test_cosine_of_pairs_sends_a_vector_per_block_not_per_pair(spark):
+    f = spark.createDataFrame([(1, [3.0, 4.0]), (2, [4.0, 3.0]), (2, [0.0, 2.0]), (3, [0.0, 0.0]), (4, None)],
+                              "mid int, features array<float>")
+    pairs = spark.createDataFrame([(1, 2, 0.5), (1, 2, 0.5), (2, 1, 0.1), (1, 3, 0.2), (4, 1, 0.3), (1, 9, 0.4), (None, 1, 0.4)],
+                                  "mid int, rid int, r double")
+    got = similarity.cosine_of_pairs(pairs, f, value="r")
+    want = [(1, 2, 0.5, 0.96), (1, 2, 0.5, 0.8)] * 2 + [(2, 1, 0.1, 0.96), (2, 1, 0.1, 0.8), (1, 3, 0.2, None), (4, 1, 0.3, None)]
+    key = lambda r: tuple(-1 if x is None else round(x, 9) for x in r)
+    assert sorted(map(key, got.collect())) == sorted(map(key, want))
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
