@@ -198,3 +198,11 @@ def test_cosine_of_pairs_sends_a_vector_per_block_not_per_pair(spark):
     key = lambda r: tuple(-1 if x is None else round(x, 9) for x in r)
     assert sorted(map(key, got.collect())) == sorted(map(key, want))
     assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cosine_of_pairs_takes_vectors_without_null_elements(spark):
+    """As the factors of a model are."""
+    f = spark.range(1, 3).selectExpr("cast(id as int) mid", "array(cast(id as float), cast(1 as float)) features")
+    assert not f.schema["features"].dataType.containsNull
+    pairs = spark.createDataFrame([(1, 2)], "mid int, rid int")
+    assert rows(similarity.cosine_of_pairs(pairs, f)) == [(1, 2, pytest.approx(3 / 10 ** 0.5))]
