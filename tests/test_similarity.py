@@ -206,3 +206,27 @@ def test_cosine_of_pairs_takes_vectors_without_null_elements(spark):
     assert not f.schema["features"].dataType.containsNull
     pairs = spark.createDataFrame([(1, 2)], "mid int, rid int")
     assert rows(similarity.cosine_of_pairs(pairs, f)) == [(1, 2, pytest.approx(3 / 10 ** 0.5))]
+
+
+def test_links_are_counted_where_pairs_are_made(spark):
+    """One row per movie, copies share a class, and the pairs are summed up before a shuffle."""
+    rng = np.random.default_rng(2)
+    vecs = {i: rng.normal(size=4).round(3).tolist() for i in range(40)} | {50: [0, 0, 0, 0], 51: [0, 0, 0, 0]}
+    vecs[41] = vecs[7]
+    f = frame(spark, vecs)
+    pairs = similarity.similar_pairs(f, 0.6)
+    got = similarity.pair_links(f, pairs)
+    want = brute_force_pairs({k: np.float32(v) for k, v in vecs.items()}, 0.6)
+    owner = {41: 7, 51: 50}
+    assert rows(got) == sorted((k, owner.get(k, k), sum(a == k for a, _, _ in want)) for k in vecs)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    made = plan[:plan.index("MapInArrow")].rsplit("Exchange", 1)[1]
+    assert "partial_count" in made
+
+
+def test_movie_query_returns_a_row_per_movie(spark):
+    from conftest import SF_SMALL
+    from reelrank.plans import catalog
+    got = catalog.QUERIES["als_movie_recs"](spark, SF_SMALL).collect()
+    assert len({r["mid"] for r in got}) == len(got) == catalog.QUERIES["als_item_factors"](spark, SF_SMALL).count()
+    assert any(r["n_links"] for r in got)
