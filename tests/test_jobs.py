@@ -160,3 +160,42 @@ def test_training_error_sends_no_vectors_with_the_ratings(spark):
     own = factors.rmse(als.predict_pairs(model, asked.filter("uid is not null"))).first()["rmse"]
     assert abs(als.training_rmse(model, asked) - own) < 1e-6
     assert als.als_estimator().getCheckpointInterval() == 1
+
+
+def test_training_leaves_no_shuffle_files(spark):
+    """What a fit has shuffled is gone when it is done, and its factors can still be read; a table
+    that is stored itself keeps its files."""
+    from reelrank.operators import als
+
+    sc = spark.sparkContext
+    tracker = sc._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    rows = [(u, m, float((u * m) % 5 + 1)) for u in range(30) for m in range(u % 3, 20, 3)]
+    ratings = spark.createDataFrame(rows, "uid int, mid int, score double").repartition(3).checkpoint()
+    held = lambda: tracker.shuffleStatuses().size()
+    before = held()
+    model = als.train(ratings, rank=3, max_iter=2)
+    assert held() <= before
+    assert model.userFactors.count() == 30 and model.itemFactors.count() == 20
+    assert model.recommendForAllUsers(2).count() == 30
+
+
+def test_large_fits_of_a_grid_are_made_one_by_one(spark, monkeypatch):
+    from reelrank.operators import als
+
+    under_way, most, train = [], [], als.train
+
+    def counted(*args, **kw):
+        under_way.append(1)
+        most.append(len(under_way))
+        model = train(*args, **kw)
+        under_way.pop()
+        return model
+
+    monkeypatch.setattr(als, "train", counted)
+    rows = [(u, m, float((u * m) % 5 + 1)) for u in range(20) for m in range(u % 3, 20, 3)]
+    ratings = spark.createDataFrame(rows, "uid int, mid int, score double")
+    few = als.grid_search(spark, ratings, [2], [0.1, 1.0, 10.0], max_iter=1).collect()
+    monkeypatch.setattr(als, "GRID_RATINGS", len(rows))
+    most.clear()
+    assert als.grid_search(spark, ratings, [2], [0.1, 1.0, 10.0], max_iter=1).collect() == few
+    assert max(most) == 1
