@@ -183,3 +183,28 @@ def test_predict_brings_a_label_along(spark):
     got = factors.predict(pairs, users, items, label="score")
     assert got.columns == ["uid", "mid", "score", "prediction"]
     assert sorted(map(tuple, got.collect()), key=str) == [(1, 10, 5.0, 11.0), (1, 10, None, 11.0)]
+
+
+def test_first_block_is_met_by_many_tasks(spark, monkeypatch):
+    """Few users and many movies: only the movies are cut, and yet the users' first block isn't one task."""
+    asked, run = [], factors.blocks.run_pairs
+    monkeypatch.setattr(factors.blocks, "run_pairs", lambda sides, n, *a: (asked.append(n), run(sides, n, *a))[1])
+    (u, users), (i, items) = vectors(spark, 5, 1100, "uid"), vectors(spark, 6, 4000, "mid")
+    got = factors.user_top_k(users, items, 3)
+    assert asked[0] == 2
+    best = {r["uid"]: r["mid"] for r in got.filter("rank = 1").collect()}
+    assert best == dict(enumerate(np.argmax(u @ i.T, axis=1).tolist()))
+
+
+@pytest.mark.parametrize("n_items", [5, 40])
+def test_reaching_scores_that_single_precision_cannot_tell(n_items):
+    """Scores 1e-9 apart, and equal ones: those that may be among the k best are all found."""
+    iv = np.ones((n_items, 4))
+    iv[:, 0] += 1e-9 * (np.arange(n_items) // 2)
+    uv = np.ones((2, 4))
+    uv[1] = -1
+    bound = np.linalg.norm(uv, axis=1) * np.linalg.norm(iv, axis=1).max()
+    single = uv.astype(np.float32), iv.astype(np.float32)
+    r, c, score = factors._reaching(uv, iv, np.arange(2), slice(0, n_items), np.zeros(2), bound, single, 3)
+    assert set(r) == {0} and set(range(n_items - 4, n_items)) <= set(c)
+    assert np.allclose(score, (iv @ uv[0])[c], rtol=0, atol=1e-15)

@@ -1,8 +1,9 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from reelrank.operators import similarity
+from reelrank.operators import cells, similarity
 
 from conftest import rows
 
@@ -230,3 +231,38 @@ def test_movie_query_returns_a_row_per_movie(spark):
     got = catalog.QUERIES["als_movie_recs"](spark, SF_SMALL).collect()
     assert len({r["mid"] for r in got}) == len(got) == catalog.QUERIES["als_item_factors"](spark, SF_SMALL).count()
     assert any(r["n_links"] for r in got)
+
+
+def test_pairs_come_in_bounded_batches_and_near_the_threshold_exactly(monkeypatch):
+    """Cosines 1e-9 over and under the threshold, which single precision can't tell, and many pairs:
+    the pairs of a brute force, in batches of a few."""
+    monkeypatch.setattr(similarity, "TILE", 8)
+    monkeypatch.setattr(similarity, "OUT_ROWS", 16)
+    threshold, dim = 0.6, 16
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(60, dim)) + 2
+    for k, off in ((50, 1e-9), (52, -1e-9), (54, 1e-9), (56, -1e-9)):
+        v[k], v[k + 1] = 0, 0
+        v[k, k % dim] = 1
+        v[k + 1, k % dim], v[k + 1, (k + 1) % dim] = threshold + off, np.sqrt(1 - (threshold + off) ** 2)
+    n = np.linalg.norm(v, axis=1)
+    unit = v / n[:, None]
+    pivots = cells.pivots_of(unit, 3)
+    cell, far = cells.nearest_cell(unit, pivots)
+    radius = np.zeros(len(pivots))
+    np.maximum.at(radius, cell, far)
+    plan = cells.plan(pivots, np.bincount(cell, minlength=len(pivots)), radius, threshold, 1000)
+
+    class shared:
+        value = plan, np.linalg.eigh(unit.T @ unit)[1][:, ::-1], plan.block_pairs()
+
+    assert len(shared.value[2]) == 1
+    rows = pa.table({"mid": pa.array(range(60), pa.int32()), "v": pa.array(v.tolist()), "n": n, "asked": [True] * 60,
+                     "cell": pa.array(cell, pa.int32())})
+    out = [b.to_pydict() for b in similarity._pairs_kernel(threshold, dim, shared)(0, rows, rows.slice(0, 0))]
+    got = [(m, r) for b in out[:-1] for m, r in zip(b["mid"], b["rid"])]
+    cos = np.array([[float(np.einsum("i,i->", a, b)) for b in v] for a in v]) / np.outer(n, n)
+    want = {(a, b) for a in range(60) for b in range(60) if a != b and cos[a, b] > threshold}
+    assert len(got) == len(set(got)) and set(got) == want
+    assert (50, 51) in want and (52, 53) not in want
+    assert len(want) > 1000 and max(len(b["mid"]) for b in out) <= 16 + 2 * 8 * 8
