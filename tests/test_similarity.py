@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -266,3 +268,28 @@ def test_pairs_come_in_bounded_batches_and_near_the_threshold_exactly(monkeypatc
     assert len(got) == len(set(got)) and set(got) == want
     assert (50, 51) in want and (52, 53) not in want
     assert len(want) > 1000 and max(len(b["mid"]) for b in out) <= 16 + 2 * 8 * 8
+
+
+@pytest.mark.parametrize("clustered", [False, True])
+def test_whole_lists_equal_the_pairs_and_shuffle_none(spark, clustered):
+    """Repeated ids, equal and zero vectors included; segments of whole lists are those of the pairs,
+    and what is shuffled is vectors."""
+    rng = np.random.default_rng(7)
+    v = rng.normal(size=(2300, 8)) * (0.2 if clustered else 1)
+    if clustered:
+        v += rng.normal(size=(12, 8))[rng.integers(0, 12, 2300)]
+    v[5], v[6], v[7] = 0, v[8], v[9]
+    f = spark.createDataFrame([(k if k % 50 else 0, x.tolist()) for k, x in enumerate(v)], "mid int, features array<double>")
+    pairs = similarity.similar_pairs(f, 0.8)
+    lists = similarity.similar_pairs(f, 0.8, whole=True)
+    a, b = (sorted((r["mid"], r["rid"], round(r["r"], 9)) for r in df.collect()) for df in (pairs, lists))
+    assert a == b and len(a) > 2000
+    got = similarity.movie_rec_segments(lists, 7, whole=True)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"\bExchange ", plan)) == 1 and "rangepartitioning" not in plan and "Window" not in plan
+    want = {}
+    for mid, _, r in sorted(a, key=lambda x: (x[0], -x[2])):
+        want.setdefault(mid, []).append(r)
+    segments = {(r["mid"], r["segment"]): [round(x["r"], 9) for x in r["recs"]] for r in got.collect()}
+    assert segments == {(m, k // 7): rs[k:k + 7] for m, rs in want.items() for k in range(0, len(rs), 7)}
+    assert similarity.similar_pairs(f.limit(0), 0.8, whole=True).count() == 0
